@@ -69,7 +69,7 @@ def order_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bar rows per supplier, several per day, with holes in the price columns."""
-    price = F.col("l_extendedprice") / F.col("l_quantity")
+    price = F.col("l_extendedprice")
     day = F.col("l_shipdate").cast("date")
     return table(spark, sf_dir, "lineitem").select(
         F.format_string("eq_%06d", "l_suppkey").alias("series_id"),
@@ -83,7 +83,7 @@ def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") > 0, price * (1 - F.col("l_discount") / 10)).alias("adj_close"),
         F.col("l_quantity").alias("volume"),
         F.when(F.col("l_orderkey") % 997 == 0, 2.0).otherwise(0.0).alias("split_ratio"),
-        F.when(F.dayofmonth(day) >= 28, price * F.col("l_discount") / 2).otherwise(0.0).alias("dividend"),
+        F.when(F.dayofmonth(day) >= 28, price * F.col("l_discount") / 100).otherwise(0.0).alias("dividend"),
     )
 
 
