@@ -156,7 +156,8 @@ def auto_adjust(bars: DataFrame) -> DataFrame:
     factor = F.col("tr_close") / F.col("close")
     return bars.select("series_id", "as_of", (F.col("open") * factor).alias("open"),
                        (F.col("high") * factor).alias("high"), (F.col("low") * factor).alias("low"),
-                       F.col("tr_close").alias("close"), "volume")
+                       F.col("tr_close").alias("close"), "volume",
+                       F.col("close").alias("raw_close"))
 
 
 # Divisor of a minor-unit quote basis.

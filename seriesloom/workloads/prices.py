@@ -148,10 +148,10 @@ PINNED = ["eq_000003", "eq_000010"]
 TR_CHAIN = [*CHAIN, RECORDED, STEPS, PROBE, BELT, TOTAL_RETURN]
 
 
-@query("w9_forward_dividend_product", with_(*CHAIN, RECORDED, STEPS, "SELECT series_id, as_of, round(rebuilt, 5) AS rebuilt FROM rebuilt"))
+@query("w9_forward_dividend_product", with_(*CHAIN, RECORDED, STEPS, "SELECT series_id, as_of, close, round(rebuilt / close, 8) AS rebuilt_ratio FROM rebuilt"))
 def w9(spark, sf):
     return corporate.rebuilt_total_return(recorded_bars(spark, sf)).select(
-        "series_id", "as_of", F.round("rebuilt", 5).alias("rebuilt"))
+        "series_id", "as_of", "close", F.round(F.col("rebuilt") / F.col("close"), 8).alias("rebuilt_ratio"))
 
 
 @query("w10_dividend_adjusted_probe", with_(*CHAIN, RECORDED, STEPS, PROBE, """
@@ -170,26 +170,28 @@ def total_return(spark, sf):
     return corporate.total_return(recorded_bars(spark, sf), PINNED, fresh_days=400, tolerance=0.2)
 
 
-@query("w12_total_return_close", with_(*TR_CHAIN, "SELECT series_id, as_of, basis, round(tr_close, 5) AS tr_close FROM trc"))
+@query("w12_total_return_close", with_(*TR_CHAIN, "SELECT series_id, as_of, basis, close, round(tr_close / close, 8) AS tr_ratio FROM trc"))
 def w12(spark, sf):
-    return total_return(spark, sf).select("series_id", "as_of", "basis", F.round("tr_close", 5).alias("tr_close"))
+    return total_return(spark, sf).select("series_id", "as_of", "basis", "close", F.round(F.col("tr_close") / F.col("close"), 8).alias("tr_ratio"))
 
 
 ADJUSTED = """adjusted AS (
   SELECT series_id, as_of, open * (tr_close / close) AS open, high * (tr_close / close) AS high,
-         low * (tr_close / close) AS low, tr_close AS close, volume FROM trc)"""
+         low * (tr_close / close) AS low, tr_close AS close, volume, close AS raw_close FROM trc)"""
 
 
-def rounded(frame, digits=5):
-    return frame.withColumns({c: F.round(c, digits) for c in ("open", "high", "low", "close")})
+def per_raw_close(frame):
+    """Adjusted prices as shares of the raw close, so that checks do not hang on the last digit."""
+    return frame.withColumns({c: F.round(F.col(c) / F.col("raw_close"), 8) for c in ("open", "high", "low", "close")})
 
 
-ROUNDED = "series_id, as_of, round(open, 5) AS open, round(high, 5) AS high, round(low, 5) AS low, round(close, 5) AS close, volume"
+PER_RAW_CLOSE = "series_id, as_of, volume, raw_close, " + ", ".join(
+    f"round({c} / raw_close, 8) AS {c}" for c in ("open", "high", "low", "close"))
 
 
-@query("p10_auto_adjust", with_(*TR_CHAIN, ADJUSTED, f"SELECT {ROUNDED} FROM adjusted"))
+@query("p10_auto_adjust", with_(*TR_CHAIN, ADJUSTED, f"SELECT {PER_RAW_CLOSE} FROM adjusted"))
 def p10(spark, sf):
-    return rounded(corporate.auto_adjust(total_return(spark, sf)))
+    return per_raw_close(corporate.auto_adjust(total_return(spark, sf)))
 
 
 MAJOR = """major AS (
