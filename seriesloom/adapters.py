@@ -121,7 +121,7 @@ def reading_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("series_id", "as_of", "recorded_on")
         .agg(F.max(F.struct("event_id", "value")).alias("newest"))
         .select("series_id", "as_of", "recorded_on", F.col("newest.value").alias("value"),
-                (F.col("newest.value") * (1000 - F.col("newest.event_id") % 5) / 1000).alias("value_tr"))
+                (F.col("newest.value") / ((10000 + 7 * (F.col("newest.event_id") % 5)) / 10000)).alias("value_tr"))
     )
 
 

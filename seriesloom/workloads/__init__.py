@@ -35,4 +35,4 @@ def with_(*parts: str) -> str:
 
 
 def load_all() -> None:
-    from seriesloom.workloads import positioning, prices, series  # noqa: F401
+    from seriesloom.workloads import history, positioning, prices, series  # noqa: F401
