@@ -35,4 +35,4 @@ def with_(*parts: str) -> str:
 
 
 def load_all() -> None:
-    from seriesloom.workloads import history, positioning, prices, quality, series  # noqa: F401
+    from seriesloom.workloads import history, instruments, positioning, prices, quality, series, storage  # noqa: F401
