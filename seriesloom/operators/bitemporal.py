@@ -31,11 +31,23 @@ def current_view(log: DataFrame, as_of_vintage: dt.date | None = None) -> DataFr
 
 def _same(fields: Sequence[str], tolerance: float) -> Column:
     def close(name: str) -> Column:
-        old, new = F.col(f"old_{name}"), F.col(name)
+        old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
         return old.eqNullSafe(new) | F.coalesce(F.abs(new - old) <= tolerance, F.lit(False))
     return reduce(lambda a, b: a & b, [close(f) for f in fields])
 
 
+def _side_by_side(log: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Newest stored line and incoming row of each key, from one aggregate over both inputs."""
+    line = F.struct(*columns)
+    rows = log.select(*KEY, F.lit(False).alias("incoming"), line.alias("line")).unionByName(
+        batch.select(*KEY, F.lit(True).alias("incoming"), line.alias("line")))
+
+    def newest(side: Column) -> Column:
+        return F.max_by("line", F.when(side, F.col("line.recorded_on")))
+
+    return rows.groupBy(*KEY).agg(newest(~F.col("incoming")).alias("old"), newest(F.col("incoming")).alias("new"))
+
+
 def append_plan(log: DataFrame, batch: DataFrame, tolerance: float = VALUE_TOLERANCE) -> DataFrame:
     """What appending ``batch`` would do, one row per touched (series, day).
 
@@ -44,40 +56,43 @@ def append_plan(log: DataFrame, batch: DataFrame, tolerance: float = VALUE_TOLER
     restate a changed final one as a new line; freeze a provisional line that a newer
     batch left behind. A changed final line whose vintage does not advance refuses the
     whole series. A provisional mark behind the overall tip is stripped.
+
+    Two shuffles whatever the size: one aggregate by (series, day) over log and batch,
+    then one regrouping by series, which by then holds at most one row per day.
     """
     fields = [f for f in VALUE_FIELDS if f in batch.columns and f in log.columns]
-    view = current_view(log)
-    stored_tips = view.groupBy("series_id").agg(F.max("as_of").alias("stored_tip"))
-    batch_tips = batch.groupBy("series_id").agg(F.max("as_of").alias("batch_tip"))
-    old = view.select(*KEY, F.lit(True).alias("known"), F.col("recorded_on").alias("old_recorded_on"),
-                      F.coalesce("provisional", F.lit(False)).alias("old_provisional"),
-                      *[F.col(f).alias(f"old_{f}") for f in fields])
+    shared = [c for c in batch.columns if c in log.columns]
+    payload = [c for c in shared if c not in KEY]
+    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+
+    def tip(side: Column) -> Column:
+        return F.max(F.when(side, F.col("as_of"))).over(whole())
+
+    was_provisional = F.coalesce("old.provisional", F.lit(False))
+    left_behind = has_old & ~has_new & was_provisional & (F.col("as_of") < F.col("batch_tip"))
     paired = (
-        batch.join(old, KEY, "left").join(stored_tips, "series_id", "left").join(batch_tips, "series_id")
-        .withColumn("provisional", F.coalesce("provisional", F.lit(False))
-                    & (F.col("as_of") >= F.coalesce(F.greatest("stored_tip", "batch_tip"), F.col("batch_tip"))))
+        _side_by_side(log, batch, payload)
+        .withColumn("stored_tip", tip(has_old)).withColumn("batch_tip", tip(has_new))
+        .filter(has_new | left_behind)
+        .withColumn("stays_open", F.coalesce("new.provisional", F.lit(False))
+                    & (F.col("as_of") >= F.greatest("stored_tip", "batch_tip")))
         .withColumn("equal", _same(fields, tolerance))
     )
     action = (
-        F.when(F.col("known").isNull(), F.lit("append"))
-        .when(F.col("old_provisional"),
-              F.when(F.col("equal") & F.col("provisional"), F.lit("skip")).otherwise(F.lit("revise")))
+        F.when(~has_new, F.lit("freeze"))
+        .when(~has_old, F.lit("append"))
+        .when(was_provisional, F.when(F.col("equal") & F.col("stays_open"), F.lit("skip")).otherwise(F.lit("revise")))
         .when(F.col("equal"), F.lit("skip"))
         .otherwise(F.lit("restate"))
     )
-    stale = (F.col("action") == "restate") & (F.col("recorded_on") <= F.col("old_recorded_on"))
-    planned = paired.withColumn("action", action).withColumn(
+    stale = (F.col("action") == "restate") & (F.col("new.recorded_on") <= F.col("old.recorded_on"))
+    judged = paired.withColumn("action", action).withColumn(
         "refused", F.max(F.coalesce(stale, F.lit(False))).over(whole()))
-    left_behind = (
-        view.filter(F.col("provisional")).join(batch.select(*KEY), KEY, "left_anti")
-        .join(batch_tips, "series_id").filter(F.col("as_of") < F.col("batch_tip"))
-        .join(planned.filter("refused").select("series_id").distinct(), "series_id", "left_anti")
-    )
-    shared = [c for c in batch.columns if c in view.columns]
-    frozen = left_behind.select(
-        *[F.lit(False).alias(c) if c == "provisional" else F.col(c) for c in shared],
-        F.lit("freeze").alias("action"), F.lit(False).alias("refused"), F.col("recorded_on").alias("old_recorded_on"))
-    return planned.select(*shared, "action", "refused", "old_recorded_on").unionByName(frozen)
+    kept = judged.filter(~(F.col("refused") & (F.col("action") == "freeze")))
+    written = {c: F.coalesce(f"new.{c}", F.when(~has_new, F.col(f"old.{c}"))) for c in payload}
+    written["provisional"] = F.col("stays_open")
+    return kept.select(*KEY, *[written[c].alias(c) for c in payload], "action", "refused",
+                       F.col("old.recorded_on").alias("old_recorded_on"))
 
 
 def append_summary(plan: DataFrame) -> DataFrame:

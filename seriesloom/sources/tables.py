@@ -31,11 +31,16 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _balanced(df: DataFrame, column: str) -> DataFrame:
+    """Rows of one partition value together, but large values split and small ones merged by size."""
+    return df.hint("rebalance", column)
+
+
 def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
     """Overwrite only the partitions present in ``df``; the source may be read from ``path``."""
     staged = _staged(df, "replace")
-    (staged.repartition(column, F.pmod(F.xxhash64("series_id"), F.lit(8)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    _balanced(staged, column).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 # --- series files -------------------------------------------------------------------------
@@ -87,8 +92,8 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 def write_history(log: DataFrame, path: str) -> None:
     """First write of a history, partitioned by year of the observation day."""
-    log.withColumn("year", F.year("as_of")).repartition("year", F.pmod(F.xxhash64("series_id"), F.lit(8))).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    _balanced(log.withColumn("year", F.year("as_of")), "year").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -104,19 +109,24 @@ def read_history_lines(spark: SparkSession, path: str) -> DataFrame:
 def append_history(batch: DataFrame, path: str, tolerance: float = bitemporal.VALUE_TOLERANCE) -> DataFrame:
     """Append a batch to the stored history and return the per-series summary.
 
-    Only years with an accepted change are rewritten. A repeated call with the same
-    batch finds every row stored and writes nothing.
+    Only years with an accepted change are rewritten, and only years the batch reaches are
+    read: an older year matters for nothing but a provisional line left open there. A
+    repeated call with the same batch finds every row stored and writes nothing.
     """
     spark = batch.sparkSession
     stored = _read_or_none(spark, path)
     if stored is None:
         stored = spark.createDataFrame([], batch.schema).withColumn("year", F.year("as_of"))
-    log = stored.drop("year")
-    plan = cut_lineage(bitemporal.append_plan(log, batch, tolerance))
+    first_year = batch.agg(F.min(F.year("as_of"))).first()[0]
+    if first_year is None:
+        return bitemporal.append_summary(bitemporal.append_plan(stored.drop("year"), batch, tolerance))
+    near = stored.filter(F.col("year") >= first_year)
+    still_open = stored.filter((F.col("year") < first_year) & F.col("provisional"))
+    plan = cut_lineage(bitemporal.append_plan(near.unionByName(still_open).drop("year"), batch, tolerance))
     changes = plan.filter("NOT refused AND action <> 'skip'")
-    years = changes.select(F.year("as_of").alias("year")).distinct()
-    if not years.isEmpty():
-        touched = stored.join(years, "year", "left_semi").drop("year")
+    years = [row["year"] for row in changes.select(F.year("as_of").alias("year")).distinct().collect()]
+    if years:
+        touched = stored.filter(F.col("year").isin(years)).drop("year")
         _replace_partitions(bitemporal.apply_plan(touched, plan).withColumn("year", F.year("as_of")), path, "year")
     return bitemporal.append_summary(plan)
 
