@@ -67,6 +67,8 @@ def order_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- daily bars -----------------------------------------------------------------
 
+TIE_SPACE = 1 << 20
+
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bar rows per supplier, several per day, with holes in the price columns."""
     price = F.col("l_extendedprice")
@@ -74,8 +76,8 @@ def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.format_string("eq_%06d", "l_suppkey").alias("series_id"),
         day.alias("as_of"),
-        F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount",
-                 "l_tax").alias("arrival"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * TIE_SPACE
+         + F.round(price * 100).cast("long") % TIE_SPACE).alias("arrival"),
         F.when(F.col("l_tax") < 0.08, price * (1 - F.col("l_discount"))).alias("open"),
         (price * (1 + F.col("l_tax"))).alias("high"),
         F.when(F.col("l_linenumber") < 6, price * (1 - F.col("l_tax"))).alias("low"),

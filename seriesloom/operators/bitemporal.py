@@ -24,9 +24,10 @@ def current_view(log: DataFrame, as_of_vintage: dt.date | None = None) -> DataFr
     A partial aggregate picks the line, so days with many vintages shrink before the shuffle.
     """
     lines = log if as_of_vintage is None else log.filter(F.col("recorded_on") <= F.lit(as_of_vintage))
-    rest = [c for c in log.columns if c not in KEY]
-    return (lines.groupBy(*KEY).agg(F.max_by(F.struct(*rest), F.col("recorded_on")).alias("line"))
-            .select(*KEY, *[F.col(f"line.{c}").alias(c) for c in rest]))
+    rest = [c for c in log.columns if c not in KEY and c != "recorded_on"]
+    return lines.groupBy(*KEY).agg(
+        F.max("recorded_on").alias("recorded_on"), *[F.max_by(c, "recorded_on").alias(c) for c in rest],
+    ).select(*log.columns)
 
 
 def _same(fields: Sequence[str], tolerance: float) -> Column:

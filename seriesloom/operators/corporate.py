@@ -27,7 +27,8 @@ EVENT_COLUMNS = ["split_ratio", "dividend"]
 def collapse_days(landed: DataFrame) -> DataFrame:
     """One row per series and day: last non-null price columns, largest event columns.
 
-    ``arrival`` orders rows inside a day.
+    ``arrival`` is the landing sequence number of a row; being one number it keeps the
+    whole step a hash aggregate with a map-side part.
     """
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("arrival"))).alias(c) for c in LAST_COLUMNS]
     events = [F.max(c).alias(c) for c in EVENT_COLUMNS]
