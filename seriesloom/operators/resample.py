@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.dates import iso_week, month_end, week_ending_friday
+from seriesloom.functions.dates import contract_code, iso_week, month_end, week_ending_friday
 from seriesloom.functions.frames import in_order, whole
 
 
@@ -151,7 +151,6 @@ def latest_level_and_change(weekly: DataFrame, unit: float = 1000.0) -> DataFram
 
 def contracts_ahead(days: DataFrame, prefix: str, suffix: str, count: int = 6) -> DataFrame:
     """The next ``count`` monthly contract codes for every day in ``as_of``."""
-    from seriesloom.functions.dates import contract_code
     return (
         days.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(count))))
         .withColumn("delivery", F.add_months(F.trunc("as_of", "month"), F.col("ahead")))
@@ -169,11 +168,12 @@ def two_leg_spread(first: DataFrame, second: DataFrame, digits: int = 3) -> Data
 
 def first_two_legs(contracts: DataFrame) -> DataFrame:
     """Rank contracts with data by code; ``usable`` is false when fewer than two have any."""
-    from pyspark.sql import Window
     present = contracts.filter(F.col("value").isNotNull()).groupBy("series_id").agg(
         F.count("value").alias("rows"))
-    ranked = present.withColumn("leg", F.row_number().over(Window.orderBy("series_id"))).filter("leg <= 2")
-    return ranked.withColumn("usable", F.count("series_id").over(Window.partitionBy()) == 2).select(
+    first_two = present.orderBy("series_id").limit(2)
+    numbered = F.row_number().over(Window.orderBy("series_id"))  # two rows at most
+    return first_two.withColumn("leg", numbered).withColumn(
+        "usable", F.count("series_id").over(Window.partitionBy()) == 2).select(
         "series_id", "rows", F.col("leg").cast("long").alias("leg"), "usable")
 
 

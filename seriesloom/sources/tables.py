@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from seriesloom import schemas
@@ -54,7 +55,7 @@ def write_series_files(obs: DataFrame, path: str) -> None:
 
 def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the stored JSON arrays, missing values dropped."""
-    schema = schemas.SERIES_FILE.add("series_id", "string") if "series_id" not in schemas.SERIES_FILE.names else schemas.SERIES_FILE
+    schema = StructType([*schemas.SERIES_FILE.fields, StructField("series_id", StringType())])
     rows = spark.read.schema(schema).option("multiLine", True).json(path)
     return rows.filter(F.col("value").isNotNull()).select("series_id", F.to_date("as_of").alias("as_of"), "value", "source")
 
