@@ -218,19 +218,35 @@ def heal_batch(stored: DataFrame, repull: DataFrame, digits: int = 6) -> DataFra
     """Batch that brings whole stored series onto the scale of a full re-pull.
 
     The re-pull is cut at each stored first day; stored days it lacks are rescaled by
-    old factor over new factor. Volume stays raw.
+    old factor over new factor. Volume stays raw. Both sides meet in one aggregate by
+    (series, day) and are walked once per series.
     """
-    first = stored.groupBy("series_id").agg(F.min("as_of").alias("first_day"))
-    pulled = repull.join(first, "series_id").filter(F.col("as_of") >= F.col("first_day")).drop("first_day")
-    missing = stored.join(pulled.select("series_id", "as_of"), ["series_id", "as_of"], "left_anti")
-    missing = missing.join(pulled.select("series_id").distinct(), "series_id", "left_semi")
-    judged = missing.join(factor_as_of(missing, pulled), ["series_id", "as_of"])
-    old = F.coalesce("split_factor", F.lit(1.0))
-    moved = judged.filter((F.col("new_factor") > 0) & (old > 0) & (F.abs(F.col("new_factor") - old) > SPLIT_EPS))
-    scale = old / F.col("new_factor")
-    prices = {name: F.round(F.col(name) * scale, digits) for name in BAR_PRICES}
-    rescaled = (moved.withColumns(prices).withColumn("split_factor", F.round("new_factor", 8))
-                .withColumn("provisional", F.lit(False)).drop("new_factor"))
-    columns = [c for c in pulled.columns if c in rescaled.columns]
-    return pulled.select(*columns).withColumn("rescaled", F.lit(False)).unionByName(
-        rescaled.select(*columns).withColumn("rescaled", F.lit(True)))
+    columns = [c for c in repull.columns if c in stored.columns and c not in ("series_id", "as_of")]
+    line = F.struct(*columns)
+    rows = stored.select("series_id", "as_of", line.alias("old"), F.lit(None).alias("new")).unionByName(
+        repull.select("series_id", "as_of", F.lit(None).alias("old"), line.alias("new")))
+    days = rows.groupBy("series_id", "as_of").agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    first_day = F.min(F.when(F.col("old").isNotNull(), F.col("as_of"))).over(whole())
+    kept = days.withColumn("first_day", first_day).filter(F.col("as_of") >= F.col("first_day"))
+    covered = F.col("new.split_factor")
+    earliest = F.min_by(covered, F.when(covered.isNotNull(), F.col("as_of"))).over(whole())
+    judged = kept.withColumns({
+        "pulled": F.max(F.col("new").isNotNull()).over(whole()), "rescaled": F.col("new").isNull(),
+        "new_factor": F.coalesce(F.last(covered, ignorenulls=True).over(in_order()), earliest, F.lit(1.0)),
+        "old_factor": F.coalesce("old.split_factor", F.lit(1.0))})
+    moved = (F.col("pulled") & (F.col("new_factor") > 0) & (F.col("old_factor") > 0)
+             & (F.abs(F.col("new_factor") - F.col("old_factor")) > SPLIT_EPS))
+    scale = F.col("old_factor") / F.col("new_factor")
+
+    def value(name: str) -> Column:
+        old = F.col(f"old.{name}")
+        if name in BAR_PRICES:
+            old = F.round(old * scale, digits)
+        elif name == "split_factor":
+            old = F.round("new_factor", 8)
+        elif name == "provisional":
+            old = F.lit(False)
+        return F.when(F.col("rescaled"), old).otherwise(F.col(f"new.{name}")).alias(name)
+
+    return judged.filter(~F.col("rescaled") | moved).select(
+        "series_id", "as_of", *[value(c) for c in columns], "rescaled")

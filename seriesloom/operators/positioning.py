@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.frames import in_order, whole
+from seriesloom.functions.frames import in_order
 from seriesloom.functions.text import holds_all, holds_any, loose_number, loose_number_or_zero
 
 FINANCIAL = "financial"
@@ -218,16 +218,23 @@ def identity_guard(positions: DataFrame, declared: DataFrame) -> DataFrame:
 
 
 def quality_flags(positions: DataFrame, markets: DataFrame, min_obs: int = 8, max_gap_days: int = 60) -> DataFrame:
-    """Flags per series. ``markets`` holds ``series_id, pinned, declared_break, satellite``."""
-    from seriesloom.operators.windows import largest_gap
-    net = F.col("primary_net")
-    facts = positions.groupBy("series_id").agg(
-        F.count(net).alias("n_obs"), F.min(net).alias("low"), F.max(net).alias("high"),
-        F.max(F.struct("as_of", net.isNull().alias("missing")))["missing"].alias("latest_missing"))
-    seams = seam(positions).select("series_id", "seam_date")
-    gaps = largest_gap(positions, max_gap_days).select("series_id", "gap_days")
-    full = (facts.join(seams, "series_id", "left").join(gaps, "series_id", "left")
-            .join(markets, "series_id", "left"))
+    """Flags per series, from one ordered pass and one aggregate.
+
+    ``markets`` holds ``series_id, pinned, declared_break, satellite``.
+    """
+    net, name = F.col("primary_net"), F.nullif(F.trim(F.coalesce("market_name", F.lit(""))), F.lit(""))
+    before = in_order().rowsBetween(Window.unboundedPreceding, -1)
+    steps = positions.select(
+        "series_id", "as_of", net.alias("net"), name.alias("name"),
+        F.last(name, ignorenulls=True).over(before).alias("name_before"),
+        F.datediff("as_of", F.lag("as_of").over(in_order())).cast("long").alias("step_days"))
+    facts = steps.groupBy("series_id").agg(
+        F.count("net").alias("n_obs"), F.min("net").alias("low"), F.max("net").alias("high"),
+        F.max(F.when(F.col("net").isNull(), F.col("as_of"))).alias("newest_missing"), F.max("as_of").alias("newest"),
+        F.min(F.when(F.col("name") != F.col("name_before"), F.col("as_of"))).alias("seam_date"),
+        F.max("step_days").alias("widest"))
+    full = facts.withColumn("gap_days", F.when(F.col("widest") > max_gap_days, F.col("widest"))).join(
+        markets, "series_id", "left")
     has_seam = F.col("seam_date").isNotNull()
     pinned = F.coalesce("pinned", F.lit(False))
     short = F.col("n_obs") < min_obs
@@ -237,9 +244,5 @@ def quality_flags(positions: DataFrame, markets: DataFrame, min_obs: int = 8, ma
         F.when(F.coalesce("declared_break", F.lit(False)), F.lit("name_break")),
         F.when(F.col("satellite").isNotNull(), F.lit("satellite")),
         F.when(short, F.lit("insufficient_history")).when(F.col("low") == F.col("high"), F.lit("zero_dispersion")),
-        F.when(F.col("latest_missing"), F.lit("missing_latest_net"))))
+        F.when(F.col("newest_missing") == F.col("newest"), F.lit("missing_latest_net"))))
     return full.select("series_id", "n_obs", "seam_date", "gap_days", F.array_join(flags, ",").alias("flags"))
-
-
-def newest_of(positions: DataFrame) -> DataFrame:
-    return positions.withColumn("newest", F.max("as_of").over(whole()))

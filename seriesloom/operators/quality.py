@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.frames import whole
 from seriesloom.functions.text import venue_group
 
 STALE_WARN_DAYS, STALE_FAIL_DAYS = 4, 10
@@ -224,14 +223,11 @@ def single_entity(rows: DataFrame, filter_key: str, entity: str) -> DataFrame:
 
 # --- gate rows and tally --------------------------------------------------------------------
 
-def gate(name: str, violations: DataFrame, hard: bool = True, named: int = 5) -> DataFrame:
-    """One row: passed when nothing violates; the detail names the first few series."""
-    first = (violations.select("series_id").distinct().orderBy("series_id").limit(named)
-             .agg(F.array_join(F.array_sort(F.collect_list("series_id")), ",").alias("detail"))
-             .withColumn("gate", F.lit(name)))
-    count = violations.agg(F.count(F.lit(1)).alias("n_violations")).withColumn("gate", F.lit(name))
-    return count.join(first, "gate").select(
-        "gate", F.lit(hard).alias("hard"), (F.col("n_violations") == 0).alias("passed"), "n_violations", "detail")
+def gate(name: str, violations: DataFrame, hard: bool = True) -> DataFrame:
+    """One row: passed when nothing violates; the detail names the first violating series."""
+    return violations.agg(F.count(F.lit(1)).alias("n_violations"), F.min("series_id").alias("detail")).select(
+        F.lit(name).alias("gate"), F.lit(hard).alias("hard"), (F.col("n_violations") == 0).alias("passed"),
+        "n_violations", "detail")
 
 
 def tally(gates: DataFrame) -> DataFrame:
@@ -241,7 +237,3 @@ def tally(gates: DataFrame) -> DataFrame:
         F.count_if(~F.col("passed") & F.col("hard")).alias("hard_fails"),
         F.count_if(~F.col("passed") & ~F.col("hard")).alias("warnings"),
         F.min(F.col("passed") | ~F.col("hard")).alias("verdict"))
-
-
-def newest_in(view: DataFrame) -> DataFrame:
-    return view.withColumn("tip", F.max("as_of").over(whole()))

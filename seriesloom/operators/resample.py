@@ -129,14 +129,13 @@ def seasonal_deviation(weekly: DataFrame, seasonal_years: int = 5, unit: float =
 
     The norm covers calendar years from the newest year minus ``seasonal_years`` on.
     """
-    changes = weekly_change(weekly).withColumn("week", iso_week("as_of"))
-    dated = changes.withColumn("newest_year", F.max(F.year("as_of")).over(whole()))
-    norm = (
-        dated.filter(F.year("as_of") >= F.col("newest_year") - seasonal_years)
-        .groupBy("series_id", "week").agg(exact_mean("change", 2).alias("norm"))
-    )
-    return changes.join(norm, ["series_id", "week"], "left").select(
-        "series_id", "as_of", F.round((F.col("change") - F.col("norm")) / unit, 2).alias("value"))
+    dated = weekly_change(weekly).withColumns({
+        "week": iso_week("as_of"), "newest_year": F.max(F.year("as_of")).over(whole())})
+    recent = F.when(F.year("as_of") >= F.col("newest_year") - seasonal_years, F.col("change"))
+    same_week = Window.partitionBy("series_id", "week")
+    norm = (F.sum(recent.cast("decimal(28,2)")).over(same_week).cast("double")
+            / F.nullif(F.count(recent).over(same_week), F.lit(0)))
+    return dated.select("series_id", "as_of", F.round((F.col("change") - norm) / unit, 2).alias("value"))
 
 
 def latest_level_and_change(weekly: DataFrame, unit: float = 1000.0) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.frames import whole
 
 DECIMALS = 4
 SETTLE_DAYS = 7
@@ -179,7 +178,3 @@ def replace_batch(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, Da
     status = truncation_check(stored, kept)
     ready = kept.join(status.filter(~F.col("refused")).select("series_id"), "series_id", "left_semi")
     return deadband(stored, round_values(ready)), status
-
-
-def tip_of(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("tip", F.max("as_of").over(whole()))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import month_end
-from seriesloom.functions.frames import in_order, recency, trailing, whole
+from seriesloom.functions.frames import in_order, newest_first, recency, trailing, whole
 
 MIN_OBS = 8
 NOWCAST_INTERCEPT = 0.1252
@@ -46,20 +46,17 @@ def trailing_zscore(obs: DataFrame, window: int, min_obs: int = MIN_OBS) -> Data
                        F.when(ok, F.round(z, 4)).alias("zscore"))
 
 
-def percentile_window(obs: DataFrame, window: int | None, min_obs: int = MIN_OBS) -> DataFrame:
-    """Percentile and z-score of the newest value among the last ``window`` rows.
-
-    ``window=None`` ranks against the full history. ``obs`` may carry ``segment``, the
-    name of the clean segment it was restricted to.
-    """
-    segment = F.first("segment") if "segment" in obs.columns else F.lit("single-contract")
-    ranked = obs.filter(F.col("value").isNotNull()).withColumn("recency", recency())
+def _newest_against_history(obs: DataFrame, window: int | None, min_obs: int, segment: Column, delta_rows: int) -> DataFrame:
+    """The newest value ranked and scored among the last rows, in one ordered pass."""
+    backwards = newest_first()
+    ranked = obs.filter(F.col("value").isNotNull()).withColumns({
+        "recency": F.row_number().over(backwards), "current": F.first("value").over(backwards),
+        "delta": F.col("value") - F.lead("value", delta_rows).over(backwards)})
     if window is not None:
         ranked = ranked.filter(F.col("recency") <= window)
-    ranked = ranked.withColumn("current", F.max(F.when(F.col("recency") == 1, F.col("value"))).over(whole()))
     summary = ranked.groupBy("series_id").agg(
-        F.count("value").alias("n_obs"), F.max("as_of").alias("asof"),
-        F.max_by("value", "as_of").alias("net"), segment.alias("segment"),
+        F.count("value").alias("n_obs"), F.max("as_of").alias("asof"), F.max("current").alias("net"),
+        segment.alias("segment"), F.max(F.when(F.col("recency") == 1, F.col("delta"))).alias("delta"),
         F.count_if(F.col("value") <= F.col("current")).alias("at_most"),
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("sigma"),
         F.min("value").alias("low"), F.max("value").alias("high"))
@@ -68,15 +65,23 @@ def percentile_window(obs: DataFrame, window: int | None, min_obs: int = MIN_OBS
         "series_id", (F.lit(window) if window is not None else F.col("n_obs")).cast("long").alias("window"),
         F.when(ok, F.round(100.0 * F.col("at_most") / F.col("n_obs"), 2)).alias("percentile"),
         F.when(ok, F.round((F.col("net") - F.col("mean")) / F.col("sigma"), 4)).alias("zscore"),
-        "n_obs", "asof", "segment", "net")
+        "n_obs", "asof", "segment", "net", "delta")
+
+
+def percentile_window(obs: DataFrame, window: int | None, min_obs: int = MIN_OBS) -> DataFrame:
+    """Percentile and z-score of the newest value among the last ``window`` rows.
+
+    ``window=None`` ranks against the full history. ``obs`` may carry ``segment``, the
+    name of the clean segment it was restricted to.
+    """
+    segment = F.max("segment") if "segment" in obs.columns else F.lit("single-contract")
+    return _newest_against_history(obs, window, min_obs, segment, 1).drop("delta")
 
 
-def positioning_view(obs: DataFrame, window: int | None = None) -> DataFrame:
+def positioning_view(obs: DataFrame, window: int | None = None, delta_rows: int = 4) -> DataFrame:
     """Newest net with percentile, z-score and change against four rows earlier."""
-    history = obs.filter(F.col("value").isNotNull()).withColumn(
-        "delta_4w", F.col("value") - F.lag("value", 4).over(in_order()))
-    newest = history.groupBy("series_id").agg(F.max_by("delta_4w", "as_of").alias("delta_4w"))
-    return percentile_window(obs, window).drop("segment").join(newest, "series_id", "left")
+    view = _newest_against_history(obs, window, MIN_OBS, F.lit("single-contract"), delta_rows)
+    return view.withColumnRenamed("delta", "delta_4w").drop("segment")
 
 
 def average_rank_percent(obs: DataFrame) -> DataFrame:
@@ -183,25 +188,18 @@ def carry_forward(monthly: DataFrame, frontier: dt.date | Column) -> DataFrame:
     """
     edge = F.lit(frontier) if isinstance(frontier, dt.date) else frontier
     by_month = monthly.withColumn("as_of", month_end("as_of"))
-    spans = by_month.groupBy("series_id").agg(F.min("as_of").alias("lo"), F.max("as_of").alias("hi"))
-    spine = spans.select(
-        "series_id",
-        F.explode(F.sequence(F.trunc("lo", "month"), F.trunc(F.greatest("hi", edge), "month"),
-                             F.expr("INTERVAL 1 MONTH"))).alias("first_day"),
-    ).select("series_id", month_end("first_day").alias("as_of"))
-    payload = [c for c in by_month.columns if c not in ("series_id", "as_of")]
-    packed = by_month.select("series_id", "as_of", F.struct(*payload).alias("record"))
-    walked = spine.join(packed, ["series_id", "as_of"], "left").select(
-        "series_id", "as_of", F.col("record").isNotNull().alias("real"),
-        F.last("record", ignorenulls=True).over(in_order()).alias("record"))
-    kept = walked.filter(F.col("real") | (F.col("as_of") <= edge))
-    flag = F.when(~F.col("real"), F.lit("carry_forward"))
-    columns = [F.col(f"record.{c}").alias(c) for c in payload if c not in ("filled", "provisional")]
-    old_fill = F.col("record.filled") if "filled" in payload else F.lit(None).cast("string")
-    old_mark = F.col("record.provisional") if "provisional" in payload else F.lit(False)
-    return kept.select("series_id", "as_of", *columns,
-                       F.when(F.col("real"), old_fill).otherwise(flag).alias("filled"),
-                       F.when(F.col("real"), old_mark).otherwise(F.lit(True)).alias("provisional"))
+    following = F.lead("as_of").over(in_order())
+    reach = F.least(F.last_day(F.add_months(F.trunc(following, "month"), -1)), edge)  # ignores a missing next month
+    months = F.sequence(F.trunc("as_of", "month"), F.trunc(F.greatest("as_of", reach), "month"), F.expr("INTERVAL 1 MONTH"))
+    walked = by_month.withColumn("months", months).withColumn("first_day", F.explode("months"))
+    real = month_end("first_day") == F.col("as_of")
+    payload = [c for c in monthly.columns if c not in ("series_id", "as_of", "filled", "provisional")]
+    old_fill = F.col("filled") if "filled" in monthly.columns else F.lit(None).cast("string")
+    old_mark = F.col("provisional") if "provisional" in monthly.columns else F.lit(False)
+    return walked.select(
+        "series_id", month_end("first_day").alias("as_of"), *payload,
+        F.when(real, old_fill).otherwise(F.lit("carry_forward")).alias("filled"),
+        F.when(real, old_mark).otherwise(F.lit(True)).alias("provisional"))
 
 
 def chained_nowcast(levels: DataFrame, rates: DataFrame, digits: int = 6) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from seriesloom.functions.dates import month_end
+from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal, revisions
 from seriesloom.sources import tables
 
@@ -26,10 +27,8 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
 
 def _newest(readings: DataFrame, run_date: dt.date) -> DataFrame:
     """One row per key of a micro-batch, recorded on the run date, with the tip provisional."""
-    view = bitemporal.current_view(readings)
-    tips = view.groupBy("series_id").agg(F.max("as_of").alias("tip"))
-    return view.join(tips, "series_id").withColumns({
-        "provisional": F.col("as_of") == F.col("tip"), "recorded_on": F.lit(run_date)}).drop("tip")
+    return bitemporal.current_view(readings).withColumns({
+        "provisional": F.col("as_of") == F.max("as_of").over(whole()), "recorded_on": F.lit(run_date)})
 
 
 def daily_append(stream: DataFrame, archive: str, checkpoint: str, run_date: dt.date) -> None:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from seriesloom import adapters
+from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal as bt
 from seriesloom.operators import resample
 from seriesloom.operators import revisions as rev
@@ -78,20 +79,17 @@ CHAIN = [LOG, FULL_VIEW, STORED]
 def stored_log(spark, sf):
     """Lines recorded up to the cutoff; the newest line of each series tip is provisional."""
     lines = adapters.reading_log(spark, sf).filter(F.col("recorded_on") <= F.lit(CUTOFF))
-    newest = bt.current_view(lines).groupBy("series_id").agg(
-        F.max(F.struct("as_of", "recorded_on")).alias("tip"))
-    return lines.join(newest, "series_id").withColumn(
-        "provisional", (F.col("as_of") == F.col("tip.as_of")) & (F.col("recorded_on") == F.col("tip.recorded_on"))).drop("tip")
+    mark = F.struct("as_of", "recorded_on")
+    return lines.withColumn("provisional", mark == F.max(mark).over(whole()))
 
 
 def pulled_batch(spark, sf, recorded_on=PULL):
     """The refresh pull: every reading since five days before the cutoff."""
     view = bt.current_view(adapters.reading_log(spark, sf))
     window = view.filter(F.col("as_of") >= F.date_sub(F.lit(CUTOFF), 5))
-    tips = window.groupBy("series_id").agg(F.max("as_of").alias("tip"))
-    return window.join(tips, "series_id").select(
+    return window.select(
         "series_id", "as_of", "value", "value_tr", F.lit(recorded_on).alias("recorded_on"),
-        (F.col("as_of") == F.col("tip")).alias("provisional"))
+        (F.col("as_of") == F.max("as_of").over(whole())).alias("provisional"))
 
 
 def plan(spark, sf, recorded_on=PULL):
