@@ -34,15 +34,16 @@ def daily_prices(spark, sf):
 
 
 @query("run_base_first_read", with_(*prices.TR_CHAIN, prices.ADJUSTED, prices.REGISTRY, """
-held AS (SELECT * FROM adjusted WHERE CAST(substr(series_id, 4) AS BIGINT) % 9 <> 4 AND as_of BETWEEN DATE '2000-03-15' AND DATE '2001-03-15'),
+held AS (SELECT a.* FROM adjusted a JOIN registry USING (series_id) WHERE balance >= 0 AND as_of BETWEEN DATE '2000-03-15' AND DATE '2001-03-15'),
 mine AS (SELECT symbol, quote_basis, close, volume, 'base' AS provenance FROM held JOIN registry USING (series_id)),
 theirs AS (SELECT symbol, quote_basis, close, volume, 'fetch' AS provenance FROM bars JOIN registry USING (series_id)
-  WHERE number % 10 <> 9 AND as_of BETWEEN DATE '2000-03-15' AND DATE '2001-03-15' AND symbol NOT IN (SELECT symbol FROM mine))
+  WHERE category <> 'nation_7' AND as_of BETWEEN DATE '2000-03-15' AND DATE '2001-03-15' AND symbol NOT IN (SELECT symbol FROM mine))
 SELECT symbol, provenance, COUNT(*) AS n_rows, CAST(SUM(volume) AS BIGINT) AS volume,
   round(SUM(close / CASE WHEN upper(quote_basis) = 'GBX' THEN 100 ELSE 1 END), 2) AS close_sum
 FROM (SELECT * FROM mine UNION ALL SELECT * FROM theirs) GROUP BY 1, 2"""))
 def base_first(spark, sf):
-    log = prices.recorded_bars(spark, sf).filter(F.substring("series_id", 4, 10).cast("long") % 9 != 4)
+    solvent = adapters.registry(spark, sf).filter("balance >= 0").select("series_id")
+    log = prices.recorded_bars(spark, sf).join(solvent, "series_id", "left_semi")
     bars = runs.base_first_read(
         log, instruments.wanted_symbols(spark, sf), adapters.registry(spark, sf), instruments.fallback_bars(spark, sf),
         "1y", prices.WINDOW_END, pinned=prices.PINNED, fresh_days=400, tolerance=0.2)

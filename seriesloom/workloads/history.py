@@ -19,7 +19,7 @@ PULL = adapters.PULL_DATE
 
 LOG = """log AS (
   SELECT series_id, as_of, recorded_on, value, value / ((10000 + 7 * (e % 5)) / 10000) AS value_tr FROM (
-    SELECT printf('ev_%06d', user_id) AS series_id, CAST(ts AS DATE) AS as_of,
+    SELECT 'ev_' || user_id AS series_id, CAST(ts AS DATE) AS as_of,
            CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER) AS recorded_on,
            arg_max(value, event_id) AS value, MAX(event_id) AS e
     FROM events GROUP BY 1, 2, 3))"""

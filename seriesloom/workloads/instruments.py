@@ -126,14 +126,14 @@ def p25_positioning(spark, sf):
 
 
 @query("p26_backtest_eligible", with_(REG, ODD, CATALOG, """
-SELECT series_id, NOT backtest_valid AND series_id IN ('eq_000001', 'eq_000002') AS overridden FROM catalog
-WHERE reject_reason IS NULL AND (backtest_valid OR series_id IN ('eq_000001', 'eq_000002'))"""))
+SELECT series_id, NOT backtest_valid AND series_id IN ('eq_1', 'eq_2') AS overridden FROM catalog
+WHERE reject_reason IS NULL AND (backtest_valid OR series_id IN ('eq_1', 'eq_2'))"""))
 def p26(spark, sf):
     entries = registry.catalog_rows(odd_registry(spark, sf)).filter("reject_reason IS NULL")
-    return registry.backtest_eligible(entries, ["eq_000001", "eq_000002"]).select("series_id", "overridden")
+    return registry.backtest_eligible(entries, ["eq_1", "eq_2"]).select("series_id", "overridden")
 
 
-MERGED = """oldcat AS (SELECT series_id, symbol, 'old' AS description FROM registry WHERE number % 3 <> 1
+MERGED = """oldcat AS (SELECT series_id, symbol, 'old' AS description FROM registry WHERE balance >= 3000
   UNION ALL SELECT 'xx_' || number, symbol, 'other' FROM registry),
 newcat AS (SELECT series_id, symbol, description FROM catalog WHERE reject_reason IS NULL),
 merged AS (SELECT COALESCE(o.series_id, n.series_id) AS series_id, CASE WHEN n.series_id IS NOT NULL THEN n.symbol ELSE o.symbol END AS symbol,
@@ -145,7 +145,7 @@ merged AS (SELECT COALESCE(o.series_id, n.series_id) AS series_id, CASE WHEN n.s
 
 def old_catalog(spark, sf):
     rows = reg(spark, sf)
-    mine = rows.filter("number % 3 <> 1").select("series_id", "symbol", F.lit("old").alias("description"))
+    mine = rows.filter("balance >= 3000").select("series_id", "symbol", F.lit("old").alias("description"))
     other = rows.select(F.concat(F.lit("xx_"), F.col("number").cast("string")).alias("series_id"), "symbol", F.lit("other").alias("description"))
     return mine.unionByName(other)
 
@@ -164,11 +164,11 @@ def j5(spark, sf):
     return registry.reconcile_currency(reg(spark, sf), live_currency(spark, sf))
 
 
-STAMPED = """stampcat AS (SELECT series_id, family, CASE WHEN number % 5 <> 2 THEN printf('SEC-%06d', number + 1) END AS stable_id FROM registry WHERE number % 7 <> 3)"""
+STAMPED = """stampcat AS (SELECT series_id, family, CASE WHEN number % 5 <> 2 THEN printf('SEC-%06d', number + 1) END AS stable_id FROM registry WHERE category <> 'nation_3')"""
 
 
 def stamp_catalog(spark, sf):
-    return reg(spark, sf).filter("number % 7 <> 3").select(
+    return reg(spark, sf).filter("category <> 'nation_3'").select(
         "series_id", "family", F.when(F.col("number") % 5 != 2, F.format_string("SEC-%06d", F.col("number") + 1)).alias("stable_id"))
 
 
@@ -253,22 +253,22 @@ def a15(spark, sf):
 
 # --- base-first reading -------------------------------------------------------------------------
 
-J8 = """wanted AS (SELECT symbol FROM registry UNION ALL SELECT 'U' || number FROM registry WHERE number % 7 = 2),
+J8 = """wanted AS (SELECT symbol FROM registry UNION ALL SELECT 'U' || number FROM registry),
 resolved AS (SELECT w.symbol, r.series_id FROM wanted w LEFT JOIN registry r ON upper(w.symbol) = upper(r.symbol)),
 mine AS (SELECT symbol, as_of, open, high, low, close, volume FROM pbars JOIN resolved USING (series_id)),
 theirs AS (SELECT symbol, as_of, open, high, low, close, volume FROM bars JOIN registry USING (series_id)
-           WHERE number % 10 <> 9 AND symbol NOT IN (SELECT symbol FROM mine)),
+           WHERE category <> 'nation_7' AND symbol NOT IN (SELECT symbol FROM mine)),
 j8 AS (SELECT *, 'base' AS provenance FROM mine UNION ALL SELECT *, 'fetch' FROM theirs)"""
 
 
 def wanted_symbols(spark, sf):
     rows = reg(spark, sf)
     return rows.select("symbol").unionByName(
-        rows.filter("number % 7 = 2").select(F.concat(F.lit("U"), F.col("number").cast("string")).alias("symbol")))
+        rows.select(F.concat(F.lit("U"), F.col("number").cast("string")).alias("symbol")))
 
 
 def fallback_bars(spark, sf):
-    known = reg(spark, sf).filter("number % 10 <> 9").select("series_id", "symbol")
+    known = reg(spark, sf).filter("category <> 'nation_7'").select("series_id", "symbol")
     return prices.bars(spark, sf).join(known, "series_id")
 
 
@@ -330,10 +330,10 @@ snap2 AS (
     CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 41 <> 3 THEN printf('IS%07d', c_custkey) END AS isin,
     CASE WHEN c_custkey % 17 = 4 THEN printf('FX%07d', c_custkey) WHEN c_custkey % 19 = 6 THEN NULL
          WHEN c_custkey % 23 <> 0 THEN printf('FG%07d', c_custkey - c_custkey % 37 % 2) END AS figi
-  FROM customer WHERE c_custkey % 13 <> 5
+  FROM customer WHERE c_acctbal >= 0
   UNION ALL
   SELECT printf('ZB%07d', c_custkey), c_name || ' CLASS B', NULL, CASE WHEN c_custkey % 23 <> 0 THEN printf('FG%07d', c_custkey - c_custkey % 37 % 2) END
-  FROM customer WHERE c_custkey % 11 = 0 AND c_custkey % 2 = 0),
+  FROM customer WHERE c_custkey % 11 = 0 AND c_mktsegment IN ('MACHINERY', 'FURNITURE')),
 diff AS (
   SELECT COALESCE(o.ticker, n.ticker) AS ticker, CASE WHEN o.ticker IS NULL THEN 'appeared' WHEN n.ticker IS NULL THEN 'disappeared' ELSE 'stayed' END AS change,
     o.name AS old_name, o.isin AS old_isin, o.figi AS old_figi, n.name AS name, n.isin AS isin, n.figi AS figi,
@@ -419,11 +419,11 @@ def i7(spark, sf):
     return report.select("kind", "ticker", shown.alias("detail"))
 
 
-@query("i2_epoch_lifecycle", """WITH c AS (SELECT c_custkey AS k FROM customer)
-SELECT printf('A%07d', k) AS ticker, CASE WHEN k % 13 = 5 OR k % 11 = 0 THEN 2 WHEN k % 17 = 4 AND k % 23 <> 0 THEN 3 ELSE 1 END AS n_epochs,
+@query("i2_epoch_lifecycle", """WITH c AS (SELECT c_custkey AS k, c_acctbal < 0 AS gone, c_mktsegment IN ('MACHINERY', 'FURNITURE') AS dual FROM customer)
+SELECT printf('A%07d', k) AS ticker, CASE WHEN gone OR k % 11 = 0 THEN 2 WHEN k % 17 = 4 AND k % 23 <> 0 THEN 3 ELSE 1 END AS n_epochs,
        1 AS n_open FROM c
-UNION ALL SELECT printf('Z%07d', k), 1, 0 FROM c WHERE k % 13 <> 5 AND k % 11 = 0
-UNION ALL SELECT printf('ZB%07d', k), 1, 0 FROM c WHERE k % 11 = 0 AND k % 2 = 0""")
+UNION ALL SELECT printf('Z%07d', k), 1, 0 FROM c WHERE NOT gone AND k % 11 = 0
+UNION ALL SELECT printf('ZB%07d', k), 1, 0 FROM c WHERE k % 11 = 0 AND dual""")
 def i2(spark, sf):
     second, _ = identity.apply_snapshot(first_epochs(spark, sf), adapters.second_snapshot(spark, sf), DAY2)
     third, _ = identity.apply_snapshot(second, adapters.first_snapshot(spark, sf), DAY3)
@@ -498,6 +498,7 @@ SELECT internal_id, CASE WHEN effective_to IS NULL THEN COALESCE(share_class_fig
 FROM epochs"""))
 def i11(spark, sf):
     held = epochs(spark, sf)
-    lookup = held.select("ticker", "exch_code").distinct().filter(F.substring("ticker", 2, 10).cast("long") % 2 == 0).withColumn(
-        "share_class_figi", F.concat(F.lit("LK"), F.col("ticker")))
+    found = F.substring("ticker", 2, 10).cast("long") % 2 == 0
+    lookup = held.select("ticker", "exch_code").distinct().withColumn(
+        "share_class_figi", F.when(found, F.concat(F.lit("LK"), F.col("ticker"))))
     return identity.enrich_figi(held, lookup).select("internal_id", "share_class_figi")

@@ -11,7 +11,7 @@ from seriesloom.operators import corporate
 from seriesloom.workloads import query, with_
 
 LANDED = """lb AS (
-  SELECT printf('eq_%06d', l_suppkey) AS series_id, CAST(l_shipdate AS DATE) AS as_of,
+  SELECT 'eq_' || l_suppkey AS series_id, CAST(l_shipdate AS DATE) AS as_of,
     (l_orderkey * 8 + l_linenumber) * 1048576 + CAST(round(l_extendedprice * 100) AS BIGINT) % 1048576 AS arrival,
     CASE WHEN l_tax < CAST(0.08 AS DOUBLE) THEN l_extendedprice * (1 - l_discount) END AS open,
     l_extendedprice * (1 + l_tax) AS high,
@@ -42,7 +42,7 @@ CHAIN = [LANDED, DAYS, FACTORS, BARS]
 RECORDED = "rbars AS (SELECT *, as_of + 1 AS recorded_on FROM bars)"
 
 REGISTRY = """registry AS (
-  SELECT printf('eq_%06d', s_suppkey) AS series_id,
+  SELECT 'eq_' || s_suppkey AS series_id,
     'Q' || s_suppkey || ['', '', '.L', '.PA', '.DE', '.XY'][1 + s_nationkey % 6] AS symbol, s_name AS name,
     'nation_' || s_nationkey AS category, CASE WHEN s_suppkey % 4 <> 0 THEN 'stock' END AS family,
     CASE WHEN s_suppkey % 4 <> 0 THEN [NULL, NULL, 'GBP', 'EUR', 'EUR', 'CHF'][1 + s_nationkey % 6] END AS currency,
@@ -65,7 +65,7 @@ def a5(spark, sf):
 
 
 CONFLICT_ROWS = """crows AS (
-  SELECT CASE WHEN l_suppkey % 2 = 0 THEN printf('eq_%06d', l_suppkey) ELSE printf('pt_%06d', l_partkey) END AS series_id,
+  SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'eq_' || l_suppkey ELSE 'pt_' || l_partkey END AS series_id,
          CAST(l_shipdate AS DATE) AS as_of, CASE WHEN l_suppkey % 2 = 0 THEN l_quantity ELSE l_partkey END AS value
   FROM lineitem)"""
 
@@ -73,7 +73,7 @@ CONFLICT_ROWS = """crows AS (
 def conflict_rows(spark, sf):
     even = F.col("l_suppkey") % 2 == 0
     return adapters.table(spark, sf, "lineitem").select(
-        F.when(even, F.format_string("eq_%06d", "l_suppkey")).otherwise(F.format_string("pt_%06d", "l_partkey")).alias("series_id"),
+        F.when(even, adapters.keyed("eq_", "l_suppkey")).otherwise(adapters.keyed("pt_", "l_partkey")).alias("series_id"),
         F.col("l_shipdate").cast("date").alias("as_of"),
         F.when(even, F.col("l_quantity")).otherwise(F.col("l_partkey").cast("double")).alias("value"))
 
@@ -140,11 +140,11 @@ BELT = """offs AS (
 belt AS (SELECT series_id, bool_or(off) AS diverges, COUNT(*) FILTER (off) AS n_off FROM offs GROUP BY 1)"""
 TOTAL_RETURN = """tr AS (
   SELECT r.*, CASE WHEN NOT COALESCE(score >= CAST(0.7 AS DOUBLE), false) THEN 'stored:price_only'
-                   WHEN r.series_id IN ('eq_000003', 'eq_000010') THEN 'stored:pinned'
+                   WHEN r.series_id IN ('eq_3', 'eq_10') THEN 'stored:pinned'
                    WHEN diverges THEN 'stored:diverges' ELSE 'rebuilt' END AS basis
   FROM rebuilt r LEFT JOIN probe USING (series_id) JOIN belt USING (series_id)),
 trc AS (SELECT *, CASE WHEN basis = 'rebuilt' THEN rebuilt ELSE value_tr END AS tr_close FROM tr)"""
-PINNED = ["eq_000003", "eq_000010"]
+PINNED = ["eq_3", "eq_10"]
 TR_CHAIN = [*CHAIN, RECORDED, STEPS, PROBE, BELT, TOTAL_RETURN]
 
 

@@ -66,14 +66,15 @@ def a11(spark, sf):
 PROFILE = """profile AS (
   SELECT r.series_id, MIN(as_of) AS first_day, MAX(as_of) AS last_day, COUNT(as_of) AS n_rows, COUNT(as_of) > 0 AS live
   FROM registry r LEFT JOIN pbars b USING (series_id) GROUP BY 1)"""
-PBARS = "pbars AS (SELECT * FROM bars WHERE CAST(substr(series_id, 4) AS BIGINT) % 9 <> 4 AND (CAST(substr(series_id, 4) AS BIGINT) % 9 <> 5 OR as_of > DATE '2001-10-10'))"
+PBARS = "pbars AS (SELECT b.* FROM bars b JOIN registry USING (series_id) WHERE balance >= 0 AND (category <> 'nation_5' OR as_of > DATE '2001-10-25'))"
 
 
 def partial_bars(spark, sf):
-    """Bars as an archive would hold them after some series went dead and others were cut short."""
-    number = F.substring("series_id", 4, 10).cast("long")
-    return prices.bars(spark, sf).filter(
-        (number % 9 != 4) & ((number % 9 != 5) | (F.col("as_of") > F.lit(dt.date(2001, 10, 10)))))
+    """An archive without suppliers in debt, and with one nation cut to its last days."""
+    state = adapters.registry(spark, sf).select("series_id", "category", "balance")
+    return (prices.bars(spark, sf).join(state, "series_id")
+            .filter((F.col("balance") >= 0) & ((F.col("category") != "nation_5") | (F.col("as_of") > F.lit(dt.date(2001, 10, 25)))))
+            .drop("category", "balance"))
 
 
 def profile(spark, sf):
@@ -119,11 +120,11 @@ def d1(spark, sf):
 
 
 def quarantine(spark, sf):
-    return adapters.registry(spark, sf).filter(F.col("number") % 18 == 4).select("series_id")
+    return adapters.registry(spark, sf).filter("balance < -500").select("series_id")
 
 
 @query("d2_coverage", with_(*PCHAIN, """
-SELECT series_id, number % 18 = 4 AS quarantined FROM profile JOIN registry USING (series_id) WHERE NOT live AND NOT retired"""))
+SELECT series_id, balance < -500 AS quarantined FROM profile JOIN registry USING (series_id) WHERE NOT live AND NOT retired"""))
 def d2(spark, sf):
     return dq.coverage_report(profile(spark, sf), adapters.registry(spark, sf), quarantine(spark, sf))
 
@@ -203,12 +204,12 @@ def unfolded_log(spark, sf):
     """Every event as its own line, so that lines of one day can share a vintage."""
     day = F.col("ts").cast("date")
     return adapters.table(spark, sf, "events").select(
-        F.format_string("ev_%06d", "user_id").alias("series_id"), day.alias("as_of"),
+        adapters.keyed("ev_", "user_id").alias("series_id"), day.alias("as_of"),
         F.date_add(day, (F.col("event_id") % 3).cast("int")).alias("recorded_on"), "value")
 
 
 @query("d8_vintage_conflict", """
-SELECT printf('ev_%06d', user_id) AS series_id, CAST(ts AS DATE) AS as_of, COUNT(*) AS n_lines, COUNT(DISTINCT event_id % 3) AS n_vintages
+SELECT 'ev_' || user_id AS series_id, CAST(ts AS DATE) AS as_of, COUNT(*) AS n_lines, COUNT(DISTINCT event_id % 3) AS n_vintages
 FROM events GROUP BY 1, 2 HAVING COUNT(*) <> COUNT(DISTINCT event_id % 3)""")
 def d8(spark, sf):
     return dq.vintage_conflicts(unfolded_log(spark, sf))
@@ -247,7 +248,7 @@ def d11(spark, sf):
 
 @query("d12_gate_tally", with_(*PCHAIN, BASELINES, """gates AS (
   SELECT true AS hard, (SELECT COUNT(*) FROM baselines JOIN profile USING (series_id) WHERE first_day IS NULL OR first_day > reach_back_to OR n_rows < min_rows) AS n
-  UNION ALL SELECT true, (SELECT COUNT(*) FROM profile JOIN registry USING (series_id) WHERE NOT live AND NOT retired AND number % 18 <> 4)
+  UNION ALL SELECT true, (SELECT COUNT(*) FROM profile JOIN registry USING (series_id) WHERE NOT live AND NOT retired AND balance >= -500)
   UNION ALL SELECT false, (SELECT COUNT(*) FROM profile WHERE live AND n_rows < 5)
   UNION ALL SELECT true, (SELECT COUNT(*) FROM (SELECT series_id, as_of FROM pbars GROUP BY 1, 2 HAVING COUNT(*) > 1))
   UNION ALL SELECT true, 0)

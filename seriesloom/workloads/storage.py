@@ -132,15 +132,15 @@ def s12(spark, sf):
 
 
 @query("s19_extract_status", with_(prices.REGISTRY, """arrived AS (
-  SELECT 'eq_' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS series_id, CASE WHEN l_suppkey % 8 <> 3 THEN l_quantity END AS value, l_suppkey % 9 = 2 AND l_linenumber = 7 AS broken
-  FROM lineitem WHERE l_suppkey % 10 <> 6)
+  SELECT 'eq_' || l_suppkey AS series_id, CASE WHEN s_nationkey <> 3 THEN l_quantity END AS value, l_quantity = 50 AND l_discount = 0 AND l_tax = 0 AS broken
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal >= 0)
 SELECT r.series_id, CASE WHEN COUNT(a.series_id) = 0 THEN 'dead' WHEN bool_or(broken) THEN 'malformed' WHEN COUNT(value) = 0 THEN 'empty' ELSE 'ok' END AS status,
        COUNT(value) AS n_rows FROM registry r LEFT JOIN arrived a USING (series_id) GROUP BY 1"""))
 def s19(spark, sf):
-    supplier = F.col("l_suppkey")
-    arrived = adapters.table(spark, sf, "lineitem").filter(supplier % 10 != 6).select(
-        F.format_string("eq_%06d", "l_suppkey").alias("series_id"), F.when(supplier % 8 != 3, F.col("l_quantity")).alias("value"),
-        ((supplier % 9 == 2) & (F.col("l_linenumber") == 7)).alias("broken"))
+    senders = adapters.table(spark, sf, "supplier").filter("s_acctbal >= 0").select("s_suppkey", "s_nationkey")
+    arrived = adapters.table(spark, sf, "lineitem").join(senders, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        adapters.keyed("eq_", "l_suppkey").alias("series_id"), F.when(F.col("s_nationkey") != 3, F.col("l_quantity")).alias("value"),
+        F.expr("l_quantity = 50 AND l_discount = 0 AND l_tax = 0").alias("broken"))
     return extracts.extract_status(adapters.registry(spark, sf), arrived, F.col("broken"))
 
 
@@ -293,7 +293,7 @@ def r3_stream(spark, sf):
 
 
 @query("r4_snapshot_accumulation", """
-SELECT printf('ev_%06d', user_id) AS series_id, CAST(ts AS DATE) AS as_of, arg_max(value, struct_pack(a := CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER), b := event_id)) AS value
+SELECT 'ev_' || user_id AS series_id, CAST(ts AS DATE) AS as_of, arg_max(value, struct_pack(a := CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER), b := event_id)) AS value
 FROM events GROUP BY 1, 2""")
 def r4(spark, sf):
     path, state = scratch_path(spark, "snapshots"), scratch_path(spark, "state")
