@@ -11,6 +11,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
+DIGITS = int(os.environ.get("CHECK_DIGITS", "12"))  # 17 compares doubles exactly
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
@@ -29,7 +30,7 @@ def plain(value):
         return value
     if isinstance(value, (float, decimal.Decimal)):
         number = float(value)
-        return None if math.isnan(number) else (0.0 if number == 0 else float(f"{number:.12g}"))
+        return None if math.isnan(number) else (0.0 if number == 0 else float(f"{number:.{DIGITS}g}"))
     if isinstance(value, dt.datetime):
         return value.isoformat()
     if isinstance(value, dt.date):
