@@ -11,7 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["packing", "near_dedup", "token_counts", "decontamination"]
+MODULES = ["toxicity", "packing", "near_dedup", "language", "quality_model", "lattice_lm", "token_counts",
+           "decontamination"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
