@@ -2,15 +2,16 @@
 
 Two permutations make the whole signature: ``sigma`` spreads the shingle hashes over a circle
 of ``CIRCLE`` places, and coordinate k is the least value of ``pi`` over the set's places
-shifted by k. Bands of ``rows`` coordinates are the buckets. With 40 bands of 5, a pair at
-similarity 0.85 misses all buckets with probability (1 - 0.85^5)^40 < 1e-10.
+shifted by k. Bands of ``rows`` coordinates are the buckets. With 50 bands of 8, a pair at
+similarity 0.85 misses all buckets with probability (1 - 0.85^8)^50 < 2e-7.
 
 Equal shingle sets are one class and take part once, whatever the number of copies. In a
-bucket, members are compared with a few hubs, not with each other. Verified links join
-classes to components; a bucket whose members are in one component is finished. The others
-go on with four times as many hubs each turn, until every pair of members in different components
-has been compared. So no group emits all its pairs, and none is left out. Links are confirmed on
-whole sets: 100 * intersection >= 85 * union.
+bucket, members are compared with one hub, not with each other: the member that meets most
+others over all buckets, which in a group of copies is the text they come from. Verified links
+join classes to components, and a bucket whose members are in one component is finished. The
+members of the others are compared by an exact rule: two of them are a pair if they share
+one of their rarest shingles (prefix filter), which loses no link and does not pair up large groups
+of unlinked copies. Links are confirmed on whole sets: 100 * intersection >= 85 * union.
 
 Components are found by label propagation with pointer jumping over verified links, each
 turn written to the shared folder. Nothing that grows with the data reaches the driver.
@@ -28,16 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table, text_bytes
+from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table, text_bytes, written
 from seriesloom.llm.registry import query
 from seriesloom.llm.textops import mix, shingle_set
-from seriesloom.session import scratch_path
 
 WORDS = 3
 PERCENT = 85
-BANDS, ROWS = 40, 5
-CIRCLE = 1 << 16
-HUBS = 2
+BANDS, ROWS = 50, 8
+CIRCLE = 1 << 18
 NO_ID = -(1 << 63)
 
 _random = np.random.default_rng(20240301)
@@ -48,12 +47,11 @@ PI = np.tile(_random.permutation(CIRCLE).astype(np.uint32), 2)
 
 def signature(shingles: np.ndarray, size: int) -> np.ndarray:
     """``size`` coordinates: coordinate k is min over x of pi[(sigma(x) + k) mod CIRCLE]."""
-    places = np.unique(mix(shingles ^ SIGMA_SEED) % np.uint64(CIRCLE)).astype(np.int64)
+    shifted = np.lib.stride_tricks.sliding_window_view(PI, size)
+    places = np.unique(mix(shingles ^ SIGMA_SEED) % np.uint64(CIRCLE))
     least = np.full(size, CIRCLE, dtype=np.uint32)
-    shifts = np.arange(size)
-    for first in range(0, len(places), 4096):
-        block = places[first:first + 4096, None] + shifts[None, :]
-        np.minimum(least, PI[block].min(axis=0), out=least)
+    for first in range(0, len(places), 256):
+        np.minimum(least, shifted[places[first:first + 256]].min(axis=0), out=least)
     return least
 
 
@@ -97,21 +95,12 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return map_arrow(docs, cut, "node long, n_shingles long, shingles array<bigint>")
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder; later steps read files, not their lineage."""
-    path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
-    sizes = sets.select("node", "n_shingles")
-    near = (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-            .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    left, right = sets.select("node", "shingles").toDF("a", "s_a"), sets.select("node", "shingles").toDF("b", "s_b")
+    left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("shingles").alias("s_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return (near.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common.alias("common"))
             .filter(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
             .select("a", "b"))
 
@@ -139,34 +128,76 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """node, label for the nodes that have links; members: (bucket, node), only buckets of two or more."""
-    wanted = members.select("node").distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+    """node, label for the nodes that have links.
+
+    members: (bucket, node, n_shingles), only buckets of two or more.
+    """
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n_members"))
+    meets = written(members.join(written(sizes, "sizes"), "bucket").groupBy("node")
+                    .agg(F.sum("n_members").alias("meets")), "meets")
+    texts = docs.join(meets, docs["doc_id"] == meets["node"], "left_semi")
     sets = written(shingle_sets(texts, words), "sets")
-    links, labels, hubs = None, None, HUBS
-    active = members.withColumn("label", F.col("node"))
-    while True:
-        # A bucket's hubs: of each of ``hubs`` parts of its members, the one with the least hash.
-        part = F.pmod(F.xxhash64("node", "bucket", F.lit(hubs)), F.lit(hubs))
-        chosen = written(active.groupBy("bucket", part.alias("part"))
-                         .agg(F.min(F.struct(F.xxhash64("bucket", "node").alias("h"), "node", "label")).alias("hub"))
-                         .select("bucket", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")), "hubs")
-        pairs = (active.join(chosen, "bucket").filter(F.col("label") != F.col("hub_label"))
-                 .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-        found = verified(written(pairs, "pairs"), sets, percent)
-        links = written(found if links is None else links.unionByName(found), "verified")
-        labels = written(components(links), "labels")
-        # Open: a bucket of several components in which two members or more were not hubs.
-        compared = chosen.groupBy("bucket").agg(F.count("*").alias("n_hubs"))
-        again = active.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_buckets = (again.groupBy("bucket")
-                        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n_members"))
-                        .join(compared, "bucket")
-                        .filter((F.col("lo") < F.col("hi")) & (F.col("n_members") - F.col("n_hubs") > 1)))
-        active = written(again.join(written(open_buckets.select("bucket"), "open"), "bucket", "left_semi"), "active")
-        if active.isEmpty():
-            return labels
-        hubs *= 4
+    members = written(members.join(meets, "node"), "members")
+    # A bucket's hub is the member that meets most others.
+    first = F.struct((-F.col("meets")).alias("meets"), F.xxhash64("node").alias("h"), "node", "n_shingles")
+    hubs = written(members.groupBy("bucket").agg(F.min(first).alias("hub")).select(
+        "bucket", F.col("hub.node").alias("hub"), F.col("hub.n_shingles").alias("hub_size")), "hubs")
+    fits = 100 * F.least("n_shingles", "hub_size") >= percent * F.greatest("n_shingles", "hub_size")
+    pairs = written(members.join(hubs, "bucket").filter((F.col("node") != F.col("hub")) & fits)
+                    .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
+    links = written(verified(pairs, sets, percent), "verified")
+    labels = components(links)
+    # Open: members of a bucket that holds several components, beyond the hub and one other.
+    named = written(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    several = (named.groupBy("bucket")
+               .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n_members"))
+               .filter((F.col("lo") < F.col("hi")) & (F.col("n_members") > 2)).select("bucket"))
+    open_nodes = written(named.join(written(several, "several"), "bucket", "left_semi")
+                         .select("node", "label").distinct(), "open")
+    if open_nodes.isEmpty():
+        return labels
+    rest = written(rare_prefix_pairs(sets, open_nodes, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
+    found = written(verified(rest, sets, percent), "verified")
+    return labels if found.isEmpty() else components(links.unionByName(found))
+
+
+def rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b) of ``nodes`` with different labels that may reach the similarity.
+
+    Prefix filter (Xiao et al. 2008): with the shingles of a set in order of rising frequency, two
+    sets that reach the similarity share one among the first n - ceil(2t/(1+t) n) + 1 of
+    the smaller and the first n - ceil(t n) + 1 of the larger. Shingles of one text alone need
+    no join; they only fill places. So a text with many words of its own meets nobody, however
+    large the group it comes from.
+    """
+    own = sets.select("node", "n_shingles", "shingles").join(nodes, "node").dropDuplicates(["node"])
+    single = written(own.select("node", "label", "n_shingles", F.explode("shingles").alias("shingle")), "shingles")
+    often = written(single.groupBy("shingle").agg(F.count("*").alias("held")).filter(F.col("held") > 1), "often")
+    ordered = single.join(often, "shingle").groupBy("node", "label", "n_shingles").agg(
+        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("common"))
+    n, alone = F.col("n_shingles"), F.col("n_shingles") - F.size("common")
+
+    def prefix(required):
+        return F.slice("common", F.lit(1), F.greatest(n - required + 1 - alone, F.lit(0)).cast("int"))
+
+    smaller = F.ceil(2 * percent * n / (100 + percent))
+    larger = F.ceil(percent * n / 100)
+    kept = written(ordered.select("node", "label", "n_shingles", alone.alias("alone"), prefix(smaller).alias("index"),
+                                  prefix(larger).alias("probe")), "prefixes")
+
+    def side(name, which):
+        return (kept.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"),
+                            F.col("n_shingles").alias(f"{name}_n"), "alone", F.posexplode(which).alias("at", "rare"))
+                .select(name, f"{name}_label", f"{name}_n", F.col("rare.shingle").alias("shingle"),
+                        (F.col(f"{name}_n") - F.col("alone") - F.col("at")).alias(f"{name}_left")))
+
+    # If this is the first shingle both share, no more than what is left of either can be common.
+    required = F.ceil(percent * (F.col("x_n") + F.col("y_n")) / (100 + percent))
+    fits = ((F.col("x_label") != F.col("y_label")) & (F.col("x_n") <= F.col("y_n"))
+            & (100 * F.col("x_n") >= percent * F.col("y_n"))
+            & (F.least("x_left", "y_left") >= required))
+    return side("x", "index").join(side("y", "probe"), "shingle").filter(fits).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
@@ -177,12 +208,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows_ = signed.select("doc_id", "n_shingles", "class_key").distinct()
     classes = written(rows_.filter(F.col("class_key").isNotNull()).groupBy("class_key")
                       .agg(F.min("doc_id").alias("node")), "classes")
-    first = signed.select("class_key", F.col("doc_id").alias("node"), "buckets")
+    first = signed.select("class_key", F.col("doc_id").alias("node"), "n_shingles", "buckets")
     buckets = written(first.join(classes, ["class_key", "node"], "left_semi")
-                      .select("node", F.explode("buckets").alias("bucket")), "buckets")
+                      .select("node", "n_shingles", F.explode("buckets").alias("bucket")), "buckets")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = written(shared.filter(F.col("lo") < F.col("hi")).select("bucket"), "shared")
-    members = written(buckets.join(shared, "bucket", "left_semi").distinct(), "members")
+    members = written(buckets.join(shared, "bucket", "left_semi").dropDuplicates(["bucket", "node"]), "members")
     labels = linked(texts, members, words, percent)
     named = written(classes.join(labels, "node", "left")
                     .select("class_key", F.coalesce("label", "node").alias("component")), "components")
