@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table
+from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table, written
 from seriesloom.llm.registry import query
 from seriesloom.llm.tokens import VOCABULARY, encoding
 
@@ -71,4 +71,5 @@ def context_report(histogram: DataFrame) -> DataFrame:
 
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_report(length_histogram(token_lengths(table(spark, sf_dir, "documents"))))
+    histogram = length_histogram(token_lengths(table(spark, sf_dir, "documents")))
+    return context_report(written(histogram, "lengths"))  # the report reads it twice
