@@ -1,9 +1,9 @@
 """Toxicity: a subsequence string-kernel support vector machine with Nyström landmarks.
 
 The kernel counts common subsequences of four letters; a subsequence that stretches over l
-characters weighs DECAY^l, so gaps and inserted characters only weaken a match (Lodhi et al.
-2002). Characters that are no letters take up room but match nothing. The kernel is
-normalised by both self kernels, which the same recursion gives.
+characters (at most nine) weighs DECAY^l, so gaps and inserted characters only weaken a match
+(Lodhi et al. 2002). Characters that are no letters take up room but match nothing. The kernel is
+normalised by both self kernels.
 
 A text is read as spans: its words between marks for start and end, words longer than fourteen
 bytes as overlapping stretches of fourteen, and runs of single characters ("i d i o t")
@@ -29,8 +29,8 @@ give a row; a null id is not held out.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterable
 from itertools import combinations
 
 import numpy as np
@@ -50,6 +50,8 @@ POSITIVES, NEGATIVES = 600, 2400
 LENGTH = 4
 DECAY = 0.6
 SPAN, STEP = 14, 5
+STRETCH = 9
+FLOOR = -0.8
 CACHE = 200_000
 
 #: Marks of a span's start and end; these bytes occur in no UTF-8 text.
@@ -89,72 +91,76 @@ def _by_length(strings: list[bytes]):
             yield rows, BYTE_CLASS[data].reshape(len(rows), size)
 
 
+@functools.lru_cache(maxsize=64)
+def choices(size: int) -> list[tuple[tuple[int, ...], float]]:
+    """Places of every subsequence in a string of ``size`` characters, in nested order, and its weight."""
+    return [(places, DECAY ** (places[-1] - places[0] + 1)) for places in combinations(range(size), LENGTH)
+            if places[-1] - places[0] < STRETCH]
+
+
+def codes(classes: np.ndarray):
+    """(code of the subsequence in each string, weight) for every choice of places.
+
+    A code with a zero digit holds a character that matches nothing; no landmark has one.
+    """
+    at = np.ascontiguousarray(classes.T).astype(np.int32)
+    prefix, done = (), {(): np.zeros(len(classes), dtype=np.int32)}
+    for places, weight in choices(classes.shape[1]):
+        while places[:len(prefix)] != prefix:
+            done.pop(prefix)
+            prefix = prefix[:-1]
+        while len(prefix) < LENGTH - 1:
+            longer = places[:len(prefix) + 1]
+            done[longer] = (done[prefix] + at[longer[-1]]) * 32
+            prefix = longer
+        yield done[prefix] + at[places[-1]], weight
+
+
 def self_kernel(strings: list[bytes]) -> np.ndarray:
-    """K(x, x) of each string by the gap-weighted recursion, vectorised over strings of one length."""
+    """K(x, x) of each string."""
     out = np.zeros(len(strings))
     for every, all_classes in _by_length(strings):
-        for first in range(0, len(every), 4096):
-            rows, classes = every[first:first + 4096], all_classes[first:first + 4096]
-            out[rows] = _self_kernel(classes)
+        if all_classes.shape[1] < LENGTH:
+            continue
+        for first in range(0, len(every), 2048):
+            rows, classes = every[first:first + 2048], all_classes[first:first + 2048]
+            columns = list(codes(classes))
+            found = np.stack([code for code, _ in columns], axis=1)
+            weight = np.broadcast_to(np.array([w for _, w in columns]), found.shape).copy()
+            for digit in range(LENGTH):
+                weight[(found >> (5 * digit)) & 31 == 0] = 0
+            order = np.argsort(found, axis=1)
+            found, weight = np.take_along_axis(found, order, 1), np.take_along_axis(weight, order, 1)
+            fresh = np.ones(found.shape, dtype=bool)
+            fresh[:, 1:] = found[:, 1:] != found[:, :-1]
+            starts = np.flatnonzero(fresh.reshape(-1))
+            sums = np.add.reduceat(weight.reshape(-1), starts)
+            out[rows] = np.bincount(starts // found.shape[1], sums ** 2, minlength=len(rows))
     return out
 
 
-def _self_kernel(classes: np.ndarray) -> np.ndarray:
-    n, size = classes.shape
-    letters = np.ascontiguousarray(classes.T)
-    squared = np.float32(DECAY * DECAY)
-    same = [[(squared * ((letters[i] == letters[j]) & (letters[i] > 0))).astype(np.float32) for j in range(size)]
-            for i in range(size)]
-    before = None  # K'_{q-1}(i, j); None stands for 1 everywhere
-    for level in range(1, LENGTH):
-        table_ = [[None] * (size + 1) for _ in range(size + 1)]
-        zero = np.zeros(n, dtype=np.float32)
-        for i in range(size + 1):
-            table_[i][0] = table_[0][i] = zero
-        for i in range(1, size + 1):
-            run = zero
-            for j in range(1, size + 1):
-                step = same[i - 1][j - 1] if before is None else same[i - 1][j - 1] * before[i - 1][j - 1]
-                run = run * np.float32(DECAY) + step
-                table_[i][j] = table_[i - 1][j] * np.float32(DECAY) + run
-        before = table_
-    total = np.zeros(n, dtype=np.float64)
-    for i in range(size):
-        for j in range(size):
-            total += same[i][j] * before[i][j]
-    return total
-
-
-def occurrences(classes: np.ndarray) -> Iterable[tuple[np.ndarray, float]]:
-    """(codes of the subsequences at some places, their weight) for every choice of places; code 0 matches nothing."""
-    wide = classes.astype(np.int32)
-    for places in combinations(range(classes.shape[1]), LENGTH):
-        code = np.zeros(len(wide), dtype=np.int32)
-        valid = np.ones(len(wide), dtype=bool)
-        for place in places:
-            code = code * 32 + wide[:, place]
-            valid &= wide[:, place] > 0
-        yield np.where(valid, code, 0), DECAY ** (places[-1] - places[0] + 1)
-
-
 def profile(string: bytes) -> dict[int, float]:
     """The explicit feature vector of a short string."""
     out: dict[int, float] = {}
     if len(string) >= LENGTH:
-        for code, weight in occurrences(BYTE_CLASS[np.frombuffer(string, dtype=np.uint8)][None, :]):
-            if code[0]:
-                out[int(code[0])] = out.get(int(code[0]), 0.0) + weight
+        for found, weight in codes(BYTE_CLASS[np.frombuffer(string, dtype=np.uint8)][None, :]):
+            code = int(found[0])
+            if all((code >> (5 * digit)) & 31 for digit in range(LENGTH)):
+                out[code] = out.get(code, 0.0) + weight
     return out
 
 
 def dot(strings: list[bytes], weights: np.ndarray) -> np.ndarray:
     """Product of each string's feature vector with ``weights`` (one column or several per code)."""
     out = np.zeros((len(strings), *weights.shape[1:]))
-    for rows, classes in _by_length(strings):
-        if classes.shape[1] >= LENGTH:
+    for every, all_classes in _by_length(strings):
+        if all_classes.shape[1] < LENGTH:
+            continue
+        for first in range(0, len(every), 4096):
+            rows, classes = every[first:first + 4096], all_classes[first:first + 4096]
             total = np.zeros((len(rows), *weights.shape[1:]), dtype=np.float32)
-            for code, weight in occurrences(classes):
-                total += np.float32(weight) * weights[code]
+            for code, weight in codes(classes):
+                total += np.float32(weight) * weights.take(code, axis=0)
             out[rows] = total
     return out
 
@@ -188,24 +194,22 @@ class Model:
         return {**self.__dict__, "_weights": None}
 
     def decisions(self, strings: list[bytes]) -> np.ndarray:
+        """Decision value of each string, and FLOOR for those that lie below it."""
         if self._weights is None:
             self._weights = np.zeros(32 ** LENGTH, dtype=np.float32)
             self._weights[self.codes] = self.values
         raw = dot(strings, self._weights)
-        norms = np.sqrt(np.maximum(self_kernel_where(strings, raw != 0), 1e-30))
-        return np.where(raw != 0, raw / norms, 0.0) + self.bias
+        out = np.full(len(strings), FLOOR)
+        # K(x, x) is at least that of one subsequence without a gap, so few strings need it in full.
+        rows = np.flatnonzero(raw + (self.bias - FLOOR) * DECAY ** LENGTH > 0)
+        norms = np.sqrt(np.maximum(self_kernel([strings[k] for k in rows]), 1e-30))
+        out[rows] = np.maximum(raw[rows] / norms + self.bias, FLOOR)
+        return out
 
     def probability(self, best: np.ndarray, hits: np.ndarray, size: np.ndarray) -> np.ndarray:
         return sigmoid(document_signs(best, hits, size) @ np.array(self.curve))
 
 
-def self_kernel_where(strings: list[bytes], needed: np.ndarray) -> np.ndarray:
-    out = np.ones(len(strings))
-    rows = np.flatnonzero(needed)
-    out[rows] = self_kernel([strings[k] for k in rows])
-    return out
-
-
 def sampled_texts(docs: DataFrame, labels: DataFrame, sample_docs: int) -> tuple[DataFrame, float]:
     """Texts and labels of the bounded sample, and the true share of toxic labels."""
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -318,7 +322,6 @@ def score_texts(docs: DataFrame, model: Model, *kept: str) -> DataFrame:
 
     def score(batches):
         fitted, cache = shared.value, {}
-        empty = float(fitted.bias)
         for batch in small_batches(batches, most_bytes=2 << 20):
             found = [spans(text) for text in text_bytes(batch.column("text"))]
             fresh = sorted(set().union(*found).difference(cache)) if found else []
@@ -334,7 +337,7 @@ def score_texts(docs: DataFrame, model: Model, *kept: str) -> DataFrame:
             best, worst, hits = [], [], []
             for some in found:
                 values = [cache[x] for x in some]
-                top = max(values, default=empty)
+                top = max(values, default=FLOOR)
                 best.append(top)
                 hits.append(sum([value > 0 for value in values]))
                 worst.append(min((x for x, value in zip(some, values) if value == top), default=None))
