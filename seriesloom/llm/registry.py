@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ["toxicity", "suffix_dedup", "packing", "near_dedup", "language", "quality_model", "lattice_lm", "token_counts",
+MODULES = ["toxicity", "suffix_dedup", "packing", "near_dedup", "language", "quality_model", "quality_rules", "lattice_lm", "token_counts",
            "decontamination"]
 
 
