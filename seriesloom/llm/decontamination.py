@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import ASCII_LOWER_SQL, arrow, id_and_text, map_arrow, small_batches, table, text_bytes
+from seriesloom.llm.common import ASCII_LOWER_SQL, arrow, id_and_text, map_arrow, small_batches, table, text_bytes, written
 from seriesloom.llm.registry import query
 
 WINDOW = 10
@@ -125,18 +125,20 @@ def scan(docs: DataFrame, pairs: list[tuple[bytes, str | None]]) -> DataFrame:
     return map_arrow(keyed, search, "doc_id long, text_key long, n_words long, hit_words array<int>, item_ids array<string>")
 
 
+def pair_blocks(benchmark: DataFrame, block_pairs: int) -> Iterator[list[tuple[bytes, str | None]]]:
+    """The (window, item) pairs in blocks of about ``block_pairs``, each read when it is asked for."""
+    windows = written(benchmark_windows(benchmark), "windows")
+    blocks = max(1, -(-windows.count() // block_pairs))
+    dealt = windows.withColumn("bench_block", F.pmod(F.xxhash64("bench_window", "bench_item"), F.lit(blocks)))
+    for block in range(blocks):
+        yield [(bytes(row.bench_window), row.bench_item)
+               for row in dealt.filter(F.col("bench_block") == block).toLocalIterator()]
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """doc_id, n_words, hit_words (positions of words inside occurrences), item_ids."""
-    windows = benchmark_windows(benchmark).cache()
-    try:
-        blocks = max(1, -(-windows.count() // block_pairs))
-        dealt = windows.withColumn("bench_block", F.pmod(F.xxhash64("bench_window", "bench_item"), F.lit(blocks)))
-        scans = [scan(docs, [(bytes(row.bench_window), row.bench_item)
-                             for row in dealt.filter(F.col("bench_block") == block).toLocalIterator()])
-                 for block in range(blocks)]
-    finally:
-        windows.unpersist()
-    if blocks == 1:
+    scans = [scan(docs, pairs) for pairs in pair_blocks(benchmark, block_pairs)]
+    if len(scans) == 1:
         return scans[0].drop("text_key")
     union = scans[0]
     for part in scans[1:]:
@@ -148,11 +150,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_pairs: int =
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark window, with all their columns."""
-    dirty = (find_contamination(docs, benchmark, block_pairs).filter(F.size("hit_words") > 0)
-             .select(F.col("doc_id").alias("_dirty_id")).distinct())
-    ids = docs["doc_id"].cast("long")
-    return docs.join(dirty, ids == F.col("_dirty_id"), "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark window, with all their columns; blocks in turn."""
+    for pairs in pair_blocks(benchmark, block_pairs):
+        shared = docs.sparkSession.sparkContext.broadcast(pairs)
+
+        def clean(batches, shared=shared):
+            searchers = matchers(shared.value)
+            for batch in small_batches(batches):
+                words = map(item_words, text_bytes(batch.column("text")))
+                yield batch.filter(pa.array([not any(next(x.occurrences(w), None) for x in searchers) for w in words],
+                                            pa.bool_()))
+
+        docs = map_arrow(docs, clean, docs.schema)
+    return docs
 
 
 SQL = f"""

@@ -35,7 +35,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import id_and_text, map_arrow, ship, small_batches, table, text_bytes
+from seriesloom.llm.common import map_arrow, ship, small_batches, table, text_bytes
 from seriesloom.llm.registry import query
 from seriesloom.llm.textops import BYTE_VALUE, mix
 
@@ -205,10 +205,12 @@ def shared_anchors(blobs: DataFrame, shards: int, parts: int) -> DataFrame:
     return map_arrow(blobs, count, "part int, shard int, ids binary, codes binary, hot binary")
 
 
-def ordered_rows(texts: pa.Table) -> list[tuple[int, bytes]]:
-    """Rows of a part by id and text: the same numbering each time the part is read."""
-    return sorted(zip(texts.column("doc_id").to_pylist(),
-                      [value or b"" for value in texts.column("text").cast(pa.binary()).to_pylist()]))
+def row_order(texts: pa.Table) -> tuple[list[int], list[int], list[bytes]]:
+    """Row numbers of a part by id and text (the same numbering each time it is read), and ids and texts so ordered."""
+    ids = texts.column("doc_id").to_pylist()
+    data = [value or b"" for value in texts.column("text").cast(pa.binary()).to_pylist()]
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], data[k]))
+    return order, [ids[k] for k in order], [data[k] for k in order]
 
 
 def cut_stretches(shards: int):
@@ -229,7 +231,7 @@ def cut_stretches(shards: int):
         seen: dict[bytes, int] = {}
         out: dict[int, list] = {}
         settled = out.setdefault(part % shards, [])
-        for number, (doc, text) in enumerate(ordered_rows(texts)):
+        for number, (doc, text) in enumerate(zip(*row_order(texts)[1:])):
             lo, hi = np.searchsorted(ids, doc, "left"), np.searchsorted(ids, doc, "right")
             if lo == hi or len(text) < MATCH:
                 continue
@@ -383,16 +385,24 @@ def slices_of(data, offsets, count, docs, waiting, slices):
 KEPT = "doc_id long, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
 
 
+def whole_characters(kept: bytes) -> bytes:
+    return kept.decode("utf-8", "ignore").encode("utf-8")
+
+
 def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
-    """Step 4 for one part: spans to remove and what is left of each text."""
-    rows = ordered_rows(texts)
+    """Step 4 for one part: spans to remove and what is left of each text; carried columns follow.
+
+    With carried columns, ``kept`` holds whole characters only and the text itself comes along.
+    """
+    carried = [name for name in texts.column_names if name.startswith("_carried_")]
+    order, ids, data = row_order(texts)
     blobs = [np.frombuffer(x, dtype=np.int32).reshape(3, -1) for x in replies.column("removed").to_pylist()]
     number, start, end = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), dtype=np.int32)
-    order = np.argsort(number, kind="stable")
-    number, start, end = number[order], start[order], end[order]
+    by_row = np.argsort(number, kind="stable")
+    number, start, end = number[by_row], start[by_row], end[by_row]
     spans, kept = [], []
-    edges = np.searchsorted(number, np.arange(len(rows) + 1))
-    for k, (_, text) in enumerate(rows):
+    edges = np.searchsorted(number, np.arange(len(ids) + 1))
+    for k, text in enumerate(data):
         lo, hi = edges[k], edges[k + 1]
         if lo == hi:
             spans.append([])
@@ -404,29 +414,63 @@ def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
         gone = np.cumsum(depth[:-1]) > 0
         turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
         spans.append([{"start": int(a), "end": int(b)} for a, b in turns])
-        kept.append(np.frombuffer(text, dtype=np.uint8)[~gone].tobytes())
+        left = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
+        kept.append(whole_characters(left) if carried else left)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    return pa.Table.from_arrays(
-        [pa.array([None if doc == NO_ID else doc for doc, _ in rows], pa.int64()),
-         pa.array([len(text) for _, text in rows], pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())],
-        ["doc_id", "n_bytes", "spans", "kept"])
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, spans (removed runs, by byte), kept (the bytes that stay)."""
+    columns = {"doc_id": pa.array([None if doc == NO_ID else doc for doc in ids], pa.int64()),
+               "n_bytes": pa.array([len(text) for text in data], pa.int64()),
+               "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())}
+    if carried:
+        moved = texts.take(pa.array(order, pa.int64()))
+        null = moved.column("_null").to_pylist()
+        columns["_text_or_null"] = pa.array([None if gone else text.decode("utf-8") for gone, text in zip(null, data)],
+                                            pa.string())
+        columns |= {name: moved.column(name) for name in carried}
+    return pa.table(columns)
+
+
+def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, n_bytes, spans (removed runs, by byte), kept (the bytes that stay).
+
+    With ``carry``, also the text as it was and every other column of ``docs`` as _carried_<place>.
+    """
     spark = docs.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = SHARDS_PER_PARTITION * partitions
     parts = prime_from(shards)
-    texts = id_and_text(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
-                                     F.coalesce("text", F.lit("")).alias("text"))
+    extra = [] if not carry else [F.col("text").isNull().alias("_null"), *[
+        F.col(name).alias(f"_carried_{k}") for k, name in enumerate(docs.columns) if name != "text"]]
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
     replies = shared_anchors(to_shards(texts, shards).repartition(partitions, "shard"), shards, parts)
     dealt = texts.withColumn("part", F.pmod("doc_id", F.lit(parts)).cast("int"))
     stretches = (dealt.groupBy("part").cogroup(replies.groupBy("part"))
                  .applyInArrow(cut_stretches(shards), "shard int, part int, ids binary, places binary, bytes binary"))
     removed = removed_stretches(stretches.repartition(partitions, "shard"))
-    return dealt.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(strike, KEPT)
+    schema = KEPT + (", _text_or_null string" if carry else "") + "".join(
+        f", {name} {kind}" for name, kind in dealt.dtypes if name.startswith("_carried_"))
+    return dealt.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(strike, schema)
+
+
+def shortened(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without their repeated passages; all columns stay.
+
+    A character of which a byte is removed goes whole. A null text stays null; ``n_chars``, if there is
+    such a column, is counted anew for the rows that change.
+    """
+    found = remove_repeats(docs, carry=True)
+    changed = F.size("spans") > 0
+    text = F.when(changed, F.decode("kept", "UTF-8")).otherwise(F.col("_text_or_null"))
+    columns = []
+    for k, field in enumerate(docs.schema.fields):
+        value = F.col(f"_carried_{k}")
+        if field.name == "text":
+            value = text
+        elif field.name == "n_chars":
+            value = F.when(changed, F.length(text)).otherwise(value)
+        columns.append(value.cast(field.dataType).alias(field.name))
+    return found.select(*columns)
 
 
 SQL = f"""

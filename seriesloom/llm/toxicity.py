@@ -315,51 +315,67 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, la
     return model
 
 
+class TextScorer:
+    """Scores texts with a model; decisions of words are kept from batch to batch, up to CACHE words."""
+
+    def __init__(self, model: Model):
+        self.model, self.cache = model, {}
+
+    def __call__(self, texts: list[bytes]) -> dict[str, list | np.ndarray]:
+        """score, decision, hits, n_spans, worst_span of each text."""
+        cache, found = self.cache, [spans(text) for text in texts]
+        fresh = sorted(set().union(*found).difference(cache))
+        if len(cache) + len(fresh) > CACHE:
+            cache.clear()
+            fresh = sorted(set().union(*found))
+        for first in range(0, len(fresh), 20_000):
+            part = fresh[first:first + 20_000]
+            pieces = [stretches(x) for x in part]
+            decided = self.model.decisions([x for some in pieces for x in some])
+            starts = np.cumsum([0, *[len(some) for some in pieces]])[:-1]
+            cache.update(zip(part, np.maximum.reduceat(decided, starts).tolist()))
+        best, worst, hits = [], [], []
+        for some in found:
+            values = [cache[x] for x in some]
+            top = max(values, default=FLOOR)
+            best.append(top)
+            hits.append(sum([value > 0 for value in values]))
+            worst.append(min((x for x, value in zip(some, values) if value == top), default=None))
+        size = np.array([len(some) for some in found])
+        return {"score": self.model.probability(np.array(best), np.array(hits), size), "decision": best, "hits": hits,
+                "n_spans": size, "worst_span": [None if x is None else x.decode("utf-8", "replace") for x in worst]}
+
+
 def score_texts(docs: DataFrame, model: Model, *kept: str) -> DataFrame:
     """doc_id, score (probability that the text is toxic), decision (of the worst span), hits (spans with a
     positive decision), n_spans, worst_span, and the columns ``kept``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = [pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
 
     def score(batches):
-        fitted, cache = shared.value, {}
+        scorer = TextScorer(shared.value)
         for batch in small_batches(batches, most_bytes=2 << 20):
-            found = [spans(text) for text in text_bytes(batch.column("text"))]
-            fresh = sorted(set().union(*found).difference(cache)) if found else []
-            if len(cache) + len(fresh) > CACHE:
-                cache.clear()
-                fresh = sorted(set().union(*found))
-            for first in range(0, len(fresh), 20_000):
-                part = fresh[first:first + 20_000]
-                pieces = [stretches(x) for x in part]
-                decided = fitted.decisions([x for some in pieces for x in some])
-                starts = np.cumsum([0, *[len(some) for some in pieces]])[:-1]
-                cache.update(zip(part, np.maximum.reduceat(decided, starts).tolist()))
-            best, worst, hits = [], [], []
-            for some in found:
-                values = [cache[x] for x in some]
-                top = max(values, default=FLOOR)
-                best.append(top)
-                hits.append(sum([value > 0 for value in values]))
-                worst.append(min((x for x, value in zip(some, values) if value == top), default=None))
-            size = np.array([len(some) for some in found])
-            chance = fitted.probability(np.array(best), np.array(hits), size)
+            found = scorer(text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(chance, pa.float64()), pa.array(best, pa.float64()),
-                 pa.array(hits, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array([None if x is None else x.decode("utf-8", "replace") for x in worst], pa.string()),
-                 *[batch.column(name) for name in kept]], ["doc_id", "score", "decision", "hits", "n_spans", "worst_span", *kept])
+                [batch.column("doc_id"), *[pa.array(values, kind) for values, kind in zip(found.values(), kinds)],
+                 *[batch.column(name) for name in kept]], ["doc_id", *found, *kept])
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
     extra = "".join(f", {name} {kind}" for name, kind in columns.dtypes[2:])
     return map_arrow(columns, score, "doc_id long, score double, decision double, hits long, n_spans long, "
-                                    "worst_span string" + extra)
+                                     "worst_span string" + extra)
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
-    rejected = (score_texts(docs, model).filter(F.col("score") >= threshold)
-                .select(F.col("doc_id").alias("_toxic_id")).distinct())
-    return docs.join(rejected, docs["doc_id"].cast("long") == F.col("_toxic_id"), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def clean(batches):
+        scorer = TextScorer(shared.value)
+        for batch in small_batches(batches, most_bytes=2 << 20):
+            yield batch.filter(pa.array(scorer(text_bytes(batch.column("text")))["score"] < threshold))
+
+    return map_arrow(docs, clean, docs.schema)
 
 
 @query("op1_toxicity")
