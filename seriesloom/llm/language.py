@@ -78,7 +78,7 @@ class Duels:
         for a, b in self.pairs:
             rows = np.flatnonzero((classes == self.names[a]) | (classes == self.names[b]))
             weights.append(svm(matrix[rows], np.where(classes[rows] == self.names[a], 1.0, -1.0), COST))
-        self.weights = np.array(weights, dtype=np.float32).reshape(len(weights), -1).T
+        self.weights = np.array(weights, dtype=np.float32).reshape(len(weights), matrix.shape[1]).T
 
     def decide(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the winner and how sure the closest of its duels is (0 to 1)."""

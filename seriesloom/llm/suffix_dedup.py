@@ -10,15 +10,16 @@ about one position in sixteen is one.
      their documents. (Hashes travel packed, by bucket of the hash.)
   2. Each document cuts out, for each such anchor, the stretch of text whose strings it stands
      for. Equal stretches of documents dealt to the same part are settled there: all but the
-     smallest id are repeats. The others travel by anchor. An anchor in more than ``HOT``
-     places sends each of its strings by that string's own hash, so no task gets a common line whole.
+     smallest id are repeats. The others travel by anchor. A hot anchor (in more than ``HOT``
+     places and a quarter of its shard) sends each of its strings by that string's own hash, so no task
+     gets the surroundings of a common line whole.
   3. Each shard indexes its stretches in batches of rising document id. A batch gets a suffix
      array (the places of its stretches in the order of the 50 bytes that follow). It is
      merge-scanned against itself and all existing levels for matches of full length, then
      becomes a level; levels of like size are merged, so n batches make about log n levels.
      The earliest document of each string decides.
   4. The removed stretches go back to their documents.
-Shards and parts are several for each shuffle partition, so a task's memory is the data divided
+There is a shard for each shuffle partition and a few parts, so a task's memory is the data divided
 by the session's shuffle partitions. Texts are shuffled once and read twice.
 
 Defined cases: null text is empty; texts under 50 bytes stay whole; repeated rows and rows
@@ -46,7 +47,7 @@ HOT = 4096
 BATCH = 1 << 17
 SLICE = 1 << 20
 FLUSH_BYTES = 24 << 20
-SHARDS_PER_PARTITION = 4
+PARTS_PER_PARTITION = 4
 NO_ID = -(1 << 63)
 CODE_BITS = 40
 
@@ -177,7 +178,7 @@ def gathered(batches) -> dict[int, list[dict]]:
     return out
 
 
-def shared_anchors(blobs: DataFrame, shards: int, parts: int) -> DataFrame:
+def shared_anchors(blobs: DataFrame, parts: int, hot_from: int = HOT) -> DataFrame:
     """Step 1, shards: part, blobs of ids, hashes held by several ids, whether hot."""
     def count(batches):
         for shard, rows in gathered(batches).items():
@@ -191,7 +192,7 @@ def shared_anchors(blobs: DataFrame, shards: int, parts: int) -> DataFrame:
                 continue
             held = np.diff(np.concatenate([edge, [len(codes)]]))
             several = np.minimum.reduceat(ids, edge) != np.maximum.reduceat(ids, edge)
-            keep, hot = np.repeat(several, held), np.repeat(held > HOT, held)
+            keep, hot = np.repeat(several, held), np.repeat(held > max(hot_from, len(codes) // 4), held)
             ids, codes, hot = ids[keep], codes[keep], hot[keep]
             out = []
             for part, mine in split_by(np.mod(ids, parts)):
@@ -244,15 +245,19 @@ def cut_stretches(shards: int):
             shared = mine[at] == full
             last = np.concatenate([first[1:], [len(text) - MATCH + 1]])
             for k in np.flatnonzero(shared).tolist():
-                start, end, hot = int(first[k]), int(last[k]), hots[by_key[at[k]]]
-                for begin, count in [(t, 1) for t in range(start, end)] if hot else [(start, end - start)]:
-                    stretch = text[begin:begin + count + MATCH - 1]
-                    holder = seen.setdefault(stretch, doc)
-                    if holder < doc:
-                        settled.append((doc, number, begin, count, b""))
-                    else:
-                        shard = zlib.crc32(stretch) % shards if hot else int(full[k] >> own)
-                        out.setdefault(shard, []).append((doc, number, begin, count, stretch))
+                start, count, hot = int(first[k]), int(last[k] - first[k]), hots[by_key[at[k]]]
+                stretch = text[start:start + count + MATCH - 1]
+                if seen.setdefault(stretch, doc) < doc:
+                    settled.append((doc, number, start, count, b""))
+                elif not hot:
+                    out.setdefault(int(full[k] >> own), []).append((doc, number, start, count, stretch))
+                else:
+                    for begin in range(start, start + count):
+                        string = text[begin:begin + MATCH]
+                        if seen.setdefault(string, doc) < doc:
+                            settled.append((doc, number, begin, 1, b""))
+                        else:
+                            out.setdefault(zlib.crc32(string) % shards, []).append((doc, number, begin, 1, string))
         return stretches_table([(shard, part, rows) for shard, rows in out.items() if rows])
 
     return cut
@@ -327,10 +332,22 @@ def earlier_elsewhere(data: np.ndarray, places: np.ndarray, docs: np.ndarray, ba
     return out
 
 
+def joined(number: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Row numbers, starts and ends with stretches of a row that touch made one; three rows of int32."""
+    order = np.lexsort([start, number])
+    number, start, end = number[order].astype(np.int64), start[order], end[order]
+    wide = number << 32  # ends of earlier rows lie below every start of the next
+    reach = np.maximum.accumulate(wide + end)
+    fresh = np.concatenate([[True], (wide + start)[1:] > reach[:-1]]) if len(order) else np.zeros(0, dtype=bool)
+    edge = np.flatnonzero(fresh)
+    last = np.concatenate([edge[1:], [len(order)]])[:len(edge)] - 1
+    return np.stack([number[edge], start[edge], reach[last] - wide[last]]).astype(np.int32)
+
+
 def removed_stretches(blobs: DataFrame) -> DataFrame:
     """Step 3: part, blobs of (row number, start, end) to remove."""
     def search(batches):
-        opener = zstandard.ZstdDecompressor()
+        opener, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for shard, rows in gathered(batches).items():
             sizes = [len(row["ids"]) // 8 for row in rows]
             part = np.repeat([row["part"] for row in rows], sizes)
@@ -356,7 +373,7 @@ def removed_stretches(blobs: DataFrame) -> DataFrame:
                     found.append((part[hit[edge]], number[hit[edge]], start[hit[edge]] + at[edge],
                                   start[hit[edge]] + at[end] + MATCH))
             to, number, start, end = (np.concatenate(x) for x in zip(*found))
-            out = [(p, np.stack([number[k], start[k], end[k]]).astype(np.int32).tobytes()) for p, k in split_by(to)]
+            out = [(p, packer.compress(joined(number[k], start[k], end[k]).tobytes())) for p, k in split_by(to)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()),
                                               pa.array([x[1] for x in out], pa.binary())], ["part", "removed"])
 
@@ -396,7 +413,8 @@ def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
     """
     carried = [name for name in texts.column_names if name.startswith("_carried_")]
     order, ids, data = row_order(texts)
-    blobs = [np.frombuffer(x, dtype=np.int32).reshape(3, -1) for x in replies.column("removed").to_pylist()]
+    opener = zstandard.ZstdDecompressor()
+    blobs = [np.frombuffer(opener.decompress(x), dtype=np.int32).reshape(3, -1) for x in replies.column("removed").to_pylist()]
     number, start, end = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), dtype=np.int32)
     by_row = np.argsort(number, kind="stable")
     number, start, end = number[by_row], start[by_row], end[by_row]
@@ -429,7 +447,7 @@ def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
     return pa.table(columns)
 
 
-def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, spans (removed runs, by byte), kept (the bytes that stay).
 
     With ``carry``, also the text as it was and every other column of ``docs`` as _carried_<place>.
@@ -437,17 +455,16 @@ def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = SHARDS_PER_PARTITION * partitions
-    parts = prime_from(shards)
+    shards, parts = partitions, prime_from(PARTS_PER_PARTITION * partitions)
     extra = [] if not carry else [F.col("text").isNull().alias("_null"), *[
         F.col(name).alias(f"_carried_{k}") for k, name in enumerate(docs.columns) if name != "text"]]
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
-    replies = shared_anchors(to_shards(texts, shards).repartition(partitions, "shard"), shards, parts)
+    replies = shared_anchors(to_shards(texts, shards).repartitionById(shards, F.col("shard")), parts, hot)
     dealt = texts.withColumn("part", F.pmod("doc_id", F.lit(parts)).cast("int"))
     stretches = (dealt.groupBy("part").cogroup(replies.groupBy("part"))
                  .applyInArrow(cut_stretches(shards), "shard int, part int, ids binary, places binary, bytes binary"))
-    removed = removed_stretches(stretches.repartition(partitions, "shard"))
+    removed = removed_stretches(stretches.repartitionById(shards, F.col("shard")))
     schema = KEPT + (", _text_or_null string" if carry else "") + "".join(
         f", {name} {kind}" for name, kind in dealt.dtypes if name.startswith("_carried_"))
     return dealt.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(strike, schema)
