@@ -23,8 +23,9 @@ def iso_week(day) -> Column:
 
 
 def lenient_date(text) -> Column:
-    """First ten characters as a date, NULL when they are not one."""
-    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    """Date at the start of a text, alone or before a time; NULL for anything else."""
+    alone = F.regexp_like(text, F.lit(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:.*|Z)?$"))
+    return F.when(alone, F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
 
 
 def epoch_or_text_date(column, is_epoch: Column) -> Column:

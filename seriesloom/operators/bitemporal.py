@@ -21,13 +21,14 @@ ACTIONS = ["append", "restate", "revise", "freeze", "skip"]
 def current_view(log: DataFrame, as_of_vintage: dt.date | None = None) -> DataFrame:
     """Newest line per series and day, optionally as known at a past vintage.
 
-    A partial aggregate picks the line, so days with many vintages shrink before the shuffle.
+    One stored line is taken whole: of several lines of the newest vintage the greatest by all
+    its fields, so that a replay gives the same line and fields of two lines never mix. A partial
+    aggregate picks it, so days with many vintages shrink before the shuffle.
     """
     lines = log if as_of_vintage is None else log.filter(F.col("recorded_on") <= F.lit(as_of_vintage))
     rest = [c for c in log.columns if c not in KEY and c != "recorded_on"]
-    return lines.groupBy(*KEY).agg(
-        F.max("recorded_on").alias("recorded_on"), *[F.max_by(c, "recorded_on").alias(c) for c in rest],
-    ).select(*log.columns)
+    line = F.max(F.struct("recorded_on", *rest)).alias("line")
+    return lines.groupBy(*KEY).agg(line).select(*KEY, "line.*").select(*log.columns)
 
 
 def _same(fields: Sequence[str], tolerance: float) -> Column:
@@ -125,8 +126,10 @@ def promote(source_log: DataFrame, target_log: DataFrame) -> DataFrame:
     """Plan that replays the current view of a verified history into another one.
 
     Each line keeps its own ``recorded_on``. Only a history without restatements qualifies,
-    so every line that would restate marks its series as refused.
+    so every line that would restate marks its series as refused. An empty source is refused.
     """
+    if source_log.isEmpty():
+        raise ValueError("the source history is empty; nothing is promoted")
     plan = append_plan(target_log, current_view(source_log))
     return plan.withColumn("refused", F.col("refused") | F.max(F.col("action") == "restate").over(whole()))
 

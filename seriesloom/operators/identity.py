@@ -115,21 +115,26 @@ def stable_ids(epochs: DataFrame) -> DataFrame:
 
 # --- snapshot comparison -----------------------------------------------------------------------
 
+def named(column: str) -> Column:
+    """An identifier, or NULL where the text is empty: an empty one names nothing."""
+    return F.nullif(F.trim(column), F.lit(""))
+
+
 def resolve_figi(snapshot: DataFrame, lookup: DataFrame | None) -> DataFrame:
     """Prefer the looked-up identifier over the one the snapshot carries."""
     if lookup is None:
         return snapshot
-    found = lookup.select("ticker", "exch_code", F.col("share_class_figi").alias("found"))
+    found = lookup.select("ticker", "exch_code", named("share_class_figi").alias("found"))
     return (snapshot.join(found, ["ticker", "exch_code"], "left")
-            .withColumn("share_class_figi", F.coalesce("found", "share_class_figi")).drop("found"))
+            .withColumn("share_class_figi", F.coalesce("found", named("share_class_figi"))).drop("found"))
 
 
 def snapshot_diff(epochs: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Every ticker of either side as appeared, disappeared or stayed, with both sets of fields."""
     held = open_epochs(epochs).select(
-        "ticker", "internal_id", F.col("name").alias("old_name"), F.col("isin").alias("old_isin"),
-        F.col("share_class_figi").alias("old_figi"), F.col("review_flag").alias("old_flag"))
-    new = snapshot.select("ticker", "exch_code", "name", "isin", F.col("share_class_figi").alias("figi"),
+        "ticker", "internal_id", F.col("name").alias("old_name"), named("isin").alias("old_isin"),
+        named("share_class_figi").alias("old_figi"), F.col("review_flag").alias("old_flag"))
+    new = snapshot.select("ticker", "exch_code", "name", named("isin").alias("isin"), named("share_class_figi").alias("figi"),
                           F.lit(True).alias("listed"))
     side = (F.when(F.col("internal_id").isNull(), F.lit("appeared"))
             .when(F.col("listed").isNull(), F.lit("disappeared")).otherwise(F.lit("stayed")))
@@ -198,8 +203,9 @@ def rename_links(appeared: DataFrame, disappeared: DataFrame, figi_offline: bool
     ``ticker, old_ticker, link_via, review_flag``.
     """
     gone = cut_lineage(disappeared.select(
-        F.col("ticker").alias("old_ticker"), F.col("name").alias("old_name"), F.col("isin").alias("old_isin"),
-        F.col("figi").alias("old_figi")))
+        F.col("ticker").alias("old_ticker"), F.col("name").alias("old_name"), named("isin").alias("old_isin"),
+        named("figi").alias("old_figi")))
+    appeared = appeared.withColumns({"isin": named("isin"), "figi": named("figi")})
     by_figi = gone.filter(F.col("old_figi").isNotNull()).select("old_ticker", F.col("old_figi").alias("figi"))
     by_isin = gone.filter(F.col("old_isin").isNotNull()).select("old_ticker", F.col("old_isin").alias("isin"))
     figi_known = by_figi.select("figi").distinct().withColumn("figi_match", F.lit(True))
@@ -361,7 +367,7 @@ def unstamped(universe: DataFrame, epochs: DataFrame) -> DataFrame:
 
 def enrich_figi(epochs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Fill a missing share-class id on open epochs from a lookup table."""
-    found = lookup.select("ticker", "exch_code", F.col("share_class_figi").alias("found"))
+    found = lookup.select("ticker", "exch_code", named("share_class_figi").alias("found"))
     return epochs.join(found, ["ticker", "exch_code"], "left").withColumn(
-        "share_class_figi", F.when(F.col("effective_to").isNull(), F.coalesce("share_class_figi", "found"))
+        "share_class_figi", F.when(F.col("effective_to").isNull(), F.coalesce(named("share_class_figi"), "found"))
         .otherwise(F.col("share_class_figi"))).select(*EPOCH_COLUMNS)

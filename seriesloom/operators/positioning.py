@@ -110,26 +110,31 @@ def assign_markets(reports: DataFrame, markets: Sequence[Market]) -> DataFrame:
 
     A pinned market matches by contract code; any other by a part of the contract name.
     The market list is configuration, so it travels as literals and no join is needed.
+    Required and excluded terms come later: see ``pin_configured_names``.
     """
     name = F.upper("contract_name")
 
     def wanted(m: Market) -> Column:
         if m.code:
             return F.col("contract_code") == m.code
-        hit = F.contains(name, F.lit((m.query_name or m.key).upper()))
-        return hit & ~holds_any(name, list(m.must_not_contain)) if m.must_not_contain else hit
+        return F.contains(name, F.lit((m.query_name or m.key).upper()))
 
     hits = F.array_compact(F.array(*[F.when(wanted(m), F.lit(m.key)) for m in markets]))
     return reports.withColumn("market", F.explode(hits))
 
 
 def pin_configured_names(rows: DataFrame, markets: Sequence[Market]) -> DataFrame:
-    """Apply each name-found market's required terms, with the keep-all fallback."""
-    keep = F.lit(True)
+    """Apply each name-found market's required terms with the keep-all fallback, then drop excluded names.
+
+    Exclusion has no fallback and comes second: if it takes the pinned rows, the market has none.
+    """
+    keep, barred = F.lit(True), F.lit(False)
     for m in markets:
         if not m.code and m.must_contain:
             keep = F.when(F.col("market") == m.key, holds_all(F.col("contract_name"), list(m.must_contain))).otherwise(keep)
-    return _keep_if_any(rows, keep)
+        if not m.code and m.must_not_contain:
+            barred = F.when(F.col("market") == m.key, holds_any(F.col("contract_name"), list(m.must_not_contain))).otherwise(barred)
+    return _keep_if_any(rows, keep).filter(~barred)
 
 
 def largest_per_date(landed: DataFrame) -> DataFrame:

@@ -11,11 +11,6 @@ from seriesloom.functions.dates import contract_code, iso_week, month_end, week_
 from seriesloom.functions.frames import in_order, whole
 
 
-def exact_mean(column: str, scale: int) -> Column:
-    """Mean of values that carry ``scale`` decimals, independent of row order."""
-    return F.sum(F.col(column).cast(f"decimal(28,{scale})")).cast("double") / F.count(column)
-
-
 def weekly_last(obs: DataFrame, columns: list[str] | None = None,
                 completed_before: dt.date | None = None) -> DataFrame:
     """Last value of each week ending Friday, per column, skipping NULLs.
@@ -34,11 +29,11 @@ def weekly_last(obs: DataFrame, columns: list[str] | None = None,
     return weekly
 
 
-def monthly_mean(obs: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
+def monthly_mean(obs: DataFrame, digits: int = 6) -> DataFrame:
     """Mean of each calendar month, labelled at the month end."""
     return (
         obs.groupBy("series_id", month_end("as_of").alias("month"))
-        .agg(F.round(exact_mean("value", scale), digits).alias("value"))
+        .agg(F.round(F.avg("value"), digits).alias("value"))
         .withColumnRenamed("month", "as_of")
     )
 
@@ -61,17 +56,17 @@ def label_month_end(obs: DataFrame) -> DataFrame:
     return obs.withColumn("month_end", month_end("as_of"))
 
 
-def vintage_monthly_mean(vintages: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
+def vintage_monthly_mean(vintages: DataFrame, digits: int = 6) -> DataFrame:
     """Month mean inside each vintage: only rows published with that vintage count."""
     return (
         vintages.groupBy("series_id", "realtime_start", month_end("date").alias("as_of"))
-        .agg(F.round(exact_mean("value", scale), digits).alias("value"),
+        .agg(F.round(F.avg("value"), digits).alias("value"),
              F.max("realtime_end").alias("realtime_end"))
         .withColumnRenamed("realtime_start", "recorded_on")
     )
 
 
-def vintage_monthly_as_known(vintages: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
+def vintage_monthly_as_known(vintages: DataFrame, digits: int = 6) -> DataFrame:
     """Month mean over every row known at each vintage of the same series and month."""
     keyed = vintages.withColumn("as_of", month_end("date"))
     marks = keyed.select("series_id", "as_of", F.col("realtime_start").alias("recorded_on")).distinct()
@@ -79,7 +74,7 @@ def vintage_monthly_as_known(vintages: DataFrame, digits: int = 6, scale: int =
         marks.join(keyed, ["series_id", "as_of"])
         .filter(F.col("recorded_on").between(F.col("realtime_start"), F.col("realtime_end")))
         .groupBy("series_id", "as_of", "recorded_on")
-        .agg(F.round(exact_mean("value", scale), digits).alias("value"))
+        .agg(F.round(F.avg("value"), digits).alias("value"))
     )
 
 
@@ -89,7 +84,7 @@ def baseline(obs: DataFrame, start: dt.date, end: dt.date, min_coverage: float =
     return (
         obs.filter(F.col("as_of").between(F.lit(start), F.lit(end)) & F.col("value").isNotNull())
         .groupBy("series_id")
-        .agg(exact_mean("value", 2).alias("base"), F.count("value").alias("days"))
+        .agg(F.avg("value").alias("base"), F.count("value").alias("days"))
         .withColumn("expected_days", F.lit(expected).cast("long"))
         .withColumn("covered", F.col("days") >= min_coverage * F.col("expected_days"))
     )
@@ -106,7 +101,7 @@ def weekly_mean_completed(daily: DataFrame) -> DataFrame:
     """Mean of each week ending Friday, one decimal; the unfinished last week is dropped."""
     weeks = (
         daily.groupBy("series_id", week_ending_friday("as_of").alias("week"))
-        .agg(F.round(exact_mean("value", 1), 1).alias("value"), F.max("as_of").alias("newest"))
+        .agg(F.round(F.avg("value"), 1).alias("value"), F.max("as_of").alias("newest"))
     )
     return (
         weeks.withColumn("newest", F.max("newest").over(whole()))
@@ -133,8 +128,7 @@ def seasonal_deviation(weekly: DataFrame, seasonal_years: int = 5, unit: float =
         "week": iso_week("as_of"), "newest_year": F.max(F.year("as_of")).over(whole())})
     recent = F.when(F.year("as_of") >= F.col("newest_year") - seasonal_years, F.col("change"))
     same_week = Window.partitionBy("series_id", "week")
-    norm = (F.sum(recent.cast("decimal(28,2)")).over(same_week).cast("double")
-            / F.nullif(F.count(recent).over(same_week), F.lit(0)))
+    norm = F.avg(recent).over(same_week)
     return dated.select("series_id", "as_of", F.round((F.col("change") - norm) / unit, 2).alias("value"))
 
 

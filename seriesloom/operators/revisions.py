@@ -79,6 +79,12 @@ def named_items(classified: DataFrame, limit: int = NAMED_ITEMS) -> DataFrame:
     )
 
 
+def all_changed_cells(stored: DataFrame, incoming: DataFrame, recomputed: DataFrame | None = None) -> DataFrame:
+    """Every changed cell with its kind, for the ledger; nothing is capped."""
+    return classified_cells(changed_cells(stored, incoming), recomputed).select(
+        "series_id", "as_of", "field", "kind", "old", "new")
+
+
 def declarations(stored: DataFrame, incoming: DataFrame, recomputed: DataFrame | None = None,
                  split_rows: int = SPLIT_SUSPECT_ROWS, limit: int = NAMED_ITEMS) -> DataFrame:
     """One row per series that changed; series without a change do not appear.

@@ -38,9 +38,8 @@ def consecutive_state(weekly: DataFrame, bull_below: float = 50, bull_rows: int
 
 def seasonal_state(deviation: DataFrame, window: int = 4, bull_mean: float = -3.0, bear_builds: int = 2) -> DataFrame:
     """BULL on a low trailing mean deviation, BEAR on consecutive positive ones."""
-    from seriesloom.operators.resample import exact_mean
     recent = tail_rows(deviation, window).groupBy("series_id").agg(
-        F.count("value").alias("n"), exact_mean("value", 2).alias("mean"))
+        F.count("value").alias("n"), F.avg("value").alias("mean"))
     builds = trailing_streak(deviation, F.col("value") > 0, "builds")
     full = F.col("n") >= window
     return recent.join(builds, "series_id").select(
@@ -95,9 +94,8 @@ def composite(states: DataFrame, falsifier: DataFrame, silent: str = "S5", must_
 
 def dials(series: DataFrame, deviation: DataFrame, percent: DataFrame) -> DataFrame:
     """Stock and flow readings between 0 and 1; 0.5 for a flow without data."""
-    from seriesloom.operators.resample import exact_mean
-    stock = tail_rows(deviation, 4).groupBy("series_id").agg(exact_mean("value", 2).alias("mean4"))
-    flow = tail_rows(percent, 7).groupBy("series_id").agg(F.round(exact_mean("value", 1), 1).alias("pct7"))
+    stock = tail_rows(deviation, 4).groupBy("series_id").agg(F.avg("value").alias("mean4"))
+    flow = tail_rows(percent, 7).groupBy("series_id").agg(F.round(F.avg("value"), 1).alias("pct7"))
 
     def clamp(x: Column) -> Column:
         return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))

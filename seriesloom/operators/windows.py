@@ -111,10 +111,9 @@ def tail_rows(obs: DataFrame, rows: int) -> DataFrame:
     return obs.withColumn("recency", recency()).filter(F.col("recency") <= rows).drop("recency")
 
 
-def tail_mean(obs: DataFrame, rows: int, digits: int, scale: int) -> DataFrame:
-    from seriesloom.operators.resample import exact_mean
+def tail_mean(obs: DataFrame, rows: int, digits: int) -> DataFrame:
     return tail_rows(obs, rows).groupBy("series_id").agg(
-        F.round(exact_mean("value", scale), digits).alias("tail_mean"), F.count("value").alias("n_rows"))
+        F.round(F.avg("value"), digits).alias("tail_mean"), F.count("value").alias("n_rows"))
 
 
 def change_over_rows(obs: DataFrame, rows: int, digits: int = 6) -> DataFrame:
@@ -181,15 +180,30 @@ def cohort_frontier(monthly: DataFrame, anchors: DataFrame) -> DataFrame:
         F.max(month_end("as_of")).alias("frontier"))
 
 
-def carry_forward(monthly: DataFrame, frontier: dt.date | Column) -> DataFrame:
+def last_of_month(monthly: DataFrame) -> DataFrame:
+    """One row per series and month, labelled at the month end: the last row of the month."""
+    payload = [c for c in monthly.columns if c not in ("series_id", "as_of")]
+    return monthly.groupBy("series_id", month_end("as_of").alias("month")).agg(
+        F.max_by(F.struct(*payload), "as_of").alias("last")).select("series_id", F.col("month").alias("as_of"), "last.*")
+
+
+def carry_forward(monthly: DataFrame, frontier: dt.date | Column, cohort: DataFrame | None = None) -> DataFrame:
     """Fill missing months with the last record, up to the frontier and never past it.
 
-    Later real months are kept. A fill repeats the whole last record and is flagged.
+    Later real months are kept. A fill repeats the whole last record and is flagged. Only series of
+    ``cohort`` (all without one) are touched; others keep their rows and days as they are. Without a
+    frontier (no anchor has a row) nothing is filled.
     """
+    if cohort is not None:
+        names = cohort.select("series_id").distinct()
+        rest = monthly.join(names, "series_id", "left_anti")
+        return carry_forward(monthly.join(names, "series_id", "left_semi"), frontier).unionByName(
+            rest, allowMissingColumns=True)
     edge = F.lit(frontier) if isinstance(frontier, dt.date) else frontier
-    by_month = monthly.withColumn("as_of", month_end("as_of"))
+    by_month = last_of_month(monthly)
     following = F.lead("as_of").over(in_order())
-    reach = F.least(F.last_day(F.add_months(F.trunc(following, "month"), -1)), edge)  # ignores a missing next month
+    before_next = F.coalesce(F.last_day(F.add_months(F.trunc(following, "month"), -1)), edge)
+    reach = F.when(edge.isNull(), F.col("as_of")).otherwise(F.least(before_next, edge))
     months = F.sequence(F.trunc("as_of", "month"), F.trunc(F.greatest("as_of", reach), "month"), F.expr("INTERVAL 1 MONTH"))
     walked = by_month.withColumn("months", months).withColumn("first_day", F.explode("months"))
     real = month_end("first_day") == F.col("as_of")

@@ -24,14 +24,46 @@ def resolve_column(fields: Sequence[str], candidates: Sequence[str]) -> str:
     raise ValueError(f"none of {list(candidates)} found; available columns: {list(fields)}")
 
 
+def no_observation(text: Column) -> Column:
+    """The marks a source writes for a day without a value; they are not errors."""
+    return F.coalesce(F.trim(text), F.lit("")).isin("", ".", "NaN", "nan")
+
+
+def macro_rejects(landed: DataFrame, dates: Sequence[str] = ("date",)) -> DataFrame:
+    """``series_id, reason`` of every text row whose date or number cannot be read."""
+    raw = F.col("value").cast("string")
+    bad_date = F.lit(False)
+    for name in dates:
+        bad_date = bad_date | lenient_date(F.col(name)).isNull()
+    bad_number = ~no_observation(raw) & observed_number(raw).isNull()
+    reason = (F.when(bad_date, F.concat(F.lit("unreadable date "), F.coalesce(F.col(dates[0]), F.lit("none"))))
+              .when(bad_number, F.concat(F.lit("unreadable value "), raw)))
+    return landed.select("series_id", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def macro_extracts(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Observations of the series whose extract can be read whole, and the status of every series.
+
+    A row that cannot be read fails its series, and only that one.
+    """
+    rejects = macro_rejects(landed).groupBy("series_id").agg(F.min("reason").alias("reason"),
+                                                            F.count(F.lit(1)).alias("n_rejected"))
+    rows = macro_observations(landed)
+    counted = landed.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_landed"))
+    status = counted.join(rejects, "series_id", "left").select(
+        "series_id", F.col("reason").isNull().alias("ok"), "n_landed",
+        F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected"), "reason")
+    return rows.join(rejects, "series_id", "left_anti"), status
+
+
 def macro_observations(landed: DataFrame) -> DataFrame:
-    """``series_id, as_of, value`` from text rows, without sentinels and garbage."""
+    """``series_id, as_of, value`` of the readable rows that hold an observation."""
     return landed.select("series_id", lenient_date(F.col("date")).alias("as_of"),
                          observed_number(F.col("value")).alias("value")).dropna()
 
 
 def macro_vintages(landed: DataFrame) -> DataFrame:
-    """Vintage rows from text, keeping the interval each value was live."""
+    """Readable vintage rows, keeping the interval each value was live; rejects: ``macro_rejects``."""
     return landed.select(
         "series_id", lenient_date(F.col("date")).alias("date"),
         lenient_date(F.col("realtime_start")).alias("realtime_start"),
@@ -48,14 +80,16 @@ def feature_counts(landed: DataFrame, date_candidates: Sequence[str], count_cand
                    key: str = "series_id") -> DataFrame:
     """Day and count of feature attributes whose column names and date form vary.
 
-    Dates are epoch milliseconds when the largest number in the batch is large enough.
+    An extract's dates are epoch milliseconds when its largest number is large enough; each
+    extract is decided by itself.
     """
     date_name = resolve_column(landed.columns, date_candidates)
     count_name = resolve_column(landed.columns, count_candidates)
     as_number = loose_number(F.col(date_name).cast("string"))
-    is_epoch = landed.agg((F.max(as_number) > EPOCH_MILLIS_FLOOR).alias("is_epoch")).scalar()
-    return landed.select(
-        F.col(key), epoch_or_text_date(F.col(date_name).cast("string"), F.coalesce(is_epoch, F.lit(False))).alias("as_of"),
+    forms = landed.groupBy(F.col(key).alias("_extract")).agg((F.max(as_number) > EPOCH_MILLIS_FLOOR).alias("_is_epoch"))
+    decided = landed.join(forms, F.col(key).eqNullSafe(F.col("_extract")), "left")
+    return decided.select(
+        F.col(key), epoch_or_text_date(F.col(date_name).cast("string"), F.coalesce("_is_epoch", F.lit(False))).alias("as_of"),
         loose_number(F.col(count_name).cast("string")).alias("value")).dropna()
 
 

@@ -14,6 +14,7 @@ from seriesloom.operators import bitemporal
 from seriesloom.session import cut_lineage, scratch_path
 
 BUCKETS = 64
+BUCKET_COLUMN = "bucket_of_{}"
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -68,25 +69,40 @@ def export_slot(obs: DataFrame, path: str) -> None:
 
 # --- full-replace table ---------------------------------------------------------------------
 
-def replace_series(obs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+def stored_buckets(held: DataFrame) -> int:
+    """The number of buckets a stored table was written with; its partition column names it."""
+    prefix = BUCKET_COLUMN.format("")
+    return next(int(name.removeprefix(prefix)) for name in held.columns if name.startswith(prefix))
+
+
+def replace_series(obs: DataFrame, path: str, buckets: int | None = None) -> None:
     """Replace the whole history of each series in ``obs``; other series keep theirs.
 
     Series live in hash buckets, so a million series do not become a million folders;
-    only the buckets of the touched series are rewritten.
+    only the buckets of the touched series are rewritten. The first write sets their number
+    (``BUCKETS`` unless given; choose it for the table's final size), and it is stored with the table:
+    later writes use it, and one that asks for another number is refused.
     """
-    bucket = F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int")
-    fresh = obs.withColumn("bucket", bucket)
     held = _read_or_none(obs.sparkSession, path)
     if held is not None:
-        touched = fresh.select("bucket").distinct()
-        others = held.join(touched, "bucket", "left_semi").join(
+        stored = stored_buckets(held)
+        if buckets is not None and buckets != stored:
+            raise ValueError(f"the table at {path} has {stored} buckets, not {buckets}")
+        buckets = stored
+    buckets = buckets or BUCKETS
+    column = BUCKET_COLUMN.format(buckets)
+    fresh = obs.withColumn(column, F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int"))
+    if held is not None:
+        touched = fresh.select(column).distinct()
+        others = held.join(touched, column, "left_semi").join(
             fresh.select("series_id").distinct(), "series_id", "left_anti")
         fresh = fresh.unionByName(others, allowMissingColumns=True)
-    _replace_partitions(fresh, path, "bucket")
+    _replace_partitions(fresh, path, column)
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
+    held = spark.read.parquet(path)
+    return held.drop(BUCKET_COLUMN.format(stored_buckets(held)))
 
 
 # --- append-only history -----------------------------------------------------------------------
@@ -147,16 +163,28 @@ def append_vintages(records: DataFrame, path: str) -> DataFrame:
 
 # --- ledger and catalog ----------------------------------------------------------------------------
 
-def write_ledger(declared: DataFrame, face_path: str, journal_path: str, run_at: dt.datetime) -> None:
-    """The face shows the last run; the journal keeps every run that declared something.
+def write_ledger(declared: DataFrame, face_path: str, journal_path: str, run_at: dt.datetime, batch_id: int = 0,
+                 cells: DataFrame | None = None, cells_path: str | None = None) -> None:
+    """The face shows the last run that declared something; the journal keeps every such run and batch.
 
-    Journal rows of one run share a partition, so a repeated run replaces its own rows only.
+    Journal rows of one batch of one run share a partition, so a repeated batch replaces its own
+    rows and no others. ``cells`` are all changed cells of the batch, without the cap that the named
+    lists of a declaration have; they are kept in the same way under ``cells_path``. A batch that
+    declares nothing, such as a replay, leaves the face as it is.
     """
+    stamp = run_at.strftime("%Y-%m-%dT%H-%M-%SZ")
+
+    def keep(rows: DataFrame, path: str) -> None:
+        (rows.withColumns({"run_at": F.lit(stamp), "batch_id": F.lit(batch_id)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_at", "batch_id").parquet(path))
+
     held = _staged(declared, "ledger")
+    if cells is not None:
+        keep(_staged(cells, "cells"), cells_path)
+    if held.isEmpty():
+        return
     held.write.mode("overwrite").parquet(face_path)
-    stamp = run_at.strftime("%Y-%m-%dT%H-%M-%SZ")
-    (held.withColumn("run_at", F.lit(stamp)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_at").parquet(journal_path))
+    keep(held, journal_path)
 
 
 def write_catalog(merged: DataFrame, path: str) -> None:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from seriesloom.functions.dates import month_end
+from seriesloom.functions.dates import month_end, week_ending_friday
 from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal, revisions
+from seriesloom.session import cut_lineage
 from seriesloom.sources import tables
 
 
@@ -39,44 +41,57 @@ def daily_append(stream: DataFrame, archive: str, checkpoint: str, run_date: dt.
     run_available(stream, checkpoint, handle)
 
 
-def completed_weeks(stream: DataFrame, time: str, late: str = "0 seconds") -> DataFrame:
-    """Last reading of each completed Saturday-to-Friday week, emitted once the watermark passes it.
+def _keep_part(rows: DataFrame, parts: str, checkpoint: str, batch_id: int) -> None:
+    """Store a micro-batch's part; a replay of it replaces the same part and no other.
+
+    The part is named by the checkpoint as well as the batch: a new checkpoint counts from 0 again.
+    """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    (rows.withColumns({"run": F.lit(run), "micro_batch": F.lit(batch_id)}).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run", "micro_batch").parquet(parts))
+
+
+def weekly_parts(stream: DataFrame, time: str, parts: str, checkpoint: str) -> None:
+    """Keep the last reading per series and Saturday-to-Friday week of each micro-batch.
 
     ``stream`` holds ``series_id``, an event time, ``arrival`` (order inside one instant) and ``value``.
+    However late a row comes, it amends its week: nothing is dropped by a watermark.
     """
-    week = F.window(time, "7 days", "7 days", "2 days")
-    return (
-        stream.withWatermark(time, late).groupBy("series_id", week.alias("week"))
-        .agg(F.max(F.struct(time, "arrival", "value")).alias("last"))
-        .select("series_id", F.date_sub(F.col("week.end").cast("date"), 1).alias("as_of"), F.col("last.value").alias("value"))
-    )
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        week = week_ending_friday(F.col(time).cast("date"))
+        last = F.max(F.struct(F.col(time).alias("at"), "arrival", "value")).alias("last")
+        _keep_part(batch.groupBy("series_id", week.alias("as_of")).agg(last), parts, checkpoint, batch_id)
 
+    run_available(stream, checkpoint, handle)
 
-def write_completed_weeks(weeks: DataFrame, path: str, checkpoint: str) -> None:
-    (weeks.writeStream.outputMode("append").format("parquet").option("path", path)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
+def completed_weeks(spark: SparkSession, parts: str) -> DataFrame:
+    """Last reading of each week that ended before the newest day of any series."""
+    kept = spark.read.parquet(parts)
+    newest = kept.agg(F.max(F.col("last.at").cast("date"))).scalar()
+    return (kept.groupBy("series_id", "as_of").agg(F.max("last").alias("last")).filter(F.col("as_of") < newest)
+            .select("series_id", "as_of", F.col("last.value").alias("value")))
 
-def monthly_parts(stream: DataFrame, parts: str, checkpoint: str) -> None:
-    """Keep sums and counts per series and month; each micro-batch owns one partition.
 
-    A replayed micro-batch overwrites its own partition, so nothing is counted twice.
-    """
+def monthly_parts(stream: DataFrame, parts: str, checkpoint: str) -> None:
+    """Keep sums and counts per series and month of each micro-batch."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("series_id", month_end("as_of").alias("month"))
-         .agg(F.sum(F.col("value").cast("decimal(28,2)")).alias("total"), F.count("value").alias("n"))
-         .withColumn("micro_batch", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(parts))
+        sums = batch.groupBy("series_id", month_end("as_of").alias("month")).agg(
+            F.sum("value").alias("total"), F.count("value").alias("n"))
+        _keep_part(sums, parts, checkpoint, batch_id)
 
     run_available(stream, checkpoint, handle)
 
 
 def completed_months(spark: SparkSession, parts: str, run_date: dt.date, digits: int = 6) -> DataFrame:
-    """Monthly means from the kept parts, without the month of the run date."""
+    """Monthly means from the kept parts, without the month of the run date.
+
+    Rounded in two steps, so that the order in which parts are added cannot turn a tie.
+    """
     return (
         spark.read.parquet(parts).filter(F.col("month") < F.trunc(F.lit(run_date), "month"))
         .groupBy("series_id", F.col("month").alias("as_of"))
-        .agg(F.round(F.sum("total").cast("double") / F.sum("n"), digits).alias("value"))
+        .agg(F.round(F.round(F.sum("total") / F.sum("n"), digits + 3), digits).alias("value"))
     )
 
 
@@ -86,22 +101,30 @@ def accumulate_snapshots(stream: DataFrame, path: str, checkpoint: str) -> None:
         readings = batch.groupBy("series_id", "as_of").agg(F.max_by("value", "arrival").alias("value"))
         held = tables._read_or_none(batch.sparkSession, path)
         if held is not None:
-            mine = held.drop("bucket").join(readings.select("series_id").distinct(), "series_id", "left_semi")
+            mine = held.join(readings.select("series_id").distinct(), "series_id", "left_semi")
             readings = bitemporal.upsert(mine.select("series_id", "as_of", "value"), readings)
         tables.replace_series(readings, path)
 
     run_available(stream, checkpoint, handle)
 
 
-def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str, checkpoint: str, run_date: dt.date) -> None:
-    """Late rows are classified against the stored view and restated, never dropped."""
-    def handle(batch: DataFrame, _: int) -> None:
-        incoming = _newest(batch, run_date)
+def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str, checkpoint: str, run_date: dt.date,
+                       cells: str | None = None) -> None:
+    """Late rows are classified against the stored view and restated, never dropped.
+
+    Of the archive only the batch's years and series are read. With ``cells`` every changed
+    cell is stored there too.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        incoming = cut_lineage(_newest(batch, run_date))
         held = tables._read_or_none(batch.sparkSession, archive)
-        if held is not None:
-            stored = bitemporal.current_view(held.drop("year"))
-            declared = revisions.declarations(stored, revisions.round_values(incoming))
-            tables.write_ledger(declared, face, journal, dt.datetime.combine(run_date, dt.time()))
+        first = incoming.agg(F.min(F.year("as_of"))).first()[0]
+        if held is not None and first is not None:
+            near = held.filter(F.col("year") >= first).join(incoming.select("series_id").distinct(), "series_id", "left_semi")
+            stored, fresh = bitemporal.current_view(near.drop("year")), revisions.round_values(incoming)
+            tables.write_ledger(revisions.declarations(stored, fresh), face, journal,
+                                dt.datetime.combine(run_date, dt.time()), batch_id,
+                                revisions.all_changed_cells(stored, fresh) if cells else None, cells)
         tables.append_history(incoming, archive)
 
     run_available(stream, checkpoint, handle)

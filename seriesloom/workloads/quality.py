@@ -297,7 +297,7 @@ pctl AS (SELECT a.series_id, a.as_of, CASE WHEN COUNT(*) >= 8 AND MIN(b.value) <
   FROM nw a JOIN nw b ON a.series_id = b.series_id AND b.r BETWEEN a.r - 51 AND a.r GROUP BY 1, 2)"""
 S2 = f"""s2 AS (SELECT series_id, {states_sql('COUNT(*) FILTER (r <= 2 AND value < 60) = 2', 'COUNT(*) FILTER (r <= 2 AND value > 40) = 2')} AS state
   FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS r FROM pctl WHERE value IS NOT NULL) GROUP BY 1)"""
-S3 = f"""d4 AS (SELECT series_id, COUNT(value) AS n, CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value) AS mean FROM (
+S3 = f"""d4 AS (SELECT series_id, COUNT(value) AS n, AVG(value) AS mean FROM (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS r FROM deviation) WHERE r <= 4 GROUP BY 1),
 builds AS (SELECT series_id, COALESCE(MIN(r) FILTER (NOT COALESCE(value > 0, false)) - 1, COUNT(*)) AS builds FROM (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS r FROM deviation) GROUP BY 1),
@@ -395,9 +395,9 @@ def g6(spark, sf):
 
 
 @query("g7_dials", with_(ORDER_VALUE, WEEKLY, series.CHANGES, series.DEVIATION, """d4 AS (
-  SELECT series_id, CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value) AS mean4 FROM (
+  SELECT series_id, AVG(value) AS mean4 FROM (
     SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS r FROM deviation) WHERE r <= 4 GROUP BY 1),
-f7 AS (SELECT series_id, round(CAST(SUM(CAST(value AS DECIMAL(28,1))) AS DOUBLE) / COUNT(value), 1) AS pct7 FROM (
+f7 AS (SELECT series_id, round(AVG(value), 1) AS pct7 FROM (
     SELECT series_id, round(value / 1000000 * 100, 1) AS value, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS r FROM obs) WHERE r <= 7 GROUP BY 1)
 SELECT series_id, round(GREATEST(0, LEAST(1, (2.0 - COALESCE(mean4, 0)) / 8.0)), 6) AS stock_dial,
        round(GREATEST(0, LEAST(1, COALESCE(1.0 - pct7 / 100.0, 0.5))), 6) AS flow_dial

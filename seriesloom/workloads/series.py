@@ -54,7 +54,7 @@ vint AS (SELECT series_id, date, value, CAST(last_day(date) + lag AS DATE) AS re
          CAST(last_day(date) + lag + 29 AS DATE) AS realtime_end FROM vintages)"""
 VINT_MONTH = """vmonth AS (
   SELECT series_id, realtime_start AS recorded_on, last_day(date) AS as_of,
-         round(CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value), 6) AS value,
+         round(AVG(value), 6) AS value,
          MAX(realtime_end) AS realtime_end
   FROM vint GROUP BY 1, 2, 3)"""
 
@@ -66,7 +66,7 @@ def a2(spark, sf):
 
 @query("a2_vintage_as_known", with_(VINTAGES, """
 SELECT m.series_id, m.as_of, m.recorded_on,
-       round(CAST(SUM(CAST(v.value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(v.value), 6) AS value
+       round(AVG(v.value), 6) AS value
 FROM (SELECT DISTINCT series_id, last_day(date) AS as_of, realtime_start AS recorded_on FROM vint) m
 JOIN vint v ON v.series_id = m.series_id AND last_day(v.date) = m.as_of
   AND m.recorded_on BETWEEN v.realtime_start AND v.realtime_end
@@ -121,7 +121,7 @@ def p24(spark, sf):
 
 
 BASE = """base AS (
-  SELECT series_id, CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value) AS base, COUNT(value) AS days,
+  SELECT series_id, AVG(value) AS base, COUNT(value) AS days,
          CAST(365 AS BIGINT) AS expected_days, COUNT(value) >= 0.9 * 365 AS covered
   FROM total WHERE as_of BETWEEN DATE '1996-01-01' AND DATE '1996-12-30' GROUP BY 1)"""
 PERCENT = """pct AS (
@@ -130,7 +130,7 @@ PERCENT = """pct AS (
 PERCENT_WEEK = f"""pctweek AS (
   SELECT series_id, week AS as_of, value FROM (
     SELECT series_id, {friday('as_of')} AS week,
-           round(CAST(SUM(CAST(value AS DECIMAL(28,1))) AS DOUBLE) / COUNT(value), 1) AS value,
+           round(AVG(value), 1) AS value,
            MAX(MAX(as_of)) OVER (PARTITION BY series_id) AS newest
     FROM pct GROUP BY 1, 2) WHERE week <= newest)"""
 
@@ -147,9 +147,29 @@ def percent_weekly(spark, sf):
     return resample.weekly_mean_completed(percent_daily(spark, sf))
 
 
-@query("a7_baseline_mean", with_(ORDER_VALUE_TOTAL, BASE, "SELECT * FROM base"))
+@query("a1_mean_six_decimals", """
+SELECT o_orderpriority AS series_id, last_day(CAST(o_orderdate AS DATE)) AS as_of, round(round(AVG(o_totalprice / 1e7), 9), 6) AS value
+FROM orders GROUP BY 1, 2""")
+def a1_six(spark, sf):
+    """Rates carry more than two decimals; the mean is taken of the values as they are."""
+    rates = adapters.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("date").alias("as_of"),
+        (F.col("o_totalprice") / 1e7).alias("value"))
+    return resample.monthly_mean(rates, digits=9).withColumn("value", F.round("value", 6))
+
+
+@query("w18_no_anchor", with_(ORDER_VALUE, MONTHLY, MONTHLY6, """
+SELECT series_id, as_of, value, CAST(NULL AS VARCHAR) AS filled, false AS provisional FROM monthly6"""))
+def w18_no_anchor(spark, sf):
+    """Without a row of an anchor series there is no frontier, and nothing is filled."""
+    obs = monthly(spark, sf)
+    frontier = windows.cohort_frontier(obs, obs.filter("series_id = 'none'")).scalar()
+    return windows.carry_forward(obs, frontier)
+
+
+@query("a7_baseline_mean", with_(ORDER_VALUE_TOTAL, BASE, "SELECT * REPLACE (round(base, 6) AS base) FROM base"))
 def a7(spark, sf):
-    return baseline(spark, sf)
+    return baseline(spark, sf).withColumn("base", F.round("base", 6))
 
 
 @query("a8_percent_of_baseline_weekly", with_(ORDER_VALUE_TOTAL, BASE, PERCENT, PERCENT_WEEK, "SELECT * FROM pctweek"))
@@ -161,7 +181,7 @@ CHANGES = """changes AS (
   SELECT * FROM (SELECT series_id, as_of, value - LAG(value) OVER (PARTITION BY series_id ORDER BY as_of) AS change
                  FROM weekly) WHERE change IS NOT NULL)"""
 DEVIATION = """norm AS (
-  SELECT series_id, week(as_of) AS wk, CAST(SUM(CAST(change AS DECIMAL(28,2))) AS DOUBLE) / COUNT(change) AS norm
+  SELECT series_id, week(as_of) AS wk, AVG(change) AS norm
   FROM changes c JOIN (SELECT series_id, MAX(year(as_of)) AS top FROM changes GROUP BY 1) USING (series_id)
   WHERE year(as_of) >= top - 5 GROUP BY 1, 2),
 deviation AS (
@@ -379,7 +399,7 @@ def w19(spark, sf):
 
 
 @query("w20_tail_mean", with_(ORDER_VALUE, """
-SELECT series_id, round(CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) / COUNT(value), 1) AS tail_mean, COUNT(value) AS n_rows FROM (
+SELECT series_id, round(AVG(value), 1) AS tail_mean, COUNT(value) AS n_rows FROM (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY as_of DESC) AS rn FROM obs) WHERE rn <= 7 GROUP BY 1"""))
 def w20(spark, sf):
-    return windows.tail_mean(adapters.order_value(spark, sf), 7, 1, 2)
+    return windows.tail_mean(adapters.order_value(spark, sf), 7, 1)

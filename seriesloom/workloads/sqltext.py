@@ -21,5 +21,5 @@ WEEKLY = f"""weekly AS (
 
 MONTHLY = """monthly AS (
   SELECT series_id, last_day(as_of) AS as_of,
-         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS value
+         AVG(value) AS value
   FROM obs GROUP BY 1, 2)"""

@@ -56,6 +56,37 @@ def s7(spark, sf):
     return extracts.feature_counts(features, ["date", "date_"], ["n_tankers", "tankers"])
 
 
+@query("s7_mixed_date_forms", """
+SELECT 'supp_' || l_suppkey AS series_id, CAST(l_shipdate AS DATE) AS as_of, l_quantity AS value FROM lineitem""")
+def s7_mixed(spark, sf):
+    """Some extracts hold epoch milliseconds, the others date text; each keeps its rows."""
+    day = F.col("l_shipdate").cast("date")
+    millis = (F.datediff(day, F.lit(dt.date(1970, 1, 1))).cast("long") * 86400000).cast("string")
+    features = adapters.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string")).alias("series_id"),
+        F.when(F.col("l_suppkey") % 2 == 0, millis).otherwise(day.cast("string")).alias("date"),
+        F.col("l_quantity").cast("string").alias("n"))
+    return extracts.feature_counts(features, ["date"], ["n"])
+
+
+S5_STATUS = """landed AS (
+  SELECT o_orderpriority AS series_id, o_orderpriority = '5-LOW' AND o_orderkey % 100 = 1 AS bad, o_orderpriority = '1-URGENT' AND o_orderkey % 50 = 2 AS hole
+  FROM orders)"""
+
+
+@query("s5_extract_status", with_(S5_STATUS, """
+SELECT series_id, NOT bool_or(bad) AS ok, COUNT(*) AS n_landed, COUNT(*) FILTER (bad) AS n_rejected,
+       CASE WHEN bool_or(bad) THEN 'unreadable value 12x' END AS reason FROM landed GROUP BY 1"""))
+def s5_status(spark, sf):
+    """Garbage fails its own extract with a reason; marks for a missing value do not."""
+    bad = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 100 == 1)
+    hole = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 50 == 2)
+    landed = adapters.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("date").cast("string").alias("date"),
+        F.when(bad, F.lit("12x")).when(hole, F.lit(".")).otherwise(F.col("o_totalprice").cast("string")).alias("value"))
+    return extracts.macro_extracts(landed)[1]
+
+
 @query("s8_period_values", "SELECT 'ord_' || o_orderkey AS series_id, CAST(o_orderdate AS DATE) AS as_of, o_totalprice AS value FROM orders WHERE o_orderstatus <> 'P'")
 def s8(spark, sf):
     landed = adapters.table(spark, sf, "orders").select(
@@ -190,20 +221,31 @@ def s15(spark, sf):
 
 @query("s16_ledger_and_journal", with_(*history.CHAIN, history.ROUNDED, history.CELLS, """
 SELECT 'face' AS part, COUNT(*) AS n_rows, CAST(NULL AS VARCHAR) AS run_at FROM decl
-UNION ALL SELECT 'journal', COUNT(*), '2024-02-05T00-00-00Z' FROM decl UNION ALL SELECT 'journal', COUNT(*), '2024-02-06T00-00-00Z' FROM decl"""))
+UNION ALL SELECT 'journal', COUNT(*), '2024-02-05T00-00-00Z' FROM decl UNION ALL SELECT 'journal', 2 * COUNT(*), '2024-02-06T00-00-00Z' FROM decl"""))
 def s16(spark, sf):
     face, journal = scratch_path(spark, "face"), scratch_path(spark, "journal")
     declared = history.declared(spark, sf)
     same = history.stored_view(spark, sf)
     quiet = revisions.declarations(same, revisions.round_values(same))
-    for day in (5, 6, 6):
-        tables.write_ledger(declared, face, journal, dt.datetime(2024, 2, day))
-    tables.write_ledger(quiet, scratch_path(spark, "face"), journal, dt.datetime(2024, 2, 7))
+    for day, batch in ((5, 0), (6, 1), (6, 2), (6, 2)):  # two batches of one day, the second of them twice
+        tables.write_ledger(declared, face, journal, dt.datetime(2024, 2, day), batch)
+    tables.write_ledger(quiet, face, journal, dt.datetime(2024, 2, 7))
     shown = spark.read.parquet(face).agg(F.lit("face").alias("part"), F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("string").alias("run_at"))
     kept = spark.read.parquet(journal).groupBy("run_at").agg(F.count(F.lit(1)).alias("n_rows"))
     return shown.unionByName(kept.select(F.lit("journal").alias("part"), "n_rows", F.col("run_at").cast("string").alias("run_at")))
 
 
+@query("s16_all_changed_cells", with_(*history.CHAIN, history.ROUNDED, history.CELLS, """
+SELECT series_id, as_of, field, old, new FROM cells"""))
+def s16_cells(spark, sf):
+    """Every changed cell reaches the ledger, however many a series has."""
+    face, journal, cells = (scratch_path(spark, n) for n in ("face", "journal", "cells"))
+    stored, fresh = history.stored_view(spark, sf), history.incoming(spark, sf)
+    tables.write_ledger(revisions.declarations(stored, fresh, limit=1), face, journal, dt.datetime(2024, 2, 5),
+                        cells=revisions.all_changed_cells(stored, fresh), cells_path=cells)
+    return spark.read.parquet(cells).select("series_id", "as_of", "field", "old", "new")
+
+
 @query("s17_catalog_write", with_(prices.REGISTRY, instruments.ODD, instruments.CATALOG, instruments.MERGED, "SELECT series_id, symbol, description FROM merged"))
 def s17_write(spark, sf):
     path = scratch_path(spark, "catalog")
@@ -267,8 +309,21 @@ def order_stream(spark, sf):
 @query("r2_stream_completed_weeks", WEEK_LAST)
 def r2_stream(spark, sf):
     path, state = scratch_path(spark, "weeks"), scratch_path(spark, "state")
-    incremental.write_completed_weeks(incremental.completed_weeks(order_stream(spark, sf), "ts"), path, state)
-    return spark.read.parquet(path)
+    incremental.weekly_parts(order_stream(spark, sf), "ts", path, state)
+    return incremental.completed_weeks(spark, path)
+
+
+@query("r2_late_rows_kept", WEEK_LAST)
+def r2_late(spark, sf):
+    """Two runs, the later half of the days first; the early days come late and are kept."""
+    landing, path, state = (scratch_path(spark, n) for n in ("late-landing", "late-weeks", "late-state"))
+    orders = adapters.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("timestamp").alias("ts"),
+        F.col("o_orderkey").alias("arrival"), F.col("o_totalprice").alias("value"))
+    for half in (F.col("ts") >= "1998-01-01", F.col("ts") < "1998-01-01"):
+        orders.filter(half).write.mode("append").parquet(landing)
+        incremental.weekly_parts(incremental.landing(spark, landing, orders.schema), "ts", path, state)
+    return incremental.completed_weeks(spark, path)
 
 
 @query("r2_batch_completed_weeks", WEEK_LAST)
@@ -283,7 +338,7 @@ def r2_batch(spark, sf):
 
 @query("r3_stream_completed_months", """
 SELECT o_orderpriority AS series_id, last_day(CAST(o_orderdate AS DATE)) AS as_of,
-  round(CAST(SUM(CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE) / COUNT(*), 6) AS value
+  round(round(AVG(o_totalprice), 9), 6) AS value
 FROM orders GROUP BY 1, 2 HAVING last_day(CAST(o_orderdate AS DATE)) < DATE '2001-07-01'""")
 def r3_stream(spark, sf):
     parts, state = scratch_path(spark, "parts"), scratch_path(spark, "state")

@@ -8,13 +8,13 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from seriesloom import workloads
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 DIGITS = int(os.environ.get("CHECK_DIGITS", "12"))  # 17 compares doubles exactly
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+workloads.load_all()
+QUERIES, ORACLES = workloads.QUERIES, workloads.ORACLES
 
 
 @pytest.fixture(scope="module")
