@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import canonical_currency, exchange_code, name_key, venue_group
@@ -205,18 +205,18 @@ def base_first(wanted: DataFrame, registry: DataFrame, base: DataFrame, fallback
     """Bars per wanted symbol, from the archive where it serves it and from the fallback elsewhere.
 
     ``base`` holds bars by series, already clipped; ``fallback`` bars by symbol. A symbol
-    is served when the archive has any close for it. Both sides are read once and settled
-    by one regrouping on the symbol. The second frame names each symbol's provenance;
-    symbols neither side can serve are absent.
+    is served when the archive has any close for it: one partial aggregate over the archive finds
+    the served symbols, and rows of the fallback for them are dropped by an anti join. No side is
+    regrouped whole. The second frame names each symbol's provenance; symbols neither side
+    can serve are absent.
     """
     resolved = resolve_symbols(wanted.select("symbol").distinct(), registry)
     mine = base.join(resolved.filter("known").select("symbol", "series_id"), "series_id")
     theirs = fallback.join(resolved.select("symbol"), "symbol", "left_semi")
-    both = mine.select("symbol", "as_of", *OHLCV, F.lit("base").alias("provenance")).unionByName(
-        theirs.select("symbol", "as_of", *OHLCV, F.lit("fetch").alias("provenance")))
-    from_base = F.col("provenance") == "base"
-    served = F.max(from_base & F.col("close").isNotNull()).over(Window.partitionBy("symbol"))
-    bars = both.withColumn("served", served).filter(from_base == F.col("served")).drop("served")
+    served = mine.filter(F.col("close").isNotNull()).select("symbol").distinct()
+    bars = (mine.join(served, "symbol", "left_semi").select("symbol", "as_of", *OHLCV, F.lit("base").alias("provenance"))
+            .unionByName(theirs.join(served, "symbol", "left_anti").select(
+                "symbol", "as_of", *OHLCV, F.lit("fetch").alias("provenance"))))
     return bars, bars.select("symbol", "provenance").distinct()
 
 

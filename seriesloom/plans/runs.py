@@ -48,26 +48,60 @@ def base_first_read(log: DataFrame, wanted: DataFrame, instruments: DataFrame, f
     return corporate.to_major_units(bars.withColumnRenamed("symbol", "series_id"), by_symbol).withColumnRenamed("series_id", "symbol")
 
 
-def macro_run(feeds: Sequence[DataFrame], stored: DataFrame, anchors: DataFrame,
-              rates: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Feeds to rows ready for a full replace, with replace status and declared revisions.
+@dataclass
+class MacroRun:
+    ready: DataFrame
+    status: DataFrame
+    declared: DataFrame
+    warnings: DataFrame
+    absent: DataFrame
+
+
+def macro_run(feeds: Sequence[DataFrame], stored: DataFrame, anchors: DataFrame, rates: DataFrame | None = None,
+              cohort: DataFrame | None = None, expected: DataFrame | None = None) -> MacroRun:
+    """Feeds to rows ready for a full replace, with replace status, declared revisions and edge warnings.
 
-    Series named in ``rates`` are extended by the nowcast before everything is carried
-    forward to the latest month an anchor series reached.
+    Series named in ``rates`` are extended by the nowcast; then the series of ``cohort`` (all
+    without one) are carried forward to the latest month an anchor series reached. Other series,
+    such as weekly ones, keep their rows. ``absent`` names the ``expected`` series no feed delivered.
     """
     assembled = registry.assemble(feeds).select("series_id", "as_of", "value").withColumns({
         "filled": F.lit(None).cast("string"), "provisional": F.lit(False)})
     if rates is not None:
         assembled = assembled.unionByName(windows.chained_nowcast(assembled, rates))
     frontier = windows.cohort_frontier(assembled, anchors).scalar()
-    filled = windows.carry_forward(assembled, frontier)
+    filled = windows.carry_forward(assembled, frontier, cohort)
     ready, status = revisions.replace_batch(stored, filled)
-    return ready, status, revisions.declarations(stored, ready)
+    wanted = (stored if expected is None else expected).select("series_id").distinct()
+    absent = wanted.join(assembled.select("series_id").distinct(), "series_id", "left_anti")
+    return MacroRun(ready, status, revisions.declarations(stored, ready), revisions.edge_warnings(stored, filled), absent)
+
+
+def configured_positioning_run(reports: DataFrame, markets: Sequence[positioning.Market], today: dt.date,
+                               max_gap_days: int = 60) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw reports to stored rows of the configured markets.
+
+    Each market picks its rows by code or name, pins and then excludes names, and reads the cohorts of
+    its own report family. Markets that mix contracts without a declaration are refused.
+    """
+    chosen = positioning.pin_configured_names(positioning.assign_markets(reports, markets), markets)
+    rows = None
+    for family in sorted({m.family for m in markets}):
+        keys = [m.key for m in markets if m.family == family]
+        part = positioning.normalized(chosen.filter(F.col("market").isin(keys)), family)
+        rows = part if rows is None else rows.unionByName(part)
+    table = positioning.market_table(reports.sparkSession, markets).select(
+        F.concat(F.lit("pos_"), F.lower(F.replace("market", F.lit("#"), F.lit("_")))).alias("series_id"),
+        "declared", F.col("code").isNotNull().alias("pinned"), "declared_break", "satellite")
+    return _guarded(positioning.stored_rows(rows), table, today, max_gap_days)
 
 
 def positioning_run(landed: DataFrame, markets: DataFrame, today: dt.date, max_gap_days: int = 60) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Landed reports to stored rows, a report per series, and the freshness of what was written."""
-    rows = positioning.stored_rows(positioning.normalized(landed))
+    return _guarded(positioning.stored_rows(positioning.normalized(landed)), markets, today, max_gap_days)
+
+
+def _guarded(rows: DataFrame, markets: DataFrame, today: dt.date, max_gap_days: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     guard = positioning.identity_guard(rows, markets)
     written = rows.join(guard.filter("accepted").select("series_id"), "series_id", "left_semi")
     report = guard.join(positioning.quality_flags(rows, markets, max_gap_days=max_gap_days), "series_id")

@@ -126,9 +126,9 @@ def read_history_lines(spark: SparkSession, path: str) -> DataFrame:
 def append_history(batch: DataFrame, path: str, tolerance: float = bitemporal.VALUE_TOLERANCE) -> DataFrame:
     """Append a batch to the stored history and return the per-series summary.
 
-    Only years with an accepted change are rewritten, and only years the batch reaches are
-    read: an older year matters for nothing but a provisional line left open there. A
-    repeated call with the same batch finds every row stored and writes nothing.
+    Only years with an accepted change are rewritten, and only the batch's series in the years
+    it reaches are compared: an older year matters for nothing but a provisional line left open
+    there. A repeated call with the same batch finds every row stored and writes nothing.
     """
     spark = batch.sparkSession
     stored = _read_or_none(spark, path)
@@ -137,8 +137,9 @@ def append_history(batch: DataFrame, path: str, tolerance: float = bitemporal.VA
     first_year = batch.agg(F.min(F.year("as_of"))).first()[0]
     if first_year is None:
         return bitemporal.append_summary(bitemporal.append_plan(stored.drop("year"), batch, tolerance))
-    near = stored.filter(F.col("year") >= first_year)
-    still_open = stored.filter((F.col("year") < first_year) & F.col("provisional"))
+    mine = stored.join(batch.select("series_id").distinct(), "series_id", "left_semi")
+    near = mine.filter(F.col("year") >= first_year)
+    still_open = mine.filter((F.col("year") < first_year) & F.col("provisional"))
     plan = cut_lineage(bitemporal.append_plan(near.unionByName(still_open).drop("year"), batch, tolerance))
     changes = plan.filter("NOT refused AND action <> 'skip'")
     years = [row["year"] for row in changes.select(F.year("as_of").alias("year")).distinct().collect()]

@@ -62,8 +62,46 @@ def macro(spark, sf):
     stored = monthly.filter(F.col("as_of").between(F.lit(dt.date(1995, 6, 30)), F.lit(dt.date(2000, 12, 31)))
                             & (F.dayofmonth("as_of") != 30)).withColumn("value", F.col("value") * 1.0000173)
     feeds = [gappy, gappy.filter("series_id = '3-MEDIUM'")]
-    ready, _, _ = runs.macro_run(feeds, stored, gappy.filter("series_id = '3-MEDIUM'"))
-    return ready
+    return runs.macro_run(feeds, stored, gappy.filter("series_id = '3-MEDIUM'")).ready
+
+
+@query("run_macro_absent", "SELECT DISTINCT o_orderpriority AS series_id FROM orders WHERE o_orderpriority = '5-LOW'")
+def macro_absent(spark, sf):
+    """A series no feed delivered is named, and the others go on."""
+    monthly = series.monthly(spark, sf)
+    anchors = monthly.filter("series_id = '3-MEDIUM'")
+    return runs.macro_run([monthly.filter("series_id <> '5-LOW'")], monthly, anchors).absent
+
+
+MARKET_ROWS = """coded AS (SELECT *, substr(market, 7) AS contract_code FROM landed),
+assigned AS (
+  SELECT * REPLACE ('brand_3' AS market) FROM coded WHERE contains(contract_name, 'BRAND#3 ')
+  UNION ALL SELECT * REPLACE ('brand_1x' AS market) FROM coded
+    WHERE contains(contract_name, 'BRAND#1') AND contains(contract_name, 'PROMO') AND NOT contains(contract_name, 'STANDARD')
+  UNION ALL SELECT * REPLACE ('brand_2x' AS market) FROM coded WHERE contains(contract_name, 'BRAND#2')
+  UNION ALL SELECT * REPLACE ('pinned_7' AS market) FROM coded WHERE contract_code = '7'
+  UNION ALL SELECT * REPLACE ('pinned_9' AS market) FROM coded WHERE contract_code = '9')"""
+
+
+@query("run_positioning_markets", with_(
+    positioning.LANDED, MARKET_ROWS, positioning.NO_SMALL.replace("landed", "assigned"), positioning.TOP,
+    f"""positions AS (SELECT {positioning.FINANCIAL_COLUMNS} FROM top WHERE market <> 'pinned_9'
+  UNION ALL SELECT {positioning.COMMODITY_COLUMNS} FROM top WHERE market = 'pinned_9')""", positioning.STORED, """
+SELECT series_id, COUNT(primary_net) AS n_obs, COUNT(DISTINCT market_name) AS n_names,
+       COUNT(DISTINCT market_name) = 1 OR series_id LIKE '%pinned%' AS accepted, round(SUM(value), 2) AS total
+FROM stored GROUP BY 1"""))
+def positioning_markets(spark, sf):
+    """Both report families in one run; name-found markets that mix contracts are refused."""
+    reports = positioning.landed(spark, sf).withColumn("contract_code", F.substring("market", 7, 10)).drop("market")
+    written, report, _ = runs.configured_positioning_run(reports, positioning.MARKETS, dt.date(2001, 11, 10))
+    chosen = positioning.pos.pin_configured_names(positioning.pos.assign_markets(reports, positioning.MARKETS), positioning.MARKETS)
+    totals = None
+    for family in (positioning.pos.FINANCIAL, positioning.pos.COMMODITY):
+        keys = [m.key for m in positioning.MARKETS if m.family == family]
+        part = positioning.pos.stored_rows(positioning.pos.normalized(chosen.filter(F.col("market").isin(keys)), family))
+        totals = part if totals is None else totals.unionByName(part)
+    sums = totals.groupBy("series_id").agg(F.round(F.sum("value"), 2).alias("total"))
+    return report.join(sums, "series_id").select("series_id", "n_obs", "n_names", "accepted", "total")
 
 
 @query("run_positioning", f"""SELECT g.series_id, g.n_obs, i.n_names, i.accepted FROM ({ORACLES['g8_quality_flags']}) g

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from seriesloom import adapters
 from seriesloom.operators import quality as dq
 from seriesloom.operators import resample, signals, windows
-from seriesloom.workloads import history, prices, query, series, with_
+from seriesloom.session import cut_lineage
+from seriesloom.workloads import ORACLES, history, prices, query, series, with_
 from seriesloom.workloads.sqltext import ORDER_VALUE, WEEKLY
 
 TODAY = dt.date(2001, 11, 10)
@@ -315,22 +316,32 @@ FALS = """fals AS (SELECT series_id, below, above, below >= 3 AS dead, above >=
 SIGNALS = [ORDER_VALUE, WEEKLY, RN, S1, PCT, S2, series.CHANGES, series.DEVIATION, S3, series.RANKED, series.RANK_SUMMARY, S5, S6, FALS]
 
 
-def g1_state(spark, sf):
-    return signals.threshold_state(adapters.order_value(spark, sf), bull_at=60000, bear_at=600000)
+# The steps below take the daily values where a run has them already; it folds the raw rows once.
 
+def daily_values(spark, sf, daily=None):
+    return adapters.order_value(spark, sf) if daily is None else daily
 
-def g2_state(spark, sf):
-    percentiles = windows.trailing_percentile(series.weekly(spark, sf), 52).select(
+
+def weekly_values(spark, sf, daily=None):
+    return resample.weekly_last(daily_values(spark, sf, daily))
+
+
+def g1_state(spark, sf, daily=None):
+    return signals.threshold_state(daily_values(spark, sf, daily), bull_at=60000, bear_at=600000)
+
+
+def g2_state(spark, sf, daily=None):
+    percentiles = windows.trailing_percentile(weekly_values(spark, sf, daily), 52).select(
         "series_id", "as_of", F.col("percentile").alias("value"))
     return signals.consecutive_state(percentiles, bull_below=60, bull_rows=2, bear_above=40, bear_rows=2)
 
 
-def g3_state(spark, sf):
-    return signals.seasonal_state(series.a9(spark, sf))
+def g3_state(spark, sf, daily=None):
+    return signals.seasonal_state(resample.seasonal_deviation(weekly_values(spark, sf, daily)))
 
 
-def g6_spread(spark, sf):
-    changes = resample.weekly_change(series.weekly(spark, sf)).withColumnRenamed("change", "value")
+def g6_spread(spark, sf, daily=None):
+    changes = resample.weekly_change(weekly_values(spark, sf, daily)).withColumnRenamed("change", "value")
     return signals.threshold_state(changes, bull_at=0, bear_at=200000, rows=2)
 
 
@@ -339,13 +350,14 @@ def _voters(frames):
     return reduce(lambda a, b: a.unionByName(b), named)
 
 
-def g4_state(spark, sf):
-    tight = signals.tightness(_voters({"S1": g1_state(spark, sf), "S3": g3_state(spark, sf)}), ["S1", "S3"])
-    return signals.percentile_state(series.w5_summary(spark, sf), tight, flat_band=25)
+def g4_state(spark, sf, daily=None):
+    tight = signals.tightness(_voters({"S1": g1_state(spark, sf, daily), "S3": g3_state(spark, sf, daily)}), ["S1", "S3"])
+    summary = windows.average_rank_summary(weekly_values(spark, sf, daily))
+    return signals.percentile_state(summary, tight, flat_band=25)
 
 
-def g5_falsifier(spark, sf):
-    return signals.price_falsifier(adapters.order_value(spark, sf), dead_below=200000, dead_rows=3,
+def g5_falsifier(spark, sf, daily=None):
+    return signals.price_falsifier(daily_values(spark, sf, daily), dead_below=200000, dead_rows=3,
                                    confirm_above=250000, confirm_rows=1)
 
 
@@ -389,9 +401,25 @@ v AS (SELECT c.*, confirm, CASE WHEN dead THEN 'DEAD' WHEN bulls >= 3 AND lead T
       FROM c LEFT JOIN fals USING (series_id))
 SELECT series_id, verdict, bulls, bears, active, nodata, confirm AND verdict = 'WAIT' AS price_confirms FROM v"""))
 def g6(spark, sf):
-    votes = _voters({"S1": g1_state(spark, sf), "S2": g2_state(spark, sf), "S3": g3_state(spark, sf),
-                     "S5": g4_state(spark, sf), "S6": g6_spread(spark, sf)})
-    return signals.composite(votes, g5_falsifier(spark, sf))
+    return composite_run(spark, sf)
+
+
+def composite_run(spark, sf, missing=None):
+    """The raw rows are folded to days once and written; the voters read that small table."""
+    daily = cut_lineage(adapters.order_value(spark, sf))
+    states = {"S1": g1_state(spark, sf, daily), "S2": g2_state(spark, sf, daily), "S3": g3_state(spark, sf, daily),
+              "S5": g4_state(spark, sf, daily), "S6": g6_spread(spark, sf, daily)}
+    if missing is not None:
+        voter, absent = missing
+        states[voter] = signals.with_no_data(daily.select("series_id").distinct(), states[voter].filter(~absent))
+    return signals.composite(_voters(states), g5_falsifier(spark, sf, daily))
+
+
+@query("g6_missing_feed", ORACLES["g6_composite_vote"].replace(
+    "SELECT series_id, 'S3', state FROM s3", "SELECT series_id, 'S3', CASE WHEN series_id = '5-LOW' THEN 'NODATA' ELSE state END FROM s3"))
+def g6_missing(spark, sf):
+    """One feed did not arrive: its voter reads NODATA and is counted as such."""
+    return composite_run(spark, sf, missing=("S3", F.col("series_id") == "5-LOW"))
 
 
 @query("g7_dials", with_(ORDER_VALUE, WEEKLY, series.CHANGES, series.DEVIATION, """d4 AS (
