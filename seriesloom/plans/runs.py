@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal, corporate, positioning, quality, registry, revisions, windows
 
 
@@ -19,19 +20,36 @@ class PriceRun:
     mismatched: DataFrame
     unstamped: DataFrame
     split: DataFrame
+    unhealed: DataFrame
 
 
 def daily_price_run(landed: DataFrame, log: DataFrame, instruments: DataFrame, catalog: DataFrame,
-                    live_currency: DataFrame, run_date: dt.date, require_stamp: bool = True) -> PriceRun:
-    """Landed rows to an append plan: shape, currency check, identity stamp, compare with the history."""
+                    live_currency: DataFrame, run_date: dt.date, require_stamp: bool = True,
+                    repull: DataFrame | None = None) -> PriceRun:
+    """Landed rows to an append plan: shape, currency check, identity stamp, split heal, compare with the history.
+
+    ``repull`` holds full re-pulled bars. A stock series whose batch carries a split is healed in the same
+    run: its batch becomes the re-pull plus the stored days the re-pull lacks, rescaled, so that its archive
+    never stays on two scales. ``unhealed`` names split series without a re-pull; they append as they are.
+    """
     bars = corporate.build_bars(landed)
     outcomes = registry.reconcile_currency(instruments, live_currency)
     clean = registry.drop_mismatched(bars, outcomes)
     stamped, refused = registry.stamp(clean, catalog, require_stamp)
     batch = stamped.withColumn("recorded_on", F.lit(run_date))
+    split = corporate.split_series(batch, instruments)
+    unhealed = split
+    if repull is not None:
+        offered = repull.select("series_id").distinct()
+        ready, unhealed = split.join(offered, "series_id", "left_semi"), split.join(offered, "series_id", "left_anti")
+        stored = bitemporal.current_view(log).join(ready, "series_id", "left_semi")
+        known = stored.select("series_id").distinct()  # a series new to the archive has nothing to heal
+        healed = corporate.heal_batch(stored, repull.join(known, "series_id", "left_semi")).withColumns({
+            "provisional": F.col("as_of") == F.max("as_of").over(whole()), "recorded_on": F.lit(run_date)})
+        shared = [c for c in batch.columns if c in healed.columns]
+        batch = batch.join(known, "series_id", "left_anti").unionByName(healed.select(*shared), allowMissingColumns=True)
     plan = bitemporal.append_plan(log, batch)
-    return PriceRun(plan, bitemporal.append_summary(plan), outcomes.filter("outcome = 'mismatch'"), refused,
-                    corporate.split_series(batch, instruments))
+    return PriceRun(plan, bitemporal.append_summary(plan), outcomes.filter("outcome = 'mismatch'"), refused, split, unhealed)
 
 
 def base_first_read(log: DataFrame, wanted: DataFrame, instruments: DataFrame, fallback: DataFrame, period: str,

@@ -75,3 +75,29 @@ def test_one_line_is_taken_whole_and_empty_source_refused(spark):
     assert [(r.value, r.value_tr) for r in bitemporal.current_view(log).collect()] == [(2.0, 3.0)]
     with pytest.raises(ValueError, match="empty"):
         bitemporal.promote(log.limit(0), log)
+
+
+def test_daily_run_heals_a_split(spark):
+    from seriesloom.plans import runs
+
+    day = dt.date(2024, 1, 2)
+    columns = ("series_id string, as_of date, value double, open double, high double, low double, close double, "
+               "value_tr double, volume double, split_factor double, dividend double")
+    bar = lambda s, d, price, factor: (s, dt.date(2024, 1, d), price, price, price, price, price, price, 1.0, factor, 0.0)
+    log = spark.createDataFrame([(*bar("eq_1", 2, 100.0, 1.0), False, day), (*bar("eq_1", 3, 102.0, 1.0), False, day)],
+                                columns + ", provisional boolean, recorded_on date")
+    landed = spark.createDataFrame(
+        [("eq_1", dt.date(2024, 1, 3), 1, 51.0, 51.0, 51.0, 51.0, 51.0, 1.0, 1.0, 0.0),
+         ("eq_1", dt.date(2024, 1, 4), 2, 52.0, 52.0, 52.0, 52.0, 52.0, 1.0, 2.0, 0.0)],
+        "series_id string, as_of date, arrival long, open double, high double, low double, close double, adj_close double, "
+        "volume double, split_ratio double, dividend double")
+    repull = spark.createDataFrame([bar("eq_1", 3, 51.0, 2.0), bar("eq_1", 4, 52.0, 1.0)], columns)
+    instruments = spark.createDataFrame([("eq_1", "T", "stock", None)],
+                                        "series_id string, symbol string, family string, quote_basis string")
+    catalog = spark.createDataFrame([("eq_1", "stock", "id1")], "series_id string, family string, stable_id string")
+    live = spark.createDataFrame([], "symbol string, live_currency string")
+    run = runs.daily_price_run(landed, log, instruments, catalog, live, dt.date(2024, 1, 5), repull=repull)
+    after = bitemporal.current_view(bitemporal.apply_plan(log, run.plan))
+    got = {str(r.as_of): (r.close, r.split_factor) for r in after.collect()}
+    assert got == {"2024-01-02": (50.0, 2.0), "2024-01-03": (51.0, 2.0), "2024-01-04": (52.0, 1.0)}
+    assert run.unhealed.isEmpty()
