@@ -151,30 +151,50 @@ def profile(string: bytes) -> dict[int, float]:
 
 
 def dot(strings: list[bytes], weights: np.ndarray) -> np.ndarray:
-    """Product of each string's feature vector with ``weights`` (one column or several per code)."""
-    out = np.zeros((len(strings), *weights.shape[1:]))
+    """Product of each string's feature vector with a weight per code."""
+    out = np.zeros(len(strings))
     for every, all_classes in _by_length(strings):
         if all_classes.shape[1] < LENGTH:
             continue
         for first in range(0, len(every), 4096):
             rows, classes = every[first:first + 4096], all_classes[first:first + 4096]
-            total = np.zeros((len(rows), *weights.shape[1:]), dtype=np.float32)
+            total = np.zeros(len(rows), dtype=np.float32)
             for code, weight in codes(classes):
-                total += np.float32(weight) * weights.take(code, axis=0)
+                total += np.float32(weight) * weights.take(code)
             out[rows] = total
     return out
 
 
-def similarity(strings: list[bytes], landmarks: list[bytes]) -> np.ndarray:
-    """Normalised kernel of strings (rows) and landmarks (columns)."""
-    weights = np.zeros((32 ** LENGTH, len(landmarks)), dtype=np.float32)
-    for column, landmark in enumerate(landmarks):
-        whole = profile(landmark)
-        norm = np.sqrt(sum(x * x for x in whole.values())) or 1.0
-        for code, weight in whole.items():
-            weights[code, column] = weight / norm
-    norms = np.sqrt(np.maximum(self_kernel(strings), 1e-30))
-    return dot(strings, weights) / norms[:, None]
+class Landmarks:
+    """Normalised feature vectors of some strings, by the few codes that occur in them."""
+
+    def __init__(self, strings: list[bytes]):
+        profiles = [profile(string) for string in strings]
+        used = sorted(set().union(*profiles))
+        place = {code: k + 1 for k, code in enumerate(used)}
+        self.row = np.zeros(32 ** LENGTH, dtype=np.int32)
+        self.row[used] = np.arange(1, len(used) + 1)
+        self.vectors = np.zeros((len(used) + 1, len(strings)), dtype=np.float32)
+        for column, whole in enumerate(profiles):
+            norm = np.sqrt(sum(x * x for x in whole.values())) or 1.0
+            for code, weight in whole.items():
+                self.vectors[place[code], column] = weight / norm
+
+    def similarity(self, strings: list[bytes]) -> np.ndarray:
+        """Normalised kernel of strings (rows) and landmarks (columns)."""
+        out = np.zeros((len(strings), self.vectors.shape[1]))
+        for every, classes in _by_length(strings):
+            if classes.shape[1] < LENGTH:
+                continue
+            total = np.zeros((len(every), out.shape[1]), dtype=np.float32)
+            for code, weight in codes(classes):
+                at = self.row.take(code)
+                hit = np.flatnonzero(at)
+                if len(hit):
+                    total[hit] += np.float32(weight) * self.vectors[at[hit]]
+            out[every] = total
+        norms = np.sqrt(np.maximum(self_kernel(strings), 1e-30))
+        return out / norms[:, None]
 
 
 def document_signs(best: np.ndarray, hits: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -245,9 +265,10 @@ def counted_spans(sample: DataFrame) -> DataFrame:
 def most_similar(counted: DataFrame, positive: list[bytes], most: int) -> list[tuple[bytes, int]]:
     """(span, clean documents) of the spans most similar to a positive landmark."""
     def near(batches):
+        landmarks = Landmarks(positive)
         for batch in batches:
             strings = [bytes(x) for x in batch.column("span").to_pylist()]
-            close = [similarity(strings[k:k + 2048], positive).max(axis=1) for k in range(0, len(strings), 2048)]
+            close = [landmarks.similarity(strings[k:k + 2048]).max(axis=1) for k in range(0, len(strings), 2048)]
             if strings:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("span"), batch.column("c"), pa.array(np.concatenate(close), pa.float64())],
@@ -290,10 +311,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, la
     points = list(dict.fromkeys(marks + [x for x, _ in common[:landmarks // 8]] + [x for x, _ in hard[:landmarks * 3 // 8]]))
     negative = sorted({**dict(common), **dict(hard)}.items())
     strings = [span for span, _ in positive + negative]
-    values, vectors = np.linalg.eigh(similarity(points, points))
+    marked = Landmarks(points)
+    values, vectors = np.linalg.eigh(marked.similarity(points))
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = np.hstack([similarity(strings, points) @ root, np.ones((len(strings), 1))])
+    mapped = np.hstack([marked.similarity(strings) @ root, np.ones((len(strings), 1))])
     target = np.where(np.arange(len(strings)) < len(positive), 1.0, -1.0)
     held_by = np.array([n for _, n in positive + negative], dtype=float)
     side = np.where(target > 0, held_by[target > 0].sum(), held_by[target < 0].sum())
