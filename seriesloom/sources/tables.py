@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql.utils import AnalysisException
 
 from seriesloom import schemas
 from seriesloom.operators import bitemporal
-from seriesloom.session import cut_lineage, scratch_path
+from seriesloom.session import cut_lineage, discard, scratch_path
 
 BUCKETS = 64
 BUCKET_COLUMN = "bucket_of_{}"
@@ -26,11 +28,13 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
-    """Write once below the shared folder and read the files back."""
-    path = scratch_path(df.sparkSession, label)
+@contextmanager
+def _staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Write once below the shared folder and read the files back; the copy goes when the block succeeds."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    discard(spark, path)
 
 
 def _balanced(df: DataFrame, column: str) -> DataFrame:
@@ -40,9 +44,9 @@ def _balanced(df: DataFrame, column: str) -> DataFrame:
 
 def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
     """Overwrite only the partitions present in ``df``; the source may be read from ``path``."""
-    staged = _staged(df, "replace")
-    _balanced(staged, column).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    with _staged(df, "replace") as staged:
+        _balanced(staged, column).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 # --- series files -------------------------------------------------------------------------
@@ -154,11 +158,11 @@ def append_vintages(records: DataFrame, path: str) -> DataFrame:
     spark = records.sparkSession
     held = _read_or_none(spark, path)
     unseen = records if held is None else bitemporal.unseen_vintages(held, records)
-    unseen = _staged(unseen, "vintages")
     counts = records.agg(F.count(F.lit(1)).alias("offered"))
-    result = cut_lineage(unseen.agg(F.count(F.lit(1)).alias("appended")).select(
-        "appended", (counts.scalar() - F.col("appended")).alias("skipped")))
-    unseen.write.mode("append").parquet(path)
+    with _staged(unseen, "vintages") as fresh:
+        result = cut_lineage(fresh.agg(F.count(F.lit(1)).alias("appended")).select(
+            "appended", (counts.scalar() - F.col("appended")).alias("skipped")))
+        fresh.write.mode("append").parquet(path)
     return result
 
 
@@ -179,14 +183,15 @@ def write_ledger(declared: DataFrame, face_path: str, journal_path: str, run_at:
         (rows.withColumns({"run_at": F.lit(stamp), "batch_id": F.lit(batch_id)}).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("run_at", "batch_id").parquet(path))
 
-    held = _staged(declared, "ledger")
     if cells is not None:
-        keep(_staged(cells, "cells"), cells_path)
-    if held.isEmpty():
-        return
-    held.write.mode("overwrite").parquet(face_path)
-    keep(held, journal_path)
+        with _staged(cells, "cells") as held:
+            keep(held, cells_path)
+    with _staged(declared, "ledger") as held:
+        if not held.isEmpty():
+            held.write.mode("overwrite").parquet(face_path)
+            keep(held, journal_path)
 
 
 def write_catalog(merged: DataFrame, path: str) -> None:
-    _staged(merged.drop("status"), "catalog").write.mode("overwrite").parquet(path)
+    with _staged(merged.drop("status"), "catalog") as staged:
+        staged.write.mode("overwrite").parquet(path)
