@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal, corporate, positioning, quality, registry, revisions, windows
+from seriesloom.session import cut_lineage
 
 
 @dataclass
@@ -124,3 +125,34 @@ def _guarded(rows: DataFrame, markets: DataFrame, today: dt.date, max_gap_days:
     written = rows.join(guard.filter("accepted").select("series_id"), "series_id", "left_semi")
     report = guard.join(positioning.quality_flags(rows, markets, max_gap_days=max_gap_days), "series_id")
     return written, report, quality.batch_freshness(written, today)
+
+
+def verification_run(view: DataFrame, log: DataFrame, instruments: DataFrame, baselines: DataFrame, quarantine: DataFrame,
+                     exemptions: DataFrame, required: Sequence[str], today: dt.date,
+                     venue_view: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """All gates over an archive, one row each, and their tally with the verdict.
+
+    The view and the lines per day are written once; every gate reads those. ``venue_view`` carries
+    ``symbol`` for the session calendars and defaults to the view.
+    """
+    held, lines = cut_lineage(view), cut_lineage(quality.lines_per_day(log))
+    venue = held if venue_view is None else cut_lineage(venue_view)
+    summary = cut_lineage(quality.series_profile(instruments, held))
+    sound = F.col("traded_positive") & F.col("factor_positive") & F.col("anchored") & F.col("piecewise")
+    rows = [
+        quality.gate("depth", quality.depth_violations(held, baselines)),
+        quality.gate("coverage", quality.coverage_report(summary, instruments, quarantine).filter(~F.col("quarantined"))),
+        quality.gate("recency", quality.stale_series(held, exemptions, today).filter("tier = 'fail'")),
+        quality.gate("density", quality.sparse_series(venue, exemptions, today).filter("tier = 'fail'")),
+        quality.gate("split_soundness", quality.split_soundness(held).filter(~sound)),
+        quality.gate("seed_conflict", lines.filter(F.col("n_lines") > 1)),
+        quality.gate("vintage_conflict", lines.filter(F.col("n_lines") != F.col("n_vintages"))),
+        quality.gate("provisional_tip", quality.provisional_violations(held)),
+        quality.gate("record_shape", quality.shape_violations(held, list(required))),
+        quality.gate("thin", quality.thin_series(summary), hard=False),
+    ]
+    gates = rows[0]
+    for row in rows[1:]:
+        gates = gates.unionByName(row)
+    gates = cut_lineage(gates)
+    return gates, quality.tally(gates)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seriesloom import adapters
 from seriesloom.plans import runs
-from seriesloom.workloads import ORACLES, instruments, positioning, prices, query, series, with_
+from seriesloom.workloads import ORACLES, history, instruments, positioning, prices, quality, query, series, with_
 from seriesloom.workloads.sqltext import MONTHLY, ORDER_VALUE
 
 PRICE_FIELDS = ["value", "open", "high", "low", "close", "value_tr", "volume", "split_factor", "dividend"]
@@ -112,3 +112,31 @@ def weekly_positioning(spark, sf):
         "declared": F.lit(True), "pinned": F.lit(True), "declared_break": F.lit(False), "satellite": F.lit(None).cast("string")})
     _, report, _ = runs.positioning_run(landed, markets, dt.date(2001, 11, 10))
     return report.select("series_id", "n_obs", "n_names", "accepted")
+
+
+GATE_FIELDS = ["open", "high", "low", "close", "volume"]
+ON_HELD = [part.replace("FROM bars", "FROM pbars") for part in (quality.SESSION, quality.STALE)]
+
+
+@query("run_gates", with_(*quality.PCHAIN, quality.BASELINES, *ON_HELD, *quality.VCHAIN, history.LOG, quality.LINES, f"""
+gates AS (
+  SELECT 'depth' AS gate, true AS hard, (SELECT COUNT(*) FROM baselines JOIN profile USING (series_id)
+    WHERE first_day IS NULL OR first_day > reach_back_to OR n_rows < min_rows) AS n
+  UNION ALL SELECT 'coverage', true, (SELECT COUNT(*) FROM profile JOIN registry USING (series_id) WHERE NOT live AND NOT retired AND balance >= -500)
+  UNION ALL SELECT 'recency', true, (SELECT COUNT(*) FROM stale WHERE tier = 'fail')
+  UNION ALL SELECT 'density', true, (SELECT COUNT(*) FROM sparse WHERE tier = 'fail')
+  UNION ALL SELECT 'split_soundness', true, (SELECT COUNT(*) FROM (SELECT series_id FROM pbars GROUP BY 1
+    HAVING MAX(abs(split_factor - 1)) > 1e-9 AND NOT (MIN(close * split_factor) > 0 AND MIN(split_factor) > 0
+      AND abs(arg_max(split_factor, as_of) - 1.0) <= 1e-9 AND COUNT(DISTINCT round(split_factor, 6)) <= 20)))
+  UNION ALL SELECT 'seed_conflict', true, (SELECT COUNT(*) FROM plines WHERE n_lines > 1)
+  UNION ALL SELECT 'vintage_conflict', true, (SELECT COUNT(*) FROM plines WHERE n_lines <> n_vintages)
+  UNION ALL SELECT 'provisional_tip', true, 0
+  UNION ALL SELECT 'record_shape', true, (SELECT COUNT(DISTINCT series_id) FROM pbars WHERE {' OR '.join(f'{c} IS NULL' for c in GATE_FIELDS)})
+  UNION ALL SELECT 'thin', false, (SELECT COUNT(*) FROM profile WHERE live AND n_rows < 5))
+SELECT gate, hard, n = 0 AS passed, n AS n_violations FROM gates"""))
+def gates(spark, sf):
+    found, _ = runs.verification_run(
+        quality.partial_bars(spark, sf), adapters.reading_log(spark, sf), adapters.registry(spark, sf),
+        quality.baselines(spark, sf), quality.quarantine(spark, sf), quality.exemptions(spark, sf), GATE_FIELDS,
+        quality.TODAY, quality.venue(spark, sf))
+    return found.select("gate", "hard", "passed", "n_violations")
