@@ -38,3 +38,19 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
     assert packed.select("doc_id").distinct().count() == before
     assert corpus_pipeline.run(spark, SF_DIR).select("doc_id").distinct().count() > 0
+
+
+def test_pipeline_stages_on_empty_and_odd_rows(spark):
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    long = " ".join(f"word{k % 977}" for k in range(30_000))
+    odd = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, long, "en", "s", len(long)), (4, long, "en", "s", len(long)),
+           (4, long, "en", "s", len(long)), (None, "no id here", None, "s", 10), (5, "é" * 60, "fr", "s", 60)]
+    for rows in ([], odd):
+        docs = spark.createDataFrame(rows, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF_DIR).cache()
+            assert docs.columns == schema.names
+        ids = sorted((row.doc_id is None, row.doc_id or 0) for row in docs.collect())
+        assert ids == ([] if not rows else [(False, 1), (False, 2), (False, 3), (False, 5), (True, 0)])
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+        assert packed.filter("start = 0").count() == len(ids)
