@@ -8,7 +8,6 @@ shared folder and reads it again as the next stage's docs. All but the last keep
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seriesloom.llm import decontamination, near_dedup, packing, suffix_dedup, toxicity
 from seriesloom.llm.common import table, written
