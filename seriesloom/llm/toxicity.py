@@ -1,13 +1,14 @@
 """Toxicity: a subsequence string-kernel support vector machine with Nyström landmarks.
 
 The kernel counts common subsequences of four letters; a subsequence that stretches over l
-characters (at most nine) weighs DECAY^l, so gaps and inserted characters only weaken a match
-(Lodhi et al. 2002). Characters that are no letters take up room but match nothing. The kernel is
-normalised by both self kernels.
+characters, however many, weighs DECAY^l, so gaps and inserted characters only weaken a match
+(Lodhi et al. 2002). A character that is no letter takes up one place, whatever its bytes, and
+matches nothing. The kernel is normalised by both self kernels, which a recursion gives.
 
-A text is read as spans: its words between marks for start and end, words longer than fourteen
-bytes as overlapping stretches of fourteen, and runs of single characters ("i d i o t")
-joined. A document is judged by its most toxic span and by how many of its spans are toxic.
+A text is read as spans: its words between marks for start and end, words of more than fourteen
+letters as overlapping stretches of fourteen letters with all that lies between them, and runs
+of single characters ("i d i o t") joined. A document is judged by its most toxic span and by
+how many of its spans are toxic.
 
 Training (at most about ``SAMPLE_DOCS`` labelled documents outside the held-out fold, half of
 them toxic where there are enough): a sentence's label is that of its document.
@@ -31,7 +32,7 @@ from __future__ import annotations
 
 import functools
 import re
-from itertools import combinations
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,8 @@ POSITIVES, NEGATIVES = 600, 2400
 LENGTH = 4
 DECAY = 0.6
 SPAN, STEP = 14, 5
-STRETCH = 9
+#: Places between the first and the last letter of a subsequence: no limit.
+STRETCH = float("inf")
 FLOOR = -0.8
 CACHE = 200_000
 
@@ -61,6 +63,8 @@ BYTE_CLASS = np.array([b - 0x60 if 0x61 <= b <= 0x7A else b - 0x40 if 0x41 <= b
                        30 if b == 0xFE else 31 if b == 0xFF else
                        27 + b % 3 if b >= 0x80 else 0 for b in range(256)], dtype=np.uint8)
 SINGLES = re.compile(rb"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
+WIDE = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
+MATCHING = re.compile(rb"[A-Za-z\x80-\xff]")
 
 
 def spans(text: bytes) -> set[bytes]:
@@ -72,96 +76,104 @@ def spans(text: bytes) -> set[bytes]:
     return found
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _letter_or_gap(character: bytes) -> bytes:
+    """A letter outside ASCII (or a vowel sign) as it is, any other character as one byte that matches nothing."""
+    one = character.decode("utf-8", "replace")
+    sign = (unicodedata.category(one) in ("Mn", "Mc") and not unicodedata.combining(one) and one != "\u034f"
+            and "VARIATION SELECTOR" not in unicodedata.name(one, ""))
+    return character if one.isalpha() or sign else b"\0"
+
+
+def single_gaps(string: bytes) -> bytes:
+    """The string with one byte for each character that is no letter."""
+    return string if string.isascii() else WIDE.sub(lambda found: _letter_or_gap(found.group()), string)
+
+
 def stretches(span: bytes) -> list[bytes]:
-    """The span between its marks, or its overlapping stretches of SPAN bytes."""
-    marked = START + span + END
+    """The span between its marks, or its overlapping stretches of SPAN letters."""
+    marked = START + single_gaps(span) + END
     if len(marked) <= SPAN + 2:
         return [marked]
-    last = len(marked) - SPAN
-    return [marked[at:at + SPAN] for at in [*range(0, last, STEP), last]]
+    places = [found.start() for found in MATCHING.finditer(marked)]
+    if len(places) <= SPAN + 2:
+        return [marked]
+    last = len(places) - SPAN
+    return [marked[places[at]:places[at + SPAN - 1] + 1] for at in [*range(0, last, STEP), last]]
+
+
+def _by_letters(strings: list[bytes], most: int):
+    """(rows, classes of the letters, their places), both as arrays of letters x rows, for each number of letters;
+    at most ``most`` rows each time. Strings of fewer letters than a subsequence has are left out."""
+    strings = [single_gaps(string) for string in strings]
+    lengths = np.array([len(string) for string in strings], dtype=np.int64)
+    classes = BYTE_CLASS[np.frombuffer(b"".join(strings), dtype=np.uint8)].astype(np.int32)
+    owner = np.repeat(np.arange(len(strings)), lengths)
+    place = np.arange(len(classes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    letters = classes > 0
+    owner, place, classes = owner[letters], place[letters], classes[letters]
+    sizes = np.bincount(owner, minlength=len(strings))
+    start = np.cumsum(sizes) - sizes
+    for size in np.unique(sizes[sizes >= LENGTH]):
+        every = np.flatnonzero(sizes == size)
+        for first in range(0, len(every), most):
+            rows = every[first:first + most]
+            at = start[rows] + np.arange(size)[:, None]
+            yield rows, classes[at], place[at]
 
 
-def _by_length(strings: list[bytes]):
-    """(rows, classes as an array of rows x length) for each length."""
-    lengths = np.array([len(x) for x in strings])
-    for size in np.unique(lengths):
-        rows = np.flatnonzero(lengths == size)
-        if size:
-            data = np.frombuffer(b"".join([strings[k] for k in rows]), dtype=np.uint8)
-            yield rows, BYTE_CLASS[data].reshape(len(rows), size)
+def codes(classes: np.ndarray):
+    """(first letter, third letter, codes of the subsequences that end with each letter after the third)."""
+    for i in range(len(classes) - 3):
+        for j in range(i + 1, len(classes) - 2):
+            two = (classes[i] * 32 + classes[j]) * 32
+            for k in range(j + 1, len(classes) - 1):
+                yield i, k, (two + classes[k]) * 32 + classes[k + 1:]
 
 
-@functools.lru_cache(maxsize=64)
-def choices(size: int) -> list[tuple[tuple[int, ...], float]]:
-    """Places of every subsequence in a string of ``size`` characters, in nested order, and its weight."""
-    return [(places, DECAY ** (places[-1] - places[0] + 1)) for places in combinations(range(size), LENGTH)
-            if places[-1] - places[0] < STRETCH]
+#: DECAY^l; the last one is zero in double precision, as all that follow.
+POWERS = DECAY ** np.arange(1500.0)
 
 
-def codes(classes: np.ndarray):
-    """(code of the subsequence in each string, weight) for every choice of places.
-
-    A code with a zero digit holds a character that matches nothing; no landmark has one.
-    """
-    at = np.ascontiguousarray(classes.T).astype(np.int32)
-    prefix, done = (), {(): np.zeros(len(classes), dtype=np.int32)}
-    for places, weight in choices(classes.shape[1]):
-        while places[:len(prefix)] != prefix:
-            done.pop(prefix)
-            prefix = prefix[:-1]
-        while len(prefix) < LENGTH - 1:
-            longer = places[:len(prefix) + 1]
-            done[longer] = (done[prefix] + at[longer[-1]]) * 32
-            prefix = longer
-        yield done[prefix] + at[places[-1]], weight
+def reach(place: np.ndarray, first: int) -> np.ndarray:
+    """Weight of a subsequence from letter ``first`` to each letter from the fourth on."""
+    return POWERS.take(place[first + LENGTH - 1:] - (place[first] - 1), mode="clip")
 
 
 def self_kernel(strings: list[bytes]) -> np.ndarray:
-    """K(x, x) of each string."""
+    """K(x, x) of each string by the gap-weighted recursion over pairs of equal letters."""
     out = np.zeros(len(strings))
-    for every, all_classes in _by_length(strings):
-        if all_classes.shape[1] < LENGTH:
-            continue
-        for first in range(0, len(every), 2048):
-            rows, classes = every[first:first + 2048], all_classes[first:first + 2048]
-            columns = list(codes(classes))
-            found = np.stack([code for code, _ in columns], axis=1)
-            weight = np.broadcast_to(np.array([w for _, w in columns]), found.shape).copy()
-            for digit in range(LENGTH):
-                weight[(found >> (5 * digit)) & 31 == 0] = 0
-            order = np.argsort(found, axis=1)
-            found, weight = np.take_along_axis(found, order, 1), np.take_along_axis(weight, order, 1)
-            fresh = np.ones(found.shape, dtype=bool)
-            fresh[:, 1:] = found[:, 1:] != found[:, :-1]
-            starts = np.flatnonzero(fresh.reshape(-1))
-            sums = np.add.reduceat(weight.reshape(-1), starts)
-            out[rows] = np.bincount(starts // found.shape[1], sums ** 2, minlength=len(rows))
+    for rows, classes, place in _by_letters(strings, 2048):
+        letters, at = classes.T, place.T
+        same = (letters[:, :, None] == letters[:, None, :]).astype(np.float64)
+        apart = at[:, :, None] - at[:, None, :]
+        onward = np.where(apart > 0, POWERS.take(apart, mode="clip"), 0.0)
+        back, ending = onward.transpose(0, 2, 1), DECAY ** 2 * same
+        for _ in range(LENGTH - 1):
+            ending = same * (onward @ ending @ back)
+        out[rows] = ending.sum(axis=(1, 2))
     return out
 
 
 def profile(string: bytes) -> dict[int, float]:
     """The explicit feature vector of a short string."""
     out: dict[int, float] = {}
-    if len(string) >= LENGTH:
-        for found, weight in codes(BYTE_CLASS[np.frombuffer(string, dtype=np.uint8)][None, :]):
-            code = int(found[0])
-            if all((code >> (5 * digit)) & 31 for digit in range(LENGTH)):
-                out[code] = out.get(code, 0.0) + weight
+    for _, classes, place in _by_letters([string], 1):
+        for first, third, found in codes(classes):
+            for code, value in zip(found[:, 0].tolist(), reach(place, first)[third - first - 2:, 0].tolist()):
+                out[code] = out.get(code, 0.0) + value
     return out
 
 
 def dot(strings: list[bytes], weights: np.ndarray) -> np.ndarray:
     """Product of each string's feature vector with a weight per code."""
     out = np.zeros(len(strings))
-    for every, all_classes in _by_length(strings):
-        if all_classes.shape[1] < LENGTH:
-            continue
-        for first in range(0, len(every), 4096):
-            rows, classes = every[first:first + 4096], all_classes[first:first + 4096]
-            total = np.zeros(len(rows), dtype=np.float32)
-            for code, weight in codes(classes):
-                total += np.float32(weight) * weights.take(code)
-            out[rows] = total
+    for rows, classes, place in _by_letters(strings, 2048):
+        sums = np.zeros((len(classes) - 3, *classes.shape), dtype=np.float32)
+        for first, third, found in codes(classes):
+            sums[first, third + 1:] += weights.take(found)
+        for first in range(len(sums)):
+            out[rows] += (reach(place, first) * sums[first, first + LENGTH - 1:]).sum(axis=0)
     return out
 
 
@@ -183,16 +195,15 @@ class Landmarks:
     def similarity(self, strings: list[bytes]) -> np.ndarray:
         """Normalised kernel of strings (rows) and landmarks (columns)."""
         out = np.zeros((len(strings), self.vectors.shape[1]))
-        for every, classes in _by_length(strings):
-            if classes.shape[1] < LENGTH:
-                continue
-            total = np.zeros((len(every), out.shape[1]), dtype=np.float32)
-            for code, weight in codes(classes):
-                at = self.row.take(code)
-                hit = np.flatnonzero(at)
-                if len(hit):
-                    total[hit] += np.float32(weight) * self.vectors[at[hit]]
-            out[every] = total
+        for rows, classes, place in _by_letters(strings, 2048):
+            total = np.zeros((len(rows), out.shape[1]), dtype=np.float32)
+            weight = [reach(place, first).astype(np.float32) for first in range(len(place) - LENGTH + 1)]
+            for first, third, found in codes(classes):
+                at = self.row.take(found)
+                for last in np.flatnonzero(at.any(axis=1)):
+                    hit = np.flatnonzero(at[last])
+                    total[hit] += weight[first][third - first - 2 + last, hit][:, None] * self.vectors[at[last, hit]]
+            out[rows] = total
         norms = np.sqrt(np.maximum(self_kernel(strings), 1e-30))
         return out / norms[:, None]
 

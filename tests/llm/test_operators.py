@@ -410,6 +410,41 @@ def test_string_kernel_against_definition():
     assert got[1, 0] > 0.9 and got[2, 0] > 0.4 and got[5, 0] < 0.1
 
 
+def test_string_kernel_counts_wide_subsequences():
+    from itertools import combinations
+
+    def phi(s):
+        out = Counter()
+        for places in combinations([p for p, c in enumerate(s) if c.isalpha()], toxicity.LENGTH):
+            out["".join(s[p] for p in places)] += toxicity.DECAY ** (places[-1] - places[0] + 1)
+        return out
+
+    words = ["idiot", "stupid"]
+    strings = [gap.join(word) for word in words for gap in ("--", "---", "\u200b", "\u200b\u2014", "." * 9, "x")] + ["hahahahahaha"]
+    got = toxicity.Landmarks([x.encode() for x in words]).similarity([x.encode() for x in strings])
+    for i, s in enumerate(strings):
+        for j, m in enumerate(words):
+            a, b = phi(s), phi(m)
+            norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+            assert got[i, j] == pytest.approx(sum(a[u] * b[u] for u in a) / norm, abs=1e-5)
+    assert got[2, 0] == pytest.approx(toxicity.Landmarks([b"idiot"]).similarity([b"i-d-i-o-t"])[0, 0])
+    weights = np.random.default_rng(3).normal(size=32 ** toxicity.LENGTH).astype(np.float32)
+    for text in strings:
+        whole, = toxicity.stretches(text.encode())
+        want = sum(weights[code] * value for code, value in toxicity.profile(whole).items())
+        assert toxicity.dot([whole], weights)[0] == pytest.approx(want, abs=1e-5)
+    long = toxicity.stretches("--".join("abcdefghijklmnopqrstu").encode())
+    assert [x.replace(b"--", b"") for x in long] == toxicity.stretches(b"abcdefghijklmnopqrstu")
+
+
+def test_toxicity_finds_wide_gaps(spark):
+    docs, labels = toxic_tables(spark)
+    wide = spark.createDataFrame([(2000 + k, f"alpha {gap.join('numbskull')} beta") for k, gap in
+                                  enumerate(["--", "---", "\u200b", "\u200b\u200b", "\u2022\u2022\u2022"])], docs.schema)
+    got = toxicity.score_texts(wide, toxicity.learn(docs, labels)).collect()
+    assert len(got) == 5 and all(row.score >= toxicity.THRESHOLD for row in got)
+
+
 def toxic_tables(spark, n=400):
     pick, rows, marks = random.Random(4), [], []
     for k in range(n):
