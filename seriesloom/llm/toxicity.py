@@ -155,6 +155,14 @@ def self_kernel(strings: list[bytes]) -> np.ndarray:
     return out
 
 
+def least_norm(strings: list[bytes]) -> np.ndarray:
+    """Weight of the closest four letters of each string; the norm is at least that."""
+    out = np.zeros(len(strings))
+    for rows, _, place in _by_letters(strings, 1 << 16):
+        out[rows] = POWERS.take((place[LENGTH - 1:] - place[:1 - LENGTH]).min(axis=0) + 1, mode="clip")
+    return out
+
+
 def profile(string: bytes) -> dict[int, float]:
     """The explicit feature vector of a short string."""
     out: dict[int, float] = {}
@@ -204,7 +212,7 @@ class Landmarks:
                     hit = np.flatnonzero(at[last])
                     total[hit] += weight[first][third - first - 2 + last, hit][:, None] * self.vectors[at[last, hit]]
             out[rows] = total
-        norms = np.sqrt(np.maximum(self_kernel(strings), 1e-30))
+        norms = np.sqrt(np.maximum(self_kernel(strings), 1e-300))
         return out / norms[:, None]
 
 
@@ -231,9 +239,11 @@ class Model:
             self._weights[self.codes] = self.values
         raw = dot(strings, self._weights)
         out = np.full(len(strings), FLOOR)
-        # K(x, x) is at least that of one subsequence without a gap, so few strings need it in full.
-        rows = np.flatnonzero(raw + (self.bias - FLOOR) * DECAY ** LENGTH > 0)
-        norms = np.sqrt(np.maximum(self_kernel([strings[k] for k in rows]), 1e-30))
+        rows = np.arange(len(strings))
+        if self.bias <= FLOOR:  # then a negative product lies below FLOOR, and few others need the norm in full
+            rows = np.flatnonzero(raw > 0)
+            rows = rows[raw[rows] > (FLOOR - self.bias) * least_norm([strings[k] for k in rows])]
+        norms = np.sqrt(np.maximum(self_kernel([strings[k] for k in rows]), 1e-300))
         out[rows] = np.maximum(raw[rows] / norms + self.bias, FLOOR)
         return out
 

@@ -437,6 +437,22 @@ def test_string_kernel_counts_wide_subsequences():
     assert [x.replace(b"--", b"") for x in long] == toxicity.stretches(b"abcdefghijklmnopqrstu")
 
 
+@pytest.mark.parametrize("bias", [-1.8, -0.9, -0.5, 0.2])
+def test_decisions_skip_no_norm_that_matters(bias):
+    pick = random.Random(8)
+    words = [gap.join(pick.choice("idotsupe") for _ in range(pick.randrange(4, 12))) for gap in ("", "", "-", "--", "-----") for _ in range(60)]
+    strings = [toxicity.START + x.encode() + toxicity.END for x in ["idiot", "i---d---i---o---t", *words]]
+    marked = toxicity.profile(strings[0])
+    codes = np.array(sorted(marked))
+    values = np.array([marked[c] * (20 if k % 3 else -20) for k, c in enumerate(codes)], dtype=np.float32)
+    value = dict(zip(codes.tolist(), values.tolist()))
+    got = toxicity.Model(codes, values, bias, (1.0, 0.0, 0.0, 0.0, 0.0), 0.1).decisions(strings)
+    for x, decision in zip(strings, got):
+        whole = toxicity.profile(x)
+        raw, norm = sum(value.get(c, 0) * w for c, w in whole.items()), math.sqrt(sum(w * w for w in whole.values()))
+        assert decision == pytest.approx(max(raw / norm + bias, toxicity.FLOOR), abs=1e-4)
+
+
 def test_toxicity_finds_wide_gaps(spark):
     docs, labels = toxic_tables(spark)
     wide = spark.createDataFrame([(2000 + k, f"alpha {gap.join('numbskull')} beta") for k, gap in
