@@ -13,8 +13,7 @@ gathered again.
 
 Defined cases: null or word-less text has no words and is clean; an item without words is
 ignored; an item with a null id marks words but is not listed; an empty benchmark leaves
-every document clean; every input row gives one output row (with several blocks, identical
-rows give one).
+every document clean; every input row gives one output row.
 """
 
 from __future__ import annotations
@@ -143,10 +142,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_pairs: int =
     union = scans[0]
     for part in scans[1:]:
         union = union.unionByName(part)
-    return union.groupBy("doc_id", "text_key").agg(
+    found = union.groupBy("doc_id", "text_key").agg(  # each block has a row for each copy of a document row
+        (F.count("*") / len(scans)).cast("long").alias("copies"),
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids")).drop("text_key")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("text_key", "copies", "copy")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_pairs: int = BLOCK_PAIRS) -> DataFrame:

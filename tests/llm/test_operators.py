@@ -308,6 +308,17 @@ def test_decontamination_against_brute_force(spark, block_pairs):
     assert clean == want
 
 
+def test_decontamination_keeps_repeated_rows_with_any_number_of_blocks(spark):
+    rows = [(1, "one two three four")] * 3 + [(1, "other words")] + [(2, None)] * 2 + [(None, "five six")] * 2 + [(3, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([("a", "two three"), ("b", "five six"), ("c", "not there")], "item_id string, text string")
+
+    def found(block_pairs):
+        return sorted(map(repr, decontamination.find_contamination(frame, bench, block_pairs).collect()))
+
+    assert len(found(1)) == len(rows) and found(1) == found(100)
+
+
 def test_decontamination_with_empty_tables(hard, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_contamination(hard, none).filter(F.size("hit_words") > 0).count() == 0
