@@ -46,7 +46,7 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes, values: np.ndarray = LOWER_VALUE) -> np.ndarray:
     """One 64-bit hash per word, A-Z read as a-z."""
     data = np.frombuffer(text, dtype=np.uint8)
     starts, ends = word_bounds(data)
@@ -54,10 +54,15 @@ def word_hashes(text: bytes) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     down, up = _table("down", _INVERSE, len(data) + 1), _table("up", _BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(LOWER_VALUE[data] * down[:len(data)], out=sums[1:])
+    np.cumsum(values[data] * down[:len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * up[starts] + (ends - starts).astype(np.uint64))
 
 
+def exact_word_hashes(text: bytes) -> np.ndarray:
+    """One 64-bit hash per word, letters as they are."""
+    return word_hashes(text, BYTE_VALUE)
+
+
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``words`` words; a shorter text is one shingle."""
     h = word_hashes(text)
