@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 MODULES = ["toxicity", "suffix_dedup", "packing", "near_dedup", "language", "quality_model", "quality_rules", "lattice_lm", "token_counts",
-           "decontamination", "filter_audit"]
+           "decontamination", "simhash", "filter_audit", "periodic_runs"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
