@@ -66,16 +66,33 @@ def vintage_monthly_mean(vintages: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+#: Values are summed exactly at this scale; a row's value is read at ten decimals.
+EXACT = "decimal(28,10)"
+
+
 def vintage_monthly_as_known(vintages: DataFrame, digits: int = 6) -> DataFrame:
-    """Month mean over every row known at each vintage of the same series and month."""
-    keyed = vintages.withColumn("as_of", month_end("date"))
-    marks = keyed.select("series_id", "as_of", F.col("realtime_start").alias("recorded_on")).distinct()
-    return (
-        marks.join(keyed, ["series_id", "as_of"])
-        .filter(F.col("recorded_on").between(F.col("realtime_start"), F.col("realtime_end")))
-        .groupBy("series_id", "as_of", "recorded_on")
-        .agg(F.round(F.avg("value"), digits).alias("value"))
-    )
+    """Month mean over every row known at each vintage of the same series and month.
+
+    A sweep over publication events: a row adds its value on the day it is published and takes it back
+    the day after it expires, and one running sum per series and month gives the mean at every
+    vintage. Sums are decimals, so what is taken back leaves nothing. A row without an end stays known.
+    """
+    month, value = month_end("date").alias("as_of"), F.col("value").cast(EXACT)
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    events = F.array(
+        F.struct(F.col("realtime_start").alias("recorded_on"), value.alias("moved"),
+                 F.when(value.isNull(), none).otherwise(one).alias("n"), F.lit(True).alias("vintage")),
+        F.struct(F.date_add("realtime_end", 1).alias("recorded_on"), (-value).cast(EXACT).alias("moved"),
+                 F.when(value.isNull(), none).otherwise(-one).alias("n"), F.lit(False).alias("vintage")))
+    known = F.col("realtime_end").isNull() | (F.col("realtime_end") >= F.col("realtime_start"))
+    days = (vintages.filter(known).select("series_id", month, F.inline(F.filter(events, lambda e: e["recorded_on"].isNotNull())))
+            .groupBy("series_id", "as_of", "recorded_on")
+            .agg(F.sum("moved").alias("moved"), F.sum("n").alias("n"), F.max("vintage").alias("vintage")))
+    so_far = Window.partitionBy("series_id", "as_of").orderBy("recorded_on").rowsBetween(Window.unboundedPreceding, 0)
+    running = days.select("series_id", "as_of", "recorded_on", "vintage", F.sum("moved").over(so_far).alias("total"),
+                          F.sum("n").over(so_far).alias("count"))
+    mean = F.col("total").cast("double") / F.when(F.col("count") > 0, F.col("count"))
+    return running.filter("vintage").select("series_id", "as_of", "recorded_on", F.round(mean, digits).alias("value"))
 
 
 def baseline(obs: DataFrame, start: dt.date, end: dt.date, min_coverage: float = 0.9) -> DataFrame:
@@ -97,11 +114,22 @@ def percent_of_baseline(obs: DataFrame, base: DataFrame) -> DataFrame:
         "series_id", "as_of", F.round(F.col("value") / F.col("base") * 100, 1).alias("value"))
 
 
+def half_up_mean_of_tenths(value: Column) -> Column:
+    """Mean of values with one decimal, rounded half up to one decimal on the exact quotient.
+
+    Such means tie often (x.x5), so sums are kept in whole tenths.
+    """
+    tenths = (F.col(value) if isinstance(value, str) else value).cast("decimal(18,1)") * 10
+    total, n = F.sum(tenths.cast("long")), F.count(value)
+    rounded = F.call_function("div", 2 * F.abs(total) + n, 2 * n)
+    return F.signum(total.cast("double")) * rounded / 10
+
+
 def weekly_mean_completed(daily: DataFrame) -> DataFrame:
     """Mean of each week ending Friday, one decimal; the unfinished last week is dropped."""
     weeks = (
         daily.groupBy("series_id", week_ending_friday("as_of").alias("week"))
-        .agg(F.round(F.avg("value"), 1).alias("value"), F.max("as_of").alias("newest"))
+        .agg(half_up_mean_of_tenths("value").alias("value"), F.max("as_of").alias("newest"))
     )
     return (
         weeks.withColumn("newest", F.max("newest").over(whole()))

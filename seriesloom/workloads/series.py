@@ -130,7 +130,8 @@ PERCENT = """pct AS (
 PERCENT_WEEK = f"""pctweek AS (
   SELECT series_id, week AS as_of, value FROM (
     SELECT series_id, {friday('as_of')} AS week,
-           round(AVG(value), 1) AS value,
+           sign(SUM(CAST(CAST(value AS DECIMAL(18,1)) * 10 AS BIGINT)))
+             * ((2 * abs(SUM(CAST(CAST(value AS DECIMAL(18,1)) * 10 AS BIGINT))) + COUNT(value)) // (2 * COUNT(value))) / 10 AS value,
            MAX(MAX(as_of)) OVER (PARTITION BY series_id) AS newest
     FROM pct GROUP BY 1, 2) WHERE week <= newest)"""
 
