@@ -33,10 +33,14 @@ def _newest(readings: DataFrame, run_date: dt.date) -> DataFrame:
         "provisional": F.col("as_of") == F.max("as_of").over(whole()), "recorded_on": F.lit(run_date)})
 
 
-def daily_append(stream: DataFrame, archive: str, checkpoint: str, run_date: dt.date) -> None:
-    """Append landed readings to the history. A replayed micro-batch appends nothing twice."""
+def daily_append(stream: DataFrame, archive: str, checkpoint: str, run_date: dt.date,
+                 append: Callable[[DataFrame, str], DataFrame] = tables.append_history) -> None:
+    """Append landed readings to the history. A replayed micro-batch appends nothing twice.
+
+    ``append`` is the store's own; ``deltas.append_history`` writes new files only.
+    """
     def handle(batch: DataFrame, _: int) -> None:
-        tables.append_history(_newest(batch, run_date), archive)
+        append(_newest(batch, run_date), archive)
 
     run_available(stream, checkpoint, handle)
 
@@ -109,11 +113,11 @@ def accumulate_snapshots(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str, checkpoint: str, run_date: dt.date,
-                       cells: str | None = None) -> None:
+                       cells: str) -> None:
     """Late rows are classified against the stored view and restated, never dropped.
 
-    Of the archive only the batch's years and series are read. With ``cells`` every changed
-    cell is stored there too.
+    Of the archive only the batch's years and series are read. The journal's named lists are short; every
+    changed cell is stored under ``cells``.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         incoming = cut_lineage(_newest(batch, run_date))
@@ -124,7 +128,7 @@ def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str,
             stored, fresh = bitemporal.current_view(near.drop("year")), revisions.round_values(incoming)
             tables.write_ledger(revisions.declarations(stored, fresh), face, journal,
                                 dt.datetime.combine(run_date, dt.time()), batch_id,
-                                revisions.all_changed_cells(stored, fresh) if cells else None, cells)
+                                revisions.all_changed_cells(stored, fresh), cells)
         tables.append_history(incoming, archive)
 
     run_available(stream, checkpoint, handle)

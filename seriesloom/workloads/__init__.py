@@ -37,4 +37,4 @@ def with_(*parts: str) -> str:
 def load_all() -> None:
     from seriesloom.workloads import (  # noqa: F401
         history, instruments, positioning, prices, quality, series, storage)
-    from seriesloom.workloads import flows  # noqa: F401
+    from seriesloom.workloads import archives, flows  # noqa: F401

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from seriesloom import adapters
 from seriesloom.functions.dates import week_ending_friday
 from seriesloom.operators import registry, resample, revisions
-from seriesloom.sources import extracts, tables
+from seriesloom.sources import deltas, extracts, tables
 from seriesloom.session import scratch_path
 from seriesloom.streaming import incremental
 from seriesloom.workloads import history, instruments, prices, query, series, with_
@@ -289,9 +289,8 @@ def incremental_runs(spark, sf, step):
 @query("r1_incremental_append", with_(history.LOG, history.FULL_VIEW, "SELECT series_id, as_of, value, value_tr FROM fullview"))
 def r1(spark, sf):
     archive, state = scratch_path(spark, "archive"), scratch_path(spark, "state")
-    incremental_runs(spark, sf, lambda stream, day: incremental.daily_append(stream, archive, state, day))
-    from seriesloom.operators.bitemporal import current_view
-    return current_view(tables.read_history(spark, archive)).select("series_id", "as_of", "value", "value_tr")
+    incremental_runs(spark, sf, lambda stream, day: incremental.daily_append(stream, archive, state, day, deltas.append_history))
+    return deltas.view(spark, archive).select("series_id", "as_of", "value", "value_tr")
 
 
 WEEK_LAST = f"""SELECT o_orderpriority AS series_id, {friday('CAST(o_orderdate AS DATE)')} AS as_of,
@@ -361,7 +360,7 @@ def r4(spark, sf):
 
 
 def late_sql(after: str, upto: str) -> str:
-    return f"""SELECT '{upto}T00-00-00Z' AS run_at, series_id, COUNT(*) FILTER (as_of >= tip - 7) AS settled_n, COUNT(*) FILTER (as_of < tip - 7 AND field = 'value') AS historical_value_n FROM (
+    return f"""SELECT '{upto}T00-00-00Z' AS run_at, series_id, COUNT(*) FILTER (as_of >= tip - 7) AS settled_n, COUNT(*) FILTER (as_of < tip - 7 AND field = 'value') AS historical_value_n, COUNT(*) AS stored_cells FROM (
   SELECT i.series_id, i.as_of, tip, 'value' AS field, round(s.value, 4) AS old, round(i.value, 4) AS new FROM i{after} i JOIN s{after} s USING (series_id, as_of) JOIN t{after} USING (series_id)
   UNION ALL SELECT i.series_id, i.as_of, tip, 'value_tr', round(s.value_tr, 4), round(i.value_tr, 4) FROM i{after} i JOIN s{after} s USING (series_id, as_of) JOIN t{after} USING (series_id))
 WHERE old IS DISTINCT FROM new GROUP BY series_id"""
@@ -378,6 +377,9 @@ t{after} AS (SELECT series_id, MAX(as_of) AS tip FROM i{after} GROUP BY 1)"""
 @query("r5_late_rows_declared", with_(history.LOG, late_views("d10", "2024-01-20"), late_views("d20", "2024-02-05"),
        late_sql("d10", "2024-01-20") + " UNION ALL " + late_sql("d20", "2024-02-05")))
 def r5(spark, sf):
-    archive, face, journal, state = (scratch_path(spark, n) for n in ("archive", "face", "journal", "state"))
-    incremental_runs(spark, sf, lambda stream, day: incremental.declare_and_append(stream, archive, face, journal, state, day))
-    return spark.read.parquet(journal).select(F.col("run_at").cast("string").alias("run_at"), "series_id", "settled_n", "historical_value_n")
+    archive, face, journal, cells, state = (scratch_path(spark, n) for n in ("archive", "face", "journal", "cells", "state"))
+    incremental_runs(spark, sf, lambda stream, day: incremental.declare_and_append(stream, archive, face, journal, state, day, cells))
+    run = F.col("run_at").cast("string").alias("run_at")
+    kept = spark.read.parquet(cells).groupBy(run, "series_id").agg(F.count(F.lit(1)).alias("stored_cells"))
+    declared = spark.read.parquet(journal).select(run, "series_id", "settled_n", "historical_value_n")
+    return declared.join(kept, ["run_at", "series_id"], "left")
