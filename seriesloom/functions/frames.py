@@ -7,7 +7,7 @@ hot series: those are folded by a partial aggregate before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SERIES = "series_id"
@@ -38,3 +38,15 @@ def later_rows(key: str = SERIES, day: str = DAY):
 def recency(key: str = SERIES, day: str = DAY) -> Column:
     """1 for the newest row of a series."""
     return F.row_number().over(newest_first(key, day))
+
+
+def first_of_each(rows: DataFrame, keys: list[str], order: list, most: int, position: str | None = None) -> DataFrame:
+    """The first ``most`` rows of each key.
+
+    A row number that is only filtered becomes a bounded top-k: every task keeps the first rows of its
+    own keys, and those are merged per key, so no key's rows come together in one task.
+    """
+    name = position or "_position"
+    numbered = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    kept = numbered.filter(F.col(name) <= most)
+    return kept if position else kept.drop(name)

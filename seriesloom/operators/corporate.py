@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.dates import lookback_start
-from seriesloom.functions.frames import in_order, later_rows, newest_first, whole
+from seriesloom.functions.frames import first_of_each, in_order, later_rows, newest_first, whole
 from seriesloom.schemas import BAR_PRICES
 
 SPLIT_EPS = 1e-9
@@ -37,13 +37,11 @@ def collapse_days(landed: DataFrame) -> DataFrame:
 
 def conflicting_days(rows: DataFrame, named: int = 5) -> DataFrame:
     """Series with a day that carries different values, and their first few such days."""
-    from pyspark.sql import Window
     days = rows.filter(F.col("value").isNotNull()).groupBy("series_id", "as_of").agg(
         F.min("value").alias("low"), F.max("value").alias("high"))
     clashes = days.filter(F.col("low") != F.col("high"))
     total = clashes.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_conflicts"))
-    position = F.row_number().over(Window.partitionBy("series_id").orderBy("as_of"))
-    first = (clashes.withColumn("position", position).filter(F.col("position") <= named)
+    first = (first_of_each(clashes, ["series_id"], ["as_of"], named)
              .groupBy("series_id").agg(F.array_sort(F.collect_list(F.col("as_of").cast("string"))).alias("days")))
     return total.join(first, "series_id").select("series_id", "n_conflicts", F.array_join("days", ",").alias("days"))
 

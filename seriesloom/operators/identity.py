@@ -14,7 +14,9 @@ from seriesloom.schemas import EPOCH
 from seriesloom.session import cut_lineage
 
 PREFIX = "SEC-"
-ID_PATTERN = r"^SEC-\d{6}$"
+#: Digits an id has at least; later numbers are longer and stay in order by number.
+ID_DIGITS = 6
+ID_PATTERN = rf"^SEC-(\d{{{ID_DIGITS}}}|[1-9]\d{{{ID_DIGITS},}})$"
 EPOCH_COLUMNS = EPOCH.fieldNames()
 
 
@@ -27,7 +29,7 @@ def id_number(column="internal_id") -> Column:
 
 
 def formatted_id(number) -> Column:
-    return F.format_string(PREFIX + "%06d", number)
+    return F.format_string(f"{PREFIX}%0{ID_DIGITS}d", number)
 
 
 def open_epochs(epochs: DataFrame) -> DataFrame:

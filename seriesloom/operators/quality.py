@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesloom.functions.frames import first_of_each
 from seriesloom.functions.text import venue_group
 
 STALE_WARN_DAYS, STALE_FAIL_DAYS = 4, 10
@@ -42,31 +43,72 @@ def view_against_log(log: DataFrame) -> DataFrame:
 
 # --- calendars --------------------------------------------------------------------------
 
+WORD = 64
+
+
+def _bits(word: Column) -> Column:
+    """Places of the set bits of a 64-bit word."""
+    return F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda place: F.getbit(word, place) == 1)
+
+
+def _set_of_days(day: Column) -> Column:
+    """Bitmap of the days of one word, as a partial aggregate."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.unix_date(day), F.lit(WORD)).cast("int")))
+
+
+def _word_of(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / WORD).cast("int")
+
+
+def session_words(view: DataFrame) -> DataFrame:
+    """The day set of every series as bitmaps: ``series_id, venue, word, days, lo, hi``, a row per 64 days.
+
+    This is the only shuffle of the view; days are set on the map side. ``view`` holds ``symbol``.
+    """
+    return view.groupBy("series_id", venue_group(F.col("symbol")).alias("venue"), _word_of(F.col("as_of")).alias("word")).agg(
+        _set_of_days(F.col("as_of")).alias("days"), F.min("as_of").alias("lo"), F.max("as_of").alias("hi"))
+
+
+def calendar_of_words(words: DataFrame, window: int = SPARSE_WINDOW, quorum: float = GROUP_QUORUM,
+                      group_min: int = GROUP_MIN) -> DataFrame:
+    """The last sessions of each venue, from the bit counts of its series' day sets."""
+    members = words.groupBy("venue", "series_id").agg(F.count(F.lit(1)).alias("words")).groupBy("venue").agg(
+        F.count(F.lit(1)).alias("members")).filter(F.col("members") >= group_min)
+    place = words.select("venue", "word", F.explode(_bits(F.col("days"))).alias("place"))
+    days = place.groupBy("venue", "word", "place").agg(F.count(F.lit(1)).alias("present"))
+    sessions = days.join(members, "venue").filter(F.col("present") >= quorum * F.col("members")).select(
+        "venue", F.date_from_unix_date(F.col("word") * WORD + F.col("place")).alias("as_of"), "present", "members")
+    newest = F.row_number().over(Window.partitionBy("venue").orderBy(F.col("as_of").desc()))
+    return (sessions.withColumn("recency", newest).filter(F.col("recency") <= window)
+            .select("venue", "as_of", "present", "members"))
+
+
+def missing_of_words(words: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sessions inside a series' own first and last day that it lacks: calendar AND NOT days, word by word."""
+    bounds = words.groupBy("series_id", "venue").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sessions = calendar.groupBy("venue", _word_of(F.col("as_of")).alias("word")).agg(_set_of_days(F.col("as_of")).alias("sessions"))
+    expected = bounds.join(sessions, "venue").filter(
+        F.col("word").between(_word_of(F.col("lo")), _word_of(F.col("hi"))))
+    lacking = expected.join(words.select("series_id", "venue", "word", "days"), ["series_id", "venue", "word"], "left").withColumn(
+        "lacking", F.col("sessions").bitwiseAND(F.bitwise_not(F.coalesce("days", F.lit(0).cast("long")))))
+    day = F.date_from_unix_date(F.col("word") * WORD + F.col("place"))
+    return (lacking.filter("lacking <> 0").select("series_id", "venue", "word", "lo", "hi", F.explode(_bits(F.col("lacking"))).alias("place"))
+            .select("series_id", "venue", day.alias("as_of"), "lo", "hi")
+            .filter(F.col("as_of").between(F.col("lo"), F.col("hi"))).drop("lo", "hi"))
+
+
 def venue_calendar(view: DataFrame, window: int = SPARSE_WINDOW, quorum: float = GROUP_QUORUM,
                    group_min: int = GROUP_MIN) -> DataFrame:
     """The last sessions of each venue: days on which enough of its series have a bar.
 
     ``view`` holds one row per (series, day) with ``symbol``. Small venues have no calendar.
     """
-    grouped = view.withColumn("venue", venue_group(F.col("symbol")))
-    members = grouped.groupBy("venue", "series_id").agg(F.count(F.lit(1)).alias("bars")).groupBy("venue").agg(
-        F.count(F.lit(1)).alias("members"))
-    days = grouped.groupBy("venue", "as_of").agg(F.count(F.lit(1)).alias("present"))
-    sessions = days.join(members.filter(F.col("members") >= group_min), "venue").filter(
-        F.col("present") >= quorum * F.col("members"))
-    newest = F.row_number().over(Window.partitionBy("venue").orderBy(F.col("as_of").desc()))
-    return (sessions.withColumn("recency", newest).filter(F.col("recency") <= window)
-            .select("venue", "as_of", "present", "members"))
+    return calendar_of_words(session_words(view), window, quorum, group_min)
 
 
 def missing_sessions(view: DataFrame, calendar: DataFrame) -> DataFrame:
     """Venue sessions inside a series' own first and last day that the series lacks."""
-    bounds = view.groupBy("series_id", venue_group(F.col("symbol")).alias("venue")).agg(
-        F.min("as_of").alias("lo"), F.max("as_of").alias("hi"))
-    expected = bounds.join(calendar.select("venue", "as_of"), "venue").filter(
-        F.col("as_of").between(F.col("lo"), F.col("hi")))
-    return expected.select("series_id", "venue", "as_of").join(
-        view.select("series_id", "as_of"), ["series_id", "as_of"], "left_anti")
+    return missing_of_words(session_words(view), calendar)
 
 
 def universe_session(view: DataFrame) -> DataFrame:
@@ -102,15 +144,12 @@ def stale_series(view: DataFrame, exemptions: DataFrame, today: dt.date, warn_da
 def sparse_series(view: DataFrame, exemptions: DataFrame, today: dt.date, warn_max: int = SPARSE_WARN,
                   fail_max: int = SPARSE_FAIL, **calendar_options) -> DataFrame:
     """Series that miss interior sessions of their own venue, most missing first."""
-    holes = missing_sessions(view, venue_calendar(view, **calendar_options))
-    position = F.row_number().over(Window.partitionBy("series_id").orderBy("as_of"))
-    counted = (
-        holes.withColumn("position", position).groupBy("series_id").agg(
-            F.count(F.lit(1)).alias("missing"),
-            F.array_join(F.array_sort(F.collect_list(
-                F.when(F.col("position") <= NAMED_DATES, F.col("as_of").cast("string")))), ",").alias("dates"))
-        .filter(F.col("missing") > warn_max)
-    )
+    words = session_words(view)
+    holes = missing_of_words(words, calendar_of_words(words, **calendar_options))
+    total = holes.groupBy("series_id").agg(F.count(F.lit(1)).alias("missing")).filter(F.col("missing") > warn_max)
+    first = first_of_each(holes, ["series_id"], ["as_of"], NAMED_DATES).groupBy("series_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.col("as_of").cast("string"))), ",").alias("dates"))
+    counted = total.join(first, "series_id")
     return (_with_exemptions(counted, exemptions, today)
             .select("series_id", "missing", "dates", _tier(F.col("missing") > fail_max).alias("tier"))
             .orderBy(F.col("missing").desc(), "series_id"))

@@ -205,8 +205,8 @@ def base_first(wanted: DataFrame, registry: DataFrame, base: DataFrame, fallback
     """Bars per wanted symbol, from the archive where it serves it and from the fallback elsewhere.
 
     ``base`` holds bars by series, already clipped; ``fallback`` bars by symbol. A symbol
-    is served when the archive has any close for it: one partial aggregate over the archive finds
-    the served symbols, and rows of the fallback for them are dropped by an anti join. No side is
+    is served when a side has any close for it: one partial aggregate per side finds the served symbols,
+    and only fallback rows of symbols that the archive does not serve are kept. No side is
     regrouped whole. The second frame names each symbol's provenance; symbols neither side
     can serve are absent.
     """
@@ -214,8 +214,9 @@ def base_first(wanted: DataFrame, registry: DataFrame, base: DataFrame, fallback
     mine = base.join(resolved.filter("known").select("symbol", "series_id"), "series_id")
     theirs = fallback.join(resolved.select("symbol"), "symbol", "left_semi")
     served = mine.filter(F.col("close").isNotNull()).select("symbol").distinct()
+    offered = theirs.filter(F.col("close").isNotNull()).select("symbol").distinct()
     bars = (mine.join(served, "symbol", "left_semi").select("symbol", "as_of", *OHLCV, F.lit("base").alias("provenance"))
-            .unionByName(theirs.join(served, "symbol", "left_anti").select(
+            .unionByName(theirs.join(offered.join(served, "symbol", "left_anti"), "symbol", "left_semi").select(
                 "symbol", "as_of", *OHLCV, F.lit("fetch").alias("provenance"))))
     return bars, bars.select("symbol", "provenance").distinct()
 

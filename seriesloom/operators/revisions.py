@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom.functions.frames import first_of_each
 
 DECIMALS = 4
 SETTLE_DAYS = 7
@@ -70,11 +71,9 @@ def classified_cells(cells: DataFrame, recomputed: DataFrame | None = None) -> D
 
 def named_items(classified: DataFrame, limit: int = NAMED_ITEMS) -> DataFrame:
     """The first ``limit`` named changes per series and kind, in day and field order."""
-    order = Window.partitionBy("series_id", "kind").orderBy("as_of", "place")
+    named = classified.filter(F.col("kind").isin("settled", "historical_value"))
     return (
-        classified.filter(F.col("kind").isin("settled", "historical_value"))
-        .withColumn("position", F.row_number().over(order))
-        .filter(F.col("position") <= limit)
+        first_of_each(named, ["series_id", "kind"], ["as_of", "place"], limit, "position")
         .select("series_id", "kind", F.col("position").cast("long").alias("position"), "as_of", "field", "old", "new")
     )
 
@@ -167,10 +166,10 @@ def edge_warnings(stored: DataFrame, incoming: DataFrame, named: int = 3) -> Dat
         .filter(F.col("as_of").between(F.col("new_first"), F.col("new_last")))
         .join(incoming.select("series_id", "as_of"), ["series_id", "as_of"], "left_anti")
     )
-    position = F.row_number().over(Window.partitionBy("series_id").orderBy("as_of"))
-    listed = (holes.withColumn("position", position).groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("gaps"),
-        F.array_sort(F.collect_list(F.when(F.col("position") <= named, F.col("as_of").cast("string")))).alias("first_gaps")))
+    counted = holes.groupBy("series_id").agg(F.count(F.lit(1)).alias("gaps"))
+    first = first_of_each(holes, ["series_id"], ["as_of"], named).groupBy("series_id").agg(
+        F.array_sort(F.collect_list(F.col("as_of").cast("string"))).alias("first_gaps"))
+    listed = counted.join(first, "series_id")
     return spans.join(listed, "series_id", "left").select(
         "series_id", (F.col("new_first") > F.col("old_first")).alias("head_shorter"),
         (F.col("new_last") < F.col("old_last")).alias("tail_regressed"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.frames import recency
+from seriesloom.operators.resample import half_up_mean_of_tenths
 from seriesloom.operators.windows import persistence, tail_rows, trailing_streak
 
 BULL, BEAR, NEUTRAL, NODATA = "BULL", "BEAR", "NEUTRAL", "NODATA"
@@ -95,7 +96,7 @@ def composite(states: DataFrame, falsifier: DataFrame, silent: str = "S5", must_
 def dials(series: DataFrame, deviation: DataFrame, percent: DataFrame) -> DataFrame:
     """Stock and flow readings between 0 and 1; 0.5 for a flow without data."""
     stock = tail_rows(deviation, 4).groupBy("series_id").agg(F.avg("value").alias("mean4"))
-    flow = tail_rows(percent, 7).groupBy("series_id").agg(F.round(F.avg("value"), 1).alias("pct7"))
+    flow = tail_rows(percent, 7).groupBy("series_id").agg(half_up_mean_of_tenths("value").alias("pct7"))
 
     def clamp(x: Column) -> Column:
         return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))

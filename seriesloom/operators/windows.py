@@ -176,7 +176,8 @@ def largest_gap(obs: DataFrame, max_gap_days: int = 60) -> DataFrame:
 
 def cohort_frontier(monthly: DataFrame, anchors: DataFrame) -> DataFrame:
     """Latest month reached by any anchor series, as a one-row frame ``frontier``."""
-    return monthly.join(anchors.select("series_id").distinct(), "series_id", "left_semi").agg(
+    reached = monthly.filter(F.col("value").isNotNull())
+    return reached.join(anchors.select("series_id").distinct(), "series_id", "left_semi").agg(
         F.max(month_end("as_of")).alias("frontier"))
 
 
@@ -192,8 +193,9 @@ def carry_forward(monthly: DataFrame, frontier: dt.date | Column, cohort: DataFr
 
     Later real months are kept. A fill repeats the whole last record and is flagged. Only series of
     ``cohort`` (all without one) are touched; others keep their rows and days as they are. Without a
-    frontier (no anchor has a row) nothing is filled.
+    frontier (no anchor has a row) nothing is filled. A row without a value is a missing month.
     """
+    monthly = monthly.filter(F.col("value").isNotNull())
     if cohort is not None:
         names = cohort.select("series_id").distinct()
         rest = monthly.join(names, "series_id", "left_anti")
@@ -221,7 +223,7 @@ def chained_nowcast(levels: DataFrame, rates: DataFrame, digits: int = 6) -> Dat
 
     Every step is rounded, so the walk is a fold over the months of one series.
     """
-    last = levels.groupBy("series_id").agg(
+    last = levels.filter(F.col("value").isNotNull()).groupBy("series_id").agg(
         F.max(month_end("as_of")).alias("last_month"), F.max_by("value", "as_of").alias("level"))
     ahead = (
         rates.select("series_id", month_end("as_of").alias("as_of"), F.col("value").alias("rate"))

@@ -80,10 +80,12 @@ def macro_run(feeds: Sequence[DataFrame], stored: DataFrame, anchors: DataFrame,
               cohort: DataFrame | None = None, expected: DataFrame | None = None) -> MacroRun:
     """Feeds to rows ready for a full replace, with replace status, declared revisions and edge warnings.
 
-    Series named in ``rates`` are extended by the nowcast; then the series of ``cohort`` (all
+    Rows without a value are none. Series named in ``rates`` are extended by the nowcast; then the series of ``cohort`` (all
     without one) are carried forward to the latest month an anchor series reached. Other series,
     such as weekly ones, keep their rows. ``absent`` names the ``expected`` series no feed delivered.
     """
+    stored = stored.filter(F.col("value").isNotNull())
+    feeds = [feed.filter(F.col("value").isNotNull()) for feed in feeds]
     assembled = registry.assemble(feeds).select("series_id", "as_of", "value").withColumns({
         "filled": F.lit(None).cast("string"), "provisional": F.lit(False)})
     if rates is not None:

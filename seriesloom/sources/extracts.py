@@ -56,6 +56,38 @@ def macro_extracts(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.join(rejects, "series_id", "left_anti"), status
 
 
+def _reason(date: Column, dates: Sequence[Column], number_text: Column, number: Column, missing: Column) -> Column:
+    """Why a row cannot be read; NULL where it can. A marked missing value is no fault."""
+    bad_date = F.lit(False)
+    for read in dates:
+        bad_date = bad_date | read.isNull()
+    return (F.when(bad_date, F.concat(F.lit("unreadable date "), F.coalesce(date, F.lit("none"))))
+            .when(~missing & number.isNull(), F.concat(F.lit("unreadable value "), F.coalesce(number_text, F.lit("none")))))
+
+
+def vintage_rows(landed: DataFrame) -> DataFrame:
+    """Every landed vintage row, typed, with the reason if it cannot be read."""
+    days = {name: lenient_date(F.col(name)) for name in ("date", "realtime_start", "realtime_end")}
+    text = F.col("value").cast("string")
+    return landed.select(
+        "series_id", *[day.alias(name) for name, day in days.items()], observed_number(text).alias("value"),
+        _reason(F.col("date").cast("string"), list(days.values()), text, observed_number(text), no_observation(text)).alias("reason"))
+
+
+def period_rows(landed: DataFrame) -> DataFrame:
+    """Every landed period row, typed, with the reason if it cannot be read."""
+    text, day = F.col("value").cast("string"), lenient_date(F.col("period"))
+    return landed.select("series_id", day.alias("as_of"), loose_number(text).alias("value"),
+                         _reason(F.col("period").cast("string"), [day], text, loose_number(text), no_observation(text)).alias("reason"))
+
+
+def row_status(rows: DataFrame) -> DataFrame:
+    """Per series whether its extract can be read whole, with counts and the first reason."""
+    return rows.groupBy("series_id").agg(
+        (F.count("reason") == 0).alias("ok"), F.count(F.lit(1)).alias("n_landed"), F.count("reason").alias("n_rejected"),
+        F.min("reason").alias("reason"))
+
+
 def macro_observations(landed: DataFrame) -> DataFrame:
     """``series_id, as_of, value`` of the readable rows that hold an observation."""
     return landed.select("series_id", lenient_date(F.col("date")).alias("as_of"),
@@ -63,22 +95,18 @@ def macro_observations(landed: DataFrame) -> DataFrame:
 
 
 def macro_vintages(landed: DataFrame) -> DataFrame:
-    """Readable vintage rows, keeping the interval each value was live; rejects: ``macro_rejects``."""
-    return landed.select(
-        "series_id", lenient_date(F.col("date")).alias("date"),
-        lenient_date(F.col("realtime_start")).alias("realtime_start"),
-        lenient_date(F.col("realtime_end")).alias("realtime_end"),
-        observed_number(F.col("value")).alias("value")).dropna()
+    """Readable vintage rows, keeping the interval each value was live; ``vintage_rows`` has the others too."""
+    return vintage_rows(landed).drop("reason").dropna()
 
 
 def period_values(landed: DataFrame) -> DataFrame:
-    return landed.select("series_id", lenient_date(F.col("period")).alias("as_of"),
-                         loose_number(F.col("value").cast("string")).alias("value")).dropna()
+    """Readable period rows; ``period_rows`` has the others too."""
+    return period_rows(landed).drop("reason").dropna()
 
 
-def feature_counts(landed: DataFrame, date_candidates: Sequence[str], count_candidates: Sequence[str],
-                   key: str = "series_id") -> DataFrame:
-    """Day and count of feature attributes whose column names and date form vary.
+def feature_rows(landed: DataFrame, date_candidates: Sequence[str], count_candidates: Sequence[str],
+                 key: str = "series_id") -> DataFrame:
+    """Day and count of feature attributes whose column names and date form vary, with the reason of unreadable rows.
 
     An extract's dates are epoch milliseconds when its largest number is large enough; each
     extract is decided by itself.
@@ -88,9 +116,43 @@ def feature_counts(landed: DataFrame, date_candidates: Sequence[str], count_cand
     as_number = loose_number(F.col(date_name).cast("string"))
     forms = landed.groupBy(F.col(key).alias("_extract")).agg((F.max(as_number) > EPOCH_MILLIS_FLOOR).alias("_is_epoch"))
     decided = landed.join(forms, F.col(key).eqNullSafe(F.col("_extract")), "left")
+    text = F.col(count_name).cast("string")
+    day = epoch_or_text_date(F.col(date_name).cast("string"), F.coalesce("_is_epoch", F.lit(False)))
     return decided.select(
-        F.col(key), epoch_or_text_date(F.col(date_name).cast("string"), F.coalesce("_is_epoch", F.lit(False))).alias("as_of"),
-        loose_number(F.col(count_name).cast("string")).alias("value")).dropna()
+        F.col(key), day.alias("as_of"), loose_number(text).alias("value"),
+        _reason(F.col(date_name).cast("string"), [day], text, loose_number(text), no_observation(text)).alias("reason"))
+
+
+def feature_counts(landed: DataFrame, date_candidates: Sequence[str], count_candidates: Sequence[str],
+                   key: str = "series_id") -> DataFrame:
+    """Readable feature rows; ``feature_rows`` has the others too."""
+    return feature_rows(landed, date_candidates, count_candidates, key).drop("reason").dropna()
+
+
+def _first_of(document: Column, candidates: Sequence[str]) -> Column:
+    """Text of the first candidate path that a document has; every path is tried as given, lower and upper."""
+    spellings = dict.fromkeys(s for c in candidates for s in (c, c.lower(), c.upper()))
+    return F.coalesce(*[F.try_variant_get(document, f"$.{name}", "string") for name in spellings])
+
+
+def mixed_rows(landed: DataFrame, date_candidates: Sequence[str], value_candidates: Sequence[str],
+               key: str = "series_id", text: str = "document") -> DataFrame:
+    """Rows of extracts whose documents differ in shape: ``series_id, as_of, value, reason``.
+
+    Each landed row holds one JSON document as text. It is parsed once to a variant, and its columns are
+    resolved per row: the first candidate path (dots lead into objects) that it has. A date is text or epoch
+    milliseconds by its own size. A row that cannot be read keeps its key and a reason.
+    """
+    parsed = landed.select(F.col(key), F.col(text).alias("_text"), F.try_parse_json(F.col(text)).alias("_document")).select(
+        key, "_text", "_document", _first_of(F.col("_document"), date_candidates).alias("_date"),
+        _first_of(F.col("_document"), value_candidates).alias("_value"))
+    number = loose_number(F.col("_value"))
+    is_epoch = F.coalesce(loose_number(F.col("_date")) > EPOCH_MILLIS_FLOOR, F.lit(False))
+    day = epoch_or_text_date(F.col("_date"), is_epoch)
+    reason = F.when(F.col("_document").isNull() & F.col("_text").isNotNull(), F.lit("not a document")).when(
+        F.col("_date").isNull(), F.lit("no date column")).when(F.col("_value").isNull() & day.isNotNull(), F.lit("no value column"))
+    return parsed.select(F.col(key), day.alias("as_of"), number.alias("value"), F.coalesce(
+        reason, _reason(F.col("_date"), [day], F.col("_value"), number, no_observation(F.col("_value")))).alias("reason"))
 
 
 def snapshot_readings(feed: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -20,17 +20,32 @@ allowed AS (SELECT b.* FROM bars b LEFT JOIN stampcat c USING (series_id)
   WHERE NOT COALESCE(c.family = 'stock' AND c.stable_id IS NULL, false) AND series_id NOT IN (
     SELECT series_id FROM registry JOIN live USING (symbol) WHERE quote_basis IS NOT NULL AND live_currency IS NOT NULL
       AND {instruments.CANON.format('live_currency')} <> {instruments.CANON.format('quote_basis')})),
-acts AS (SELECT b.series_id, CASE WHEN s.series_id IS NULL THEN 'append'
-    WHEN s.provisional THEN 'revise' WHEN {DIFFERS} THEN 'restate' ELSE 'skip' END AS action
-  FROM allowed b LEFT JOIN stored s ON s.series_id = b.series_id AND s.as_of = b.as_of)
+{prices.HEAL}, {prices.HEALED},
+healing AS (SELECT DISTINCT series_id FROM allowed JOIN registry USING (series_id)
+  WHERE abs(split_factor - 1.0) > 1e-9 AND family = 'stock' AND series_id IN (SELECT series_id FROM pulled)),
+batch AS (
+  SELECT series_id, as_of, {', '.join(PRICE_FIELDS)}, provisional, false AS healed FROM allowed WHERE series_id NOT IN (SELECT series_id FROM healing)
+  UNION ALL SELECT series_id, as_of, {', '.join(PRICE_FIELDS)}, as_of = MAX(as_of) OVER (PARTITION BY series_id), true FROM healed
+  WHERE series_id IN (SELECT series_id FROM healing)),
+ends AS (SELECT series_id, MAX(as_of) AS tip FROM stored GROUP BY 1),
+acts AS (SELECT b.series_id, healed, CASE WHEN s.series_id IS NULL THEN 'append'
+    WHEN s.provisional THEN CASE WHEN NOT ({DIFFERS}) AND b.provisional AND b.as_of >= tip THEN 'skip' ELSE 'revise' END
+    WHEN {DIFFERS} THEN 'restate' ELSE 'skip' END AS action
+  FROM batch b LEFT JOIN ends USING (series_id) LEFT JOIN stored s ON s.series_id = b.series_id AND s.as_of = b.as_of)
 SELECT series_id, true AS ok, COUNT(*) FILTER (action = 'append') AS appended, COUNT(*) FILTER (action = 'restate') AS restated,
-  COUNT(*) FILTER (action = 'revise') AS revised, COUNT(*) FILTER (action = 'skip') AS skipped FROM acts GROUP BY 1"""))
+  COUNT(*) FILTER (action = 'revise') AS revised, COUNT(*) FILTER (action = 'skip') AS skipped, bool_or(healed) AS healed,
+  CAST(0 AS BIGINT) AS unhealed FROM acts GROUP BY 1"""))
 def daily_prices(spark, sf):
+    """One run from landed rows to an append plan; every split series is healed from its re-pull."""
     log = prices.stored_before_split(spark, sf).withColumn("recorded_on", F.lit(prices.SPLIT_DAY))
     run = runs.daily_price_run(
         adapters.landed_bars(spark, sf), log, adapters.registry(spark, sf), instruments.stamp_catalog(spark, sf),
-        instruments.live_currency(spark, sf), dt.date(2001, 11, 10))
-    return run.summary.select("series_id", "ok", "appended", "restated", "revised", "skipped")
+        instruments.live_currency(spark, sf), dt.date(2001, 11, 10), repull=prices.repull(spark, sf))
+    healed = run.split.join(run.unhealed, "series_id", "left_anti").withColumn("healed", F.lit(True))
+    unhealed = run.unhealed.agg(F.count(F.lit(1)).alias("unhealed"))
+    return run.summary.join(healed, "series_id", "left").select(
+        "series_id", "ok", "appended", "restated", "revised", "skipped", F.coalesce("healed", F.lit(False)).alias("healed"),
+        unhealed.scalar().alias("unhealed"))
 
 
 @query("run_base_first_read", with_(*prices.TR_CHAIN, prices.ADJUSTED, prices.REGISTRY, """
@@ -42,8 +57,9 @@ SELECT symbol, provenance, COUNT(*) AS n_rows, CAST(SUM(volume) AS BIGINT) AS vo
   round(SUM(close / CASE WHEN upper(quote_basis) = 'GBX' THEN 100 ELSE 1 END), 2) AS close_sum
 FROM (SELECT * FROM mine UNION ALL SELECT * FROM theirs) GROUP BY 1, 2"""))
 def base_first(spark, sf):
-    solvent = adapters.registry(spark, sf).filter("balance >= 0").select("series_id")
-    log = prices.recorded_bars(spark, sf).join(solvent, "series_id", "left_semi")
+    solvent = adapters.registry(spark, sf).select("series_id", (F.col("balance") >= 0).alias("solvent"))
+    log = prices.recorded_bars(spark, sf).join(solvent, "series_id").withColumns(
+        {c: F.when(F.col("solvent"), F.col(c)) for c in ("close", "value")}).drop("solvent")  # debtors have no price
     bars = runs.base_first_read(
         log, instruments.wanted_symbols(spark, sf), adapters.registry(spark, sf), instruments.fallback_bars(spark, sf),
         "1y", prices.WINDOW_END, pinned=prices.PINNED, fresh_days=400, tolerance=0.2)
@@ -59,18 +75,19 @@ SELECT w.series_id, w.as_of, CASE WHEN abs(round(w.value, 4) - b.value) <= GREAT
 def macro(spark, sf):
     monthly = series.monthly(spark, sf)
     gappy = series.with_gaps(monthly)
-    stored = monthly.filter(F.col("as_of").between(F.lit(dt.date(1995, 6, 30)), F.lit(dt.date(2000, 12, 31)))
-                            & (F.dayofmonth("as_of") != 30)).withColumn("value", F.col("value") * 1.0000173)
-    feeds = [gappy, gappy.filter("series_id = '3-MEDIUM'")]
-    return runs.macro_run(feeds, stored, gappy.filter("series_id = '3-MEDIUM'")).ready
+    known = F.col("as_of").between(F.lit(dt.date(1995, 6, 30)), F.lit(dt.date(2000, 12, 31))) & (F.dayofmonth("as_of") != 30)
+    stored = monthly.withColumn("value", F.when(known, F.col("value") * 1.0000173))
+    anchor = F.col("series_id") == "3-MEDIUM"
+    feeds = [gappy, gappy.withColumn("value", F.when(anchor, F.col("value")))]
+    return runs.macro_run(feeds, stored, gappy.select(F.when(anchor, F.col("series_id")).alias("series_id"))).ready
 
 
 @query("run_macro_absent", "SELECT DISTINCT o_orderpriority AS series_id FROM orders WHERE o_orderpriority = '5-LOW'")
 def macro_absent(spark, sf):
     """A series no feed delivered is named, and the others go on."""
     monthly = series.monthly(spark, sf)
-    anchors = monthly.filter("series_id = '3-MEDIUM'")
-    return runs.macro_run([monthly.filter("series_id <> '5-LOW'")], monthly, anchors).absent
+    delivered = monthly.withColumn("value", F.when(F.col("series_id") != "5-LOW", F.col("value")))
+    return runs.macro_run([delivered], monthly, monthly.select(F.when(F.col("series_id") == "3-MEDIUM", F.col("series_id")).alias("series_id"))).absent
 
 
 MARKET_ROWS = """coded AS (SELECT *, substr(market, 7) AS contract_code FROM landed),
@@ -136,7 +153,7 @@ gates AS (
 SELECT gate, hard, n = 0 AS passed, n AS n_violations FROM gates"""))
 def gates(spark, sf):
     found, _ = runs.verification_run(
-        quality.partial_bars(spark, sf), adapters.reading_log(spark, sf), adapters.registry(spark, sf),
+        quality.held_bars(spark, sf), adapters.reading_log(spark, sf), adapters.registry(spark, sf),
         quality.baselines(spark, sf), quality.quarantine(spark, sf), quality.exemptions(spark, sf), GATE_FIELDS,
         quality.TODAY, quality.venue(spark, sf))
     return found.select("gate", "hard", "passed", "n_violations")

@@ -164,19 +164,27 @@ def j5(spark, sf):
     return registry.reconcile_currency(reg(spark, sf), live_currency(spark, sf))
 
 
-STAMPED = """stampcat AS (SELECT series_id, family, CASE WHEN number % 5 <> 2 THEN printf('SEC-%06d', number + 1) END AS stable_id FROM registry WHERE category <> 'nation_3')"""
+STAMPED = """stampcat AS (SELECT series_id, family, CASE WHEN number % 5 <> 2 THEN printf('SEC-%06d', number + 1) END AS stable_id FROM registry),
+wide AS (SELECT series_id, family FROM registry UNION ALL SELECT 'cu_' || c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN 'stock' END FROM customer)"""
+
+
+def wide_registry(spark, sf):
+    """Configured series: those of the suppliers, and one per customer that no one has registered or delivered."""
+    unknown = adapters.table(spark, sf, "customer").select(
+        adapters.keyed("cu_", "c_custkey").alias("series_id"), F.when(F.col("c_custkey") % 4 != 0, F.lit("stock")).alias("family"))
+    return reg(spark, sf).select("series_id", "family").unionByName(unknown)
 
 
 def stamp_catalog(spark, sf):
-    return reg(spark, sf).filter("category <> 'nation_3'").select(
+    return reg(spark, sf).select(
         "series_id", "family", F.when(F.col("number") % 5 != 2, F.format_string("SEC-%06d", F.col("number") + 1)).alias("stable_id"))
 
 
 @query("j9_ready_scope", with_(REG, STAMPED, """
 SELECT r.series_id, CASE WHEN c.series_id IS NULL THEN 'unregistered' WHEN r.family = 'stock' AND stable_id IS NULL THEN 'unstamped' ELSE 'ready' END AS readiness
-FROM registry r LEFT JOIN stampcat c USING (series_id)"""))
+FROM wide r LEFT JOIN stampcat c USING (series_id)"""))
 def j9(spark, sf):
-    return registry.ready_scope(reg(spark, sf), stamp_catalog(spark, sf))
+    return registry.ready_scope(wide_registry(spark, sf), stamp_catalog(spark, sf))
 
 
 @query("j10_stamp", with_(*prices.CHAIN, REG, STAMPED, """
@@ -194,14 +202,16 @@ def j10_refused(spark, sf):
 
 # --- feeds ------------------------------------------------------------------------------------
 
-FEEDS = """f1 AS (SELECT * FROM weekly WHERE series_id <> '5-LOW'),
-f2 AS (SELECT series_id, as_of, round(value, 6) AS value FROM monthly WHERE series_id IN ('1-URGENT', '5-LOW')),
+FEEDS = """f1 AS (SELECT * FROM weekly),
+f2 AS (SELECT CASE WHEN series_id IN ('1-URGENT', '5-LOW') THEN series_id ELSE 'm_' || series_id END AS series_id, as_of, round(value, 6) AS value FROM monthly),
 fed AS (SELECT *, CAST(0 AS BIGINT) AS feed FROM f1 WHERE series_id NOT IN (SELECT series_id FROM f2) UNION ALL SELECT *, 1 FROM f2)"""
 
 
 def feeds(spark, sf):
-    return [series.weekly(spark, sf).filter("series_id <> '5-LOW'"),
-            series.monthly(spark, sf).filter(F.col("series_id").isin("1-URGENT", "5-LOW"))]
+    """Weekly series, and monthly ones; two of the monthly ones go by the name of a weekly series."""
+    both = F.col("series_id").isin("1-URGENT", "5-LOW")
+    name = F.when(both, F.col("series_id")).otherwise(F.concat(F.lit("m_"), "series_id"))
+    return [series.weekly(spark, sf), series.monthly(spark, sf).withColumn("series_id", name)]
 
 
 @query("u2_feed_assembly", with_(ORDER_VALUE, WEEKLY, MONTHLY, FEEDS, "SELECT * FROM fed"))
@@ -209,10 +219,9 @@ def u2(spark, sf):
     return registry.assemble(feeds(spark, sf))
 
 
-@query("u3_not_attempted", with_(REG, prices.LANDED, "SELECT DISTINCT series_id FROM registry WHERE series_id NOT IN (SELECT series_id FROM lb WHERE close > 104900)"))
+@query("u3_not_attempted", with_(REG, STAMPED, prices.LANDED, "SELECT DISTINCT series_id FROM wide WHERE series_id NOT IN (SELECT series_id FROM lb)"))
 def u3(spark, sf):
-    attempted = adapters.landed_bars(spark, sf).filter("close > 104900").select("series_id").distinct()
-    return registry.not_attempted(reg(spark, sf), attempted)
+    return registry.not_attempted(wide_registry(spark, sf), adapters.landed_bars(spark, sf).select("series_id").distinct())
 
 
 BLOCKS = """blocks AS (
@@ -255,7 +264,8 @@ def a15(spark, sf):
 
 J8 = """wanted AS (SELECT symbol FROM registry UNION ALL SELECT 'U' || number FROM registry),
 resolved AS (SELECT w.symbol, r.series_id FROM wanted w LEFT JOIN registry r ON upper(w.symbol) = upper(r.symbol)),
-mine AS (SELECT symbol, as_of, open, high, low, close, volume FROM pbars JOIN resolved USING (series_id)),
+mine AS (SELECT symbol, as_of, open, high, low, close, volume FROM fbars JOIN resolved USING (series_id)
+         WHERE symbol IN (SELECT r.symbol FROM fbars JOIN resolved r USING (series_id) WHERE close IS NOT NULL)),
 theirs AS (SELECT symbol, as_of, open, high, low, close, volume FROM bars JOIN registry USING (series_id)
            WHERE category <> 'nation_7' AND symbol NOT IN (SELECT symbol FROM mine)),
 j8 AS (SELECT *, 'base' AS provenance FROM mine UNION ALL SELECT *, 'fetch' FROM theirs)"""
@@ -268,12 +278,14 @@ def wanted_symbols(spark, sf):
 
 
 def fallback_bars(spark, sf):
-    known = reg(spark, sf).filter("category <> 'nation_7'").select("series_id", "symbol")
-    return prices.bars(spark, sf).join(known, "series_id")
+    """All bars by symbol; the fallback has no prices of one nation."""
+    known = reg(spark, sf).select("series_id", "symbol", "category")
+    return prices.bars(spark, sf).join(known, "series_id").withColumn(
+        "close", F.when(F.col("category") != "nation_7", F.col("close"))).drop("category")
 
 
 def base_first(spark, sf):
-    return registry.base_first(wanted_symbols(spark, sf), reg(spark, sf), quality.partial_bars(spark, sf), fallback_bars(spark, sf))
+    return registry.base_first(wanted_symbols(spark, sf), reg(spark, sf), quality.flawed_bars(spark, sf), fallback_bars(spark, sf))
 
 
 @query("j8_base_first", with_(*prices.CHAIN, REG, quality.PBARS, J8, "SELECT * FROM j8"))

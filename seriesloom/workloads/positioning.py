@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom import adapters
+from seriesloom.operators import names
 from seriesloom.operators import positioning as pos
 from seriesloom.operators import windows
 from seriesloom.workloads import query, with_
@@ -139,9 +140,32 @@ def p22_back(spark, sf):
     return pos.report_rows(stored(spark, sf), pos.FINANCIAL)
 
 
+MANY = """markets AS (SELECT DISTINCT p_brand, p_type, CAST(substr(p_brand, 7) AS BIGINT) AS k FROM part),
+wanted AS (
+  SELECT p_brand || '/' || p_type AS market, landed.*, contains(contract_name, p_type) AS required, p_type = 'SMALL' AND contains(contract_name, 'MICRO') AS barred
+  FROM (SELECT * EXCLUDE (market) FROM landed) landed JOIN markets ON contains(contract_name, upper(p_brand) || ' ') WHERE k % 10 <> 9),
+kept AS (
+  SELECT market, contract_name FROM (SELECT *, bool_or(required) OVER (PARTITION BY market) AS hit FROM wanted) WHERE (required OR NOT hit) AND NOT barred
+  UNION ALL SELECT p_brand || '/' || p_type, contract_name FROM landed JOIN markets ON substr(market, 7) = CAST(k AS VARCHAR) WHERE k % 10 = 9)"""
+
+
+@query("p7_many_markets", with_(LANDED, MANY, "SELECT market, COUNT(*) AS n_rows, COUNT(DISTINCT contract_name) AS n_names FROM kept GROUP BY 1"))
+def p7_many(spark, sf):
+    """A market per brand and type, as a table: matched through a term index."""
+    k = F.substring("p_brand", 7, 5).cast("long")
+    markets = adapters.table(spark, sf, "part").select("p_brand", "p_type").distinct().select(
+        F.concat_ws("/", "p_brand", "p_type").alias("market"), F.when(k % 10 == 9, k.cast("string")).alias("code"),
+        F.concat("p_brand", F.lit(" ")).alias("query_name"), F.array("p_type").alias("must_contain"),
+        F.when(F.col("p_type") == "SMALL", F.array(F.lit("MICRO"))).alias("must_not_contain"))
+    reports = landed(spark, sf).withColumn("contract_code", F.substring("market", 7, 10))
+    return names.assign_market_table(reports, markets).groupBy("market").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("contract_name").alias("n_names"))
+
+
 CAPACITY = """capacity AS (
-  SELECT 'pos_' || lower(replace(p_brand, '#', '_')) AS series_id, CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) * 100000 AS capacity
-  FROM part WHERE p_type <> 'PROMO' GROUP BY 1)"""
+  SELECT 'pos_' || lower(replace(p_brand, '#', '_')) AS series_id,
+    CAST(SUM(CASE WHEN p_brand NOT LIKE '%3' THEN CAST(p_retailprice AS DECIMAL(18,2)) END) AS DOUBLE) * 100000 AS capacity
+  FROM part GROUP BY 1)"""
 
 
 @query("p23_capacity", with_(*CHAIN, CAPACITY, """
@@ -149,9 +173,10 @@ SELECT s.series_id, COUNT(*) AS n_rows, MAX(round(capacity / 1e9, 1)) AS capacit
 FROM stored s LEFT JOIN capacity USING (series_id) GROUP BY 1"""))
 def p23(spark, sf):
     view = stored(spark, sf).groupBy("series_id").agg(F.count("value").alias("n_rows"))
-    capacity = (adapters.table(spark, sf, "part").filter("p_type <> 'PROMO'")
+    known = F.when(~F.col("p_brand").endswith("3"), F.col("p_retailprice"))  # some markets have no capacity
+    capacity = (adapters.table(spark, sf, "part").withColumn("known", known)
                 .groupBy(F.concat(F.lit("pos_"), F.lower(F.replace("p_brand", F.lit("#"), F.lit("_")))).alias("series_id"))
-                .agg((adapters.exact_sum("p_retailprice") * 100000).alias("capacity")))
+                .agg((adapters.exact_sum("known") * 100000).alias("capacity")))
     return pos.with_capacity(view, capacity)
 
 

@@ -226,20 +226,23 @@ def p19_served(spark, sf):
 
 
 SPLIT_DAY = dt.date(2000, 1, 1)
-OLD_BARS = f"""odays AS (SELECT * FROM days WHERE as_of < DATE '2000-01-01'),
+OLD_BARS = f"""odays AS (SELECT * REPLACE (CASE WHEN as_of < DATE '2000-01-01' THEN split_ratio ELSE 0 END AS split_ratio) FROM days),
 ofactors AS ({FACTORS.split('(', 1)[1].rsplit(')', 1)[0].replace('FROM days', 'FROM odays')}),
 stored AS ({BARS.split('(', 1)[1].rsplit(')', 1)[0].replace('FROM factors', 'FROM ofactors')}),
 repull AS (SELECT * FROM bars WHERE day(as_of) <> 13)"""
 
 
 def stored_before_split(spark, sf):
+    """All days on the scale of the splits known before ``SPLIT_DAY``."""
     landed = adapters.landed_bars(spark, sf)
-    return corporate.build_bars(landed.filter(F.col("as_of") < F.lit(SPLIT_DAY)))
+    known = F.when(F.col("as_of") < F.lit(SPLIT_DAY), F.col("split_ratio")).otherwise(F.lit(0.0))
+    return corporate.build_bars(landed.withColumn("split_ratio", known))
 
 
 def repull(spark, sf):
-    """A later full pull that leaves out every 13th of a month."""
-    return bars(spark, sf).filter(F.dayofmonth("as_of") != 13)
+    """A later full pull that has no close for any 13th of a month; such days make no bar."""
+    close = F.when(F.dayofmonth("as_of") != 13, F.col("close"))
+    return corporate.build_bars(adapters.landed_bars(spark, sf).withColumn("close", close))
 
 
 @query("b13_split_detection", with_(*CHAIN, REGISTRY, """

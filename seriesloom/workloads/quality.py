@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from seriesloom import adapters
+from seriesloom.operators import corporate
 from seriesloom.operators import quality as dq
 from seriesloom.operators import resample, signals, windows
 from seriesloom.session import cut_lineage
@@ -67,19 +68,28 @@ def a11(spark, sf):
 PROFILE = """profile AS (
   SELECT r.series_id, MIN(as_of) AS first_day, MAX(as_of) AS last_day, COUNT(as_of) AS n_rows, COUNT(as_of) > 0 AS live
   FROM registry r LEFT JOIN pbars b USING (series_id) GROUP BY 1)"""
-PBARS = "pbars AS (SELECT b.* FROM bars b JOIN registry USING (series_id) WHERE balance >= 0 AND (category <> 'nation_5' OR as_of > DATE '2001-10-25'))"
+FBARS = """fbars AS (
+  SELECT b.* REPLACE (CASE WHEN priced THEN close END AS close, CASE WHEN priced THEN value END AS value)
+  FROM (SELECT b.*, balance >= 0 AND (category <> 'nation_5' OR as_of > DATE '2001-10-25') AS priced FROM bars b JOIN registry USING (series_id)) b)"""
+PBARS = FBARS.replace("SELECT b.* REPLACE", "SELECT b.* EXCLUDE (priced) REPLACE") + """,
+pbars AS (SELECT * FROM fbars WHERE COALESCE(close, value) > 0)"""
 
 
-def partial_bars(spark, sf):
-    """An archive without suppliers in debt, and with one nation cut to its last days."""
+def flawed_bars(spark, sf):
+    """All bars; those of suppliers in debt, and the early ones of one nation, have no price."""
     state = adapters.registry(spark, sf).select("series_id", "category", "balance")
+    priced = (F.col("balance") >= 0) & ((F.col("category") != "nation_5") | (F.col("as_of") > F.lit(dt.date(2001, 10, 25))))
     return (prices.bars(spark, sf).join(state, "series_id")
-            .filter((F.col("balance") >= 0) & ((F.col("category") != "nation_5") | (F.col("as_of") > F.lit(dt.date(2001, 10, 25)))))
-            .drop("category", "balance"))
+            .withColumns({c: F.when(priced, F.col(c)) for c in ("close", "value")}).drop("category", "balance"))
+
+
+def held_bars(spark, sf):
+    """What of the bars is an archive's view: those with a price."""
+    return corporate.positive_close(flawed_bars(spark, sf))
 
 
 def profile(spark, sf):
-    return dq.series_profile(adapters.registry(spark, sf), partial_bars(spark, sf))
+    return dq.series_profile(adapters.registry(spark, sf), held_bars(spark, sf))
 
 
 PCHAIN = [*prices.CHAIN, prices.REGISTRY, PBARS, PROFILE]
@@ -117,7 +127,7 @@ def baselines(spark, sf):
 SELECT series_id, first_day, n_rows FROM baselines JOIN profile USING (series_id)
 WHERE first_day IS NULL OR first_day > reach_back_to OR n_rows < min_rows"""))
 def d1(spark, sf):
-    return dq.depth_violations(partial_bars(spark, sf), baselines(spark, sf))
+    return dq.depth_violations(held_bars(spark, sf), baselines(spark, sf))
 
 
 def quarantine(spark, sf):
@@ -256,7 +266,7 @@ def d11(spark, sf):
 SELECT COUNT(*) AS total, COUNT(*) FILTER (n = 0) AS passes, COUNT(*) FILTER (n > 0 AND hard) AS hard_fails,
   COUNT(*) FILTER (n > 0 AND NOT hard) AS warnings, bool_and(n = 0 OR NOT hard) AS verdict FROM gates"""))
 def d12(spark, sf):
-    registry, held = adapters.registry(spark, sf), partial_bars(spark, sf)
+    registry, held = adapters.registry(spark, sf), held_bars(spark, sf)
     log = held.withColumn("recorded_on", F.date_add("as_of", 1))
     summary = dq.series_profile(registry, held)
     gates = [

@@ -23,9 +23,9 @@ def monthly(spark, sf):
 
 
 def with_gaps(frame):
-    """A release calendar that skips March and October and is late for the two slowest series."""
+    """A release calendar without values for March and October, and late for the two slowest series."""
     late = F.col("series_id").isin("1-URGENT", "2-HIGH") & (F.col("as_of") > F.lit("2001-03-31").cast("date"))
-    return frame.filter(~F.month("as_of").isin(3, 10) & ~late)
+    return frame.withColumn("value", F.when(~F.month("as_of").isin(3, 10) & ~late, F.col("value")))
 
 
 GAPPY = """gappy AS (
@@ -227,7 +227,8 @@ SELECT w.series_id, w.as_of, round(w.value, 6) AS value, round(tr.value, 6) AS v
 FROM weekly w JOIN tr USING (series_id, as_of)"""))
 def j3(spark, sf):
     obs = adapters.order_value(spark, sf)
-    adjusted = obs.filter(F.col("as_of") >= F.lit("1997-01-01").cast("date")).withColumn("value", F.col("value") * 0.97)
+    later = F.col("as_of") >= F.lit("1997-01-01").cast("date")  # the adjusted basis begins later
+    adjusted = obs.withColumn("value", F.when(later, F.col("value") * 0.97))
     return resample.dual_basis(weekly(spark, sf), resample.weekly_last(adjusted))
 
 
@@ -339,7 +340,9 @@ def w7(spark, sf):
         FROM steps WHERE from_date IS NOT NULL GROUP BY 1)
 SELECT series_id, g.gap_days AS gap_days, g.from_date AS from_date, g.to_date AS to_date FROM top WHERE g.gap_days > 3"""))
 def w15(spark, sf):
-    return windows.largest_gap(adapters.order_value(spark, sf).filter("value > 600000"), max_gap_days=3)
+    """Dates of low days are unreadable; a gap runs over them."""
+    obs = adapters.order_value(spark, sf).withColumn("as_of", F.when(F.col("value") > 600000, F.col("as_of")))
+    return windows.largest_gap(obs, max_gap_days=3)
 
 
 @query("w16_trailing_streak", with_(ORDER_VALUE, """
@@ -363,8 +366,8 @@ FRONTIER = "frontier AS (SELECT MAX(last_day(as_of)) AS frontier FROM gappy WHER
 @query("a16_cohort_frontier", with_(ORDER_VALUE, MONTHLY, MONTHLY6, GAPPY, FRONTIER, "SELECT * FROM frontier"))
 def a16(spark, sf):
     obs = with_gaps(monthly(spark, sf))
-    anchors = obs.filter(F.col("series_id").isin("1-URGENT", "3-MEDIUM"))
-    return windows.cohort_frontier(obs, anchors)
+    anchor = F.col("series_id").isin("1-URGENT", "3-MEDIUM")
+    return windows.cohort_frontier(obs, obs.select(F.when(anchor, F.col("series_id")).alias("series_id")))
 
 
 @query("w18_carry_forward", with_(ORDER_VALUE, MONTHLY, MONTHLY6, GAPPY, """spine AS (
@@ -395,8 +398,8 @@ walk AS (SELECT series_id, as_of, rn, round(level * (1 + rate / 100.0), 6) AS va
 SELECT series_id, as_of, value, 'nowcast' AS filled, true AS provisional FROM walk""").replace("WITH ", "WITH RECURSIVE ", 1))
 def w19(spark, sf):
     levels = monthly(spark, sf)
-    return windows.chained_nowcast(levels.filter(F.col("as_of") <= F.lit("2001-01-31").cast("date")),
-                                   windows.nowcast(levels))
+    real = F.when(F.col("as_of") <= F.lit("2001-01-31").cast("date"), F.col("value"))
+    return windows.chained_nowcast(levels.withColumn("value", real), windows.nowcast(levels))
 
 
 @query("w20_tail_mean", with_(ORDER_VALUE, """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from seriesloom import adapters
 from seriesloom.functions.dates import week_ending_friday
 from seriesloom.operators import registry, resample, revisions
+from seriesloom.plans.landing import landing_run
 from seriesloom.sources import deltas, extracts, tables
 from seriesloom.session import scratch_path
 from seriesloom.streaming import incremental
@@ -69,6 +70,96 @@ def s7_mixed(spark, sf):
     return extracts.feature_counts(features, ["date"], ["n"])
 
 
+@query("s6_vintage_status", """
+SELECT o_orderpriority AS series_id, COUNT(*) FILTER (o_orderkey % 100 = 7) = 0 AS ok, COUNT(*) AS n_landed,
+       COUNT(*) FILTER (o_orderkey % 100 = 7) AS n_rejected, CASE WHEN COUNT(*) FILTER (o_orderkey % 100 = 7) > 0 THEN 'unreadable value 4..2' END AS reason
+FROM (SELECT * REPLACE (CASE WHEN o_orderpriority = '2-HIGH' THEN o_orderkey END AS o_orderkey) FROM orders) GROUP BY 1""")
+def s6_status(spark, sf):
+    """One series has numbers that cannot be read; marks for a missing value are no fault."""
+    bad = (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderkey") % 100 == 7)
+    day = F.col("o_orderdate").cast("date")
+    landed = adapters.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), day.cast("string").alias("date"), F.date_add(day, 7).cast("string").alias("realtime_start"),
+        F.lit("9999-12-31").alias("realtime_end"),
+        F.when(bad, F.lit("4..2")).when(F.col("o_orderkey") % 50 == 3, F.lit(".")).otherwise(F.col("o_totalprice").cast("string")).alias("value"))
+    return extracts.row_status(extracts.vintage_rows(landed))
+
+
+@query("s7_feature_status", """
+SELECT 'supp_' || l_suppkey AS series_id, COUNT(*) FILTER (l_linenumber = 7) = 0 AS ok, COUNT(*) AS n_landed, COUNT(*) FILTER (l_linenumber = 7) AS n_rejected,
+       CASE WHEN COUNT(*) FILTER (l_linenumber = 7) > 0 THEN 'unreadable value n/a' END AS reason FROM lineitem GROUP BY 1""")
+def s7_status(spark, sf):
+    features = adapters.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string")).alias("series_id"),
+        F.col("l_shipdate").cast("date").cast("string").alias("date"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity").cast("string")).otherwise(F.lit("n/a")).alias("n_tankers"))
+    return extracts.row_status(extracts.feature_rows(features, ["date"], ["tankers", "n_tankers"]))
+
+
+@query("s8_period_status", """
+SELECT o_orderpriority AS series_id, COUNT(*) FILTER (o_orderstatus = 'P') = 0 AS ok, COUNT(*) AS n_landed, COUNT(*) FILTER (o_orderstatus = 'P') AS n_rejected,
+       CASE WHEN COUNT(*) FILTER (o_orderstatus = 'P') > 0 THEN 'unreadable value withheld' END AS reason FROM orders GROUP BY 1""")
+def s8_status(spark, sf):
+    landed = adapters.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").cast("date").cast("string").alias("period"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("withheld")).otherwise(F.col("o_totalprice").cast("string")).alias("value"))
+    return extracts.row_status(extracts.period_rows(landed))
+
+
+def mixed_documents(spark, sf):
+    """Orders as JSON documents of four shapes, one of them cut off."""
+    key, day = F.col("o_orderkey") % 5, F.col("o_orderdate").cast("date")
+    value = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    millis = (F.unix_date(day).cast("long") * 86400000).cast("string")
+    text = (F.when(key == 0, F.concat(F.lit('{"date": "'), day.cast("string"), F.lit('", "value": '), value, F.lit("}")))
+            .when(key == 1, F.concat(F.lit('{"PERIOD": "'), day.cast("string"), F.lit('", "obs": "'), value, F.lit('"}')))
+            .when(key == 2, F.concat(F.lit('{"attributes": {"Date_": '), millis, F.lit(', "n": '), value, F.lit("}}")))
+            .when(key == 3, F.concat(F.lit('{"date": "'), day.cast("string"), F.lit('", "value": "withheld"}')))
+            .otherwise(F.concat(F.lit('{"date": "'), day.cast("string"), F.lit('", "val'))))
+    return adapters.table(spark, sf, "orders").select(
+        F.concat(F.lit("ord_"), F.col("o_orderkey").cast("string")).alias("series_id"), text.alias("document"))
+
+
+@query("s11_mixed_shapes", """
+SELECT 'ord_' || o_orderkey AS series_id, CASE WHEN o_orderkey % 5 < 4 THEN CAST(o_orderdate AS DATE) END AS as_of,
+       CASE WHEN o_orderkey % 5 < 3 THEN o_totalprice END AS value,
+       CASE o_orderkey % 5 WHEN 3 THEN 'unreadable value withheld' WHEN 4 THEN 'not a document' END AS reason FROM orders""")
+def s11_mixed(spark, sf):
+    """Extracts of different shapes in one frame; columns are found per row."""
+    return extracts.mixed_rows(mixed_documents(spark, sf), ["date", "period", "attributes.Date_"], ["value", "obs", "attributes.n"])
+
+
+GATED = """arrived AS (
+  SELECT 'eq_' || l_suppkey AS series_id, s_nationkey, s_suppkey, l_quantity = 50 AND l_discount = 0 AND s_suppkey % 2 = 0 AS broken
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+states AS (
+  SELECT w.series_id, COUNT(a.series_id) AS received, CASE WHEN COUNT(a.series_id) = 0 THEN 'dead' WHEN bool_or(broken) THEN 'malformed'
+    WHEN MAX(s_nationkey) = 3 THEN 'empty' WHEN MAX(s_suppkey) % 7 = 1 THEN 'short' ELSE 'ok' END AS status, MAX(s_suppkey) % 7 = 1 AS more
+  FROM wide w LEFT JOIN arrived a USING (series_id) GROUP BY 1)"""
+
+
+@query("run_landing_gated", with_(prices.REGISTRY, instruments.STAMPED, GATED, """
+SELECT series_id, status, CASE WHEN received > 0 THEN received + CASE WHEN more THEN 1 ELSE 0 END END AS announced, received,
+       CASE WHEN status = 'ok' THEN received ELSE 0 END AS stored,
+       (SELECT COUNT(*) FROM arrived) AS landed, (SELECT COUNT(*) FROM arrived WHERE broken) AS rejected FROM states"""))
+def landing_gated(spark, sf):
+    """Dead, malformed, empty and short extracts are turned away by name; the rest is stored."""
+    suppliers = adapters.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    rows = adapters.table(spark, sf, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    broken = F.expr("l_quantity = 50 AND l_discount = 0 AND s_suppkey % 2 = 0")
+    landed = rows.select(
+        adapters.keyed("eq_", "l_suppkey").alias("series_id"), F.col("l_shipdate").cast("date").cast("string").alias("period"), F.col("s_suppkey"),
+        F.when(broken, F.lit("5O")).when(F.col("s_nationkey") != 3, F.col("l_quantity").cast("string")).alias("value"))
+    more = F.max(F.when(F.col("s_suppkey") % 7 == 1, 1).otherwise(0))
+    manifest = landed.groupBy("series_id").agg((F.count(F.lit(1)) + more).alias("announced"))
+    path = scratch_path(spark, "landed")
+    run = landing_run(extracts.period_rows(landed), instruments.wide_registry(spark, sf), manifest, path)
+    stored = deltas.read_series(spark, path).groupBy("series_id").agg(F.count(F.lit(1)).alias("stored"))
+    return run.status.join(stored, "series_id", "left").select(
+        "series_id", "status", "announced", "received", F.coalesce("stored", F.lit(0)).cast("long").alias("stored"),
+        F.lit(run.landed).cast("long").alias("landed"), F.lit(run.rejected).cast("long").alias("rejected"))
+
+
 S5_STATUS = """landed AS (
   SELECT o_orderpriority AS series_id, o_orderpriority = '5-LOW' AND o_orderkey % 100 = 1 AS bad, o_orderpriority = '1-URGENT' AND o_orderkey % 50 = 2 AS hole
   FROM orders)"""
@@ -162,17 +253,17 @@ def s12(spark, sf):
     return extracts.completeness(rows, manifest)
 
 
-@query("s19_extract_status", with_(prices.REGISTRY, """arrived AS (
+@query("s19_extract_status", with_(prices.REGISTRY, instruments.STAMPED, """arrived AS (
   SELECT 'eq_' || l_suppkey AS series_id, CASE WHEN s_nationkey <> 3 THEN l_quantity END AS value, l_quantity = 50 AND l_discount = 0 AND l_tax = 0 AS broken
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal >= 0)
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
 SELECT r.series_id, CASE WHEN COUNT(a.series_id) = 0 THEN 'dead' WHEN bool_or(broken) THEN 'malformed' WHEN COUNT(value) = 0 THEN 'empty' ELSE 'ok' END AS status,
-       COUNT(value) AS n_rows FROM registry r LEFT JOIN arrived a USING (series_id) GROUP BY 1"""))
+       COUNT(value) AS n_rows FROM wide r LEFT JOIN arrived a USING (series_id) GROUP BY 1"""))
 def s19(spark, sf):
-    senders = adapters.table(spark, sf, "supplier").filter("s_acctbal >= 0").select("s_suppkey", "s_nationkey")
+    senders = adapters.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     arrived = adapters.table(spark, sf, "lineitem").join(senders, F.col("l_suppkey") == F.col("s_suppkey")).select(
         adapters.keyed("eq_", "l_suppkey").alias("series_id"), F.when(F.col("s_nationkey") != 3, F.col("l_quantity")).alias("value"),
         F.expr("l_quantity = 50 AND l_discount = 0 AND l_tax = 0").alias("broken"))
-    return extracts.extract_status(adapters.registry(spark, sf), arrived, F.col("broken"))
+    return extracts.extract_status(instruments.wide_registry(spark, sf), arrived, F.col("broken"))
 
 
 # --- stored tables ------------------------------------------------------------------------------
