@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -39,9 +41,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system; a Python worker lives on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(function: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+    return run
+
+
 def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
     ship(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+    return frame.mapInArrow(tidy(function), schema)
 
 
 def map_pandas(frame: DataFrame, function: Callable, schema) -> DataFrame:
@@ -60,11 +76,16 @@ def fold(doc_id: Column | str, modulo: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(modulo)), F.lit(-1))
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder; later steps read files, not their lineage."""
+def written_at(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The frame as a table in the shared folder, and where it lies."""
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder; later steps read files, not their lineage."""
+    return written_at(frame, label)[0]
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

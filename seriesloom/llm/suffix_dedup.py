@@ -13,18 +13,19 @@ about one position in sixteen is one.
      smallest id are repeats. The others travel by anchor. A hot anchor (in more than ``HOT``
      places and a quarter of its shard) sends each of its strings by that string's own hash, so no task
      gets the surroundings of a common line whole.
-  3. Each shard indexes its stretches in batches of rising document id. A batch gets a suffix
-     array (the places of its stretches in the order of the 50 bytes that follow). It is
-     merge-scanned against itself and all existing levels for matches of full length, then
-     becomes a level; levels of like size are merged, so n batches make about log n levels.
-     The earliest document of each string decides.
+  3. Each shard drops equal stretches of later documents at once and indexes what is left in batches of
+     rising document id. A batch gets a suffix array: the places of its strings in the
+     shard's bytes, in the order of the 50 bytes that follow. It is merge-scanned against all existing levels
+     for matches of full length, then becomes a level; levels of like size are merged in one
+     linear pass, so n batches make about log n levels. The earliest document of each string decides.
   4. The removed stretches go back to their documents.
-There is a shard for each shuffle partition and a few parts, so a task's memory is the data divided
-by the session's shuffle partitions. Texts are shuffled once and read twice.
+The numbers of parts and shards follow from the bytes of text (``PART_BYTES``, ``SHARD_BYTES``), so a task's
+memory does not grow with the data; a shard of many strings is searched in slices. Texts are
+shuffled once and read twice.
 
 Defined cases: null text is empty; texts under 50 bytes stay whole; repeated rows and rows
-with one id never remove each other's bytes; a row without an id counts as the smallest id; an
-empty table gives none.
+with one id never remove each other's bytes; rows without an id count as one document with the smallest id (they
+are dealt to many parts); an empty table gives none.
 """
 
 from __future__ import annotations
@@ -36,42 +37,40 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import map_arrow, ship, small_batches, table, text_bytes
+from seriesloom.llm.common import give_back, map_arrow, ship, small_batches, table, text_bytes
 from seriesloom.llm.registry import query
-from seriesloom.llm.textops import BYTE_VALUE, mix
+from seriesloom.llm.textops import mix
 
 MATCH = 50
 GRAM = 20
 REACH = MATCH - GRAM + 1
 HOT = 4096
 BATCH = 1 << 17
-SLICE = 1 << 20
+SLICE = 1 << 21
 FLUSH_BYTES = 24 << 20
-PARTS_PER_PARTITION = 4
-NO_ID = -(1 << 63)
+PART_BYTES = 4 << 20
+SHARD_BYTES = 12 << 20
+#: Rows without an id are dealt by numbers up to NO_ID, which all count as NO_ID.
+NO_ID = -(1 << 63) + (1 << 20)
 CODE_BITS = 40
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+#: Bytes of a string that are compared after the first eight, five at a time.
+STEPS = range(8, MATCH, 5)
+
+
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as a big-endian number; a view of ``data``."""
+    return np.ndarray((max(len(data) - 7, 0),), dtype=">u8", buffer=data, strides=(1,))
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the GRAM bytes from each position on."""
-    whole = 1 << (GRAM.bit_length() - 1)
-    h, size, power, kept = BYTE_VALUE[data], 1, _BASE, {}
-    while True:
-        kept[size] = h, power
-        if size == whole:
-            break
-        h = h[:-size] * np.uint64(power) + h[size:]
-        power, size = power * power % (1 << 64), size * 2
-    done, at = kept[whole][0], whole
-    while at < GRAM:
-        step = 1 << ((GRAM - at).bit_length() - 1)
-        part, factor = kept[step]
-        count = len(data) - at - step + 1
-        done = done[:count] * np.uint64(factor) + part[at:at + count]
-        at += step
-    return mix(done)
+    words = words_at(data) * FACTORS[0]
+    words ^= words >> np.uint64(32)
+    count = len(data) - GRAM + 1
+    h = words[:count] * FACTORS[1] + words[8:8 + count] * FACTORS[2] + words[GRAM - 8:GRAM - 8 + count]
+    return mix(h)
 
 
 def extreme(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -92,19 +91,12 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if len(text) < MATCH:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     h = gram_hashes(np.frombuffer(text, dtype=np.uint8))
-    least = extreme(h, REACH, np.minimum)
-    padded = np.zeros(len(least) + 2 * (REACH - 1), dtype=np.uint64)
-    padded[REACH - 1:REACH - 1 + len(least)] = least
-    places = np.flatnonzero(extreme(padded, REACH, np.maximum) == h)
-    values = h[places]
-    starts = np.arange(len(least))
-    chosen = np.searchsorted(places, starts)
-    wrong = np.flatnonzero(values[chosen] != least)
-    while len(wrong):
-        chosen[wrong] += 1
-        wrong = wrong[values[chosen[wrong]] != least[wrong]]
+    placed = h >> np.uint64(32)
+    placed <<= np.uint64(32)
+    placed |= np.arange(len(h), dtype=np.uint64)
+    chosen = extreme(placed, REACH, np.minimum).astype(np.uint32)
     first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-    return values[chosen[first]], first
+    return h[chosen[first]], first
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -236,6 +228,7 @@ def cut_stretches(shards: int):
             lo, hi = np.searchsorted(ids, doc, "left"), np.searchsorted(ids, doc, "right")
             if lo == hi or len(text) < MATCH:
                 continue
+            named = max(doc, NO_ID)
             hashes, first = anchors(text)
             own = np.uint64(CODE_BITS)
             full = (hashes & np.uint64((1 << CODE_BITS) - 1)) | (shard_of(hashes, shards).astype(np.uint64) << own)
@@ -247,18 +240,22 @@ def cut_stretches(shards: int):
             for k in np.flatnonzero(shared).tolist():
                 start, count, hot = int(first[k]), int(last[k] - first[k]), hots[by_key[at[k]]]
                 stretch = text[start:start + count + MATCH - 1]
-                if seen.setdefault(stretch, doc) < doc:
-                    settled.append((doc, number, start, count, b""))
+                if seen.setdefault(stretch, named) < named:
+                    settled.append((named, number, start, count, b""))
                 elif not hot:
-                    out.setdefault(int(full[k] >> own), []).append((doc, number, start, count, stretch))
+                    out.setdefault(int(full[k] >> own), []).append((named, number, start, count, stretch))
                 else:
                     for begin in range(start, start + count):
                         string = text[begin:begin + MATCH]
-                        if seen.setdefault(string, doc) < doc:
-                            settled.append((doc, number, begin, 1, b""))
+                        if seen.setdefault(string, named) < named:
+                            settled.append((named, number, begin, 1, b""))
                         else:
-                            out.setdefault(zlib.crc32(string) % shards, []).append((doc, number, begin, 1, string))
-        return stretches_table([(shard, part, rows) for shard, rows in out.items() if rows])
+                            out.setdefault(zlib.crc32(string) % shards, []).append((named, number, begin, 1, string))
+        cut_out = stretches_table([(shard, part, rows) for shard, rows in out.items() if rows])
+        out.clear()
+        seen.clear()
+        give_back()
+        return cut_out
 
     return cut
 
@@ -278,49 +275,128 @@ def stretches_table(blobs: list) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=STRETCHES)
 
 
-def suffix_array(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``places`` by their first MATCH bytes, and those bytes as strings."""
-    windows = np.lib.stride_tricks.sliding_window_view(data, MATCH)[places]
-    wide = np.zeros((len(places), -(-MATCH // 8) * 8), dtype=np.uint8)
-    wide[:, :MATCH] = windows
-    words = wide.view(">u8").astype(np.uint64)
-    order = np.lexsort([words[:, k] for k in range(words.shape[1] - 1, -1, -1)])
-    return order, np.ascontiguousarray(windows).view(f"S{MATCH}").reshape(-1)
+def heads_of(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return words[places].astype(np.uint64)
+
+
+def compared(words: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Sign of string ``one`` against string ``other`` for pairs of places with equal first eight bytes."""
+    sign = np.zeros(len(one), dtype=np.int8)
+    left = np.arange(len(one))
+    for at in (8, 16, 24, 32, 40, MATCH - 8):
+        a, b = words[one[left] + at], words[other[left] + at]
+        sign[left] = np.where(a < b, -1, a > b).astype(np.int8)
+        left = left[a == b]
+        if not len(left):
+            break
+    return sign
+
+
+def suffix_array(words: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the strings at ``places``, and whether each string of that order differs from the one before.
+
+    Sorted by the first eight bytes; strings that tie are sorted on by the next five, as long as it takes. Runs
+    of equal strings are recognised by comparing neighbours.
+    """
+    heads = heads_of(words, places)
+    order = np.argsort(heads)
+    fresh = np.ones(len(order), dtype=bool)
+    ordered = heads[order]
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    settled = np.zeros(len(order), dtype=bool)  # in a run of equal strings
+    for step, at in enumerate(STEPS):
+        tied = ~fresh
+        tied[:-1] |= ~fresh[1:]
+        tied &= ~settled
+        mine = np.flatnonzero(tied)
+        if not len(mine):
+            break
+        group = np.cumsum(fresh[mine])
+        if step in (1, 3):  # runs of equal strings need no more sorting
+            same = np.concatenate([[False], compared(words, places[order[mine[:-1]]], places[order[mine[1:]]]) == 0])
+            edge = np.flatnonzero(fresh[mine])
+            equal = np.logical_and.reduceat(same | fresh[mine], edge)
+            equal = np.repeat(equal, np.diff(np.append(edge, len(mine))))
+            settled[mine[equal]] = True
+            mine, group = mine[~equal], group[~equal]
+            if not len(mine):
+                break
+        width = min(5, MATCH - at)
+        start = min(at, MATCH - 8)
+        keys = heads_of(words, places[order[mine]] + start)
+        keys = (keys << np.uint64(8 * (at - start))) >> np.uint64(64 - 8 * width)
+        keys |= group.astype(np.uint64) << np.uint64(40)
+        by = np.argsort(keys)
+        order[mine] = order[mine][by]
+        keys = keys[by]
+        fresh[mine] = np.concatenate([[True], keys[1:] != keys[:-1]])
+    return order, fresh
 
 
 class Levels:
-    """A logarithmic family of suffix arrays; each string keeps the earliest document that holds it."""
+    """A logarithmic family of suffix arrays over one buffer; each string keeps the earliest document that holds it.
+
+    A level holds the places of distinct strings in rising order and their documents; ``heads`` holds
+    the first eight bytes of each level's strings.
+    """
 
     def __init__(self):
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.heads: list[np.ndarray] = []
 
     def scan_and_add(self, data: np.ndarray, places: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """Whether an earlier document holds the string at each place; the batch becomes a level."""
-        order, strings = suffix_array(data, places)
-        ordered = strings[order]
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        distinct, own = ordered[edge], np.minimum.reduceat(docs[order], edge)
-        earliest = own.copy()
-        for level, first in self.levels:
-            at = np.minimum(np.searchsorted(level, distinct), len(level) - 1)
-            same = level[at] == distinct
+        words = words_at(data)
+        order, fresh = suffix_array(words, places)
+        edge = np.flatnonzero(fresh)
+        distinct, own = places[order[edge]], np.minimum.reduceat(docs[order], edge)
+        heads, earliest = heads_of(words, distinct), own.copy()
+        for (level, first), known in zip(self.levels, self.heads):
+            at, same = scanned(words, level, known, distinct, heads)
             earliest[same] = np.minimum(earliest[same], first[at[same]])
-        group = np.zeros(len(order), dtype=np.int64)
-        group[edge[1:]] = 1
         repeated = np.empty(len(order), dtype=bool)
-        repeated[order] = earliest[np.cumsum(group)] < docs[order]
+        repeated[order] = earliest[np.cumsum(fresh) - 1] < docs[order]
         self.levels.append((distinct, own))
+        self.heads.append(heads)
         while len(self.levels) > 1 and 2 * len(self.levels[-1][0]) > len(self.levels[-2][0]):
-            self.levels[-2:] = [self.merged(self.levels[-2], self.levels[-1])]
+            *columns, known = merged(words, *self.levels[-2:], *self.heads[-2:])
+            self.levels[-2:], self.heads[-2:] = [tuple(columns)], [known]
         return repeated
 
-    @staticmethod
-    def merged(one, other):
-        strings, docs = np.concatenate([one[0], other[0]]), np.concatenate([one[1], other[1]])
-        order = np.argsort(strings, kind="stable")  # two rising runs: a merge
-        strings, docs = strings[order], docs[order]
-        edge = np.flatnonzero(np.concatenate([[True], strings[1:] != strings[:-1]]))
-        return strings[edge], np.minimum.reduceat(docs, edge)
+
+def scanned(words, level: np.ndarray, known: np.ndarray, places: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each string (in rising order) belongs in the level, and whether the level holds it."""
+    low = np.searchsorted(known, heads, side="left")
+    high = np.searchsorted(known, heads, side="right")
+    same = np.zeros(len(places), dtype=bool)
+    left = np.flatnonzero(low < high)
+    while len(left):
+        middle = (low[left] + high[left]) >> 1
+        sign = compared(words, level[middle], places[left])
+        found = sign == 0
+        same[left[found]] = True
+        low[left] = np.where(found, middle, np.where(sign < 0, middle + 1, low[left]))
+        high[left] = np.where(sign < 0, high[left], middle)
+        left = left[~found]
+        left = left[low[left] < high[left]]
+    return low, same
+
+
+def merged(words, one, other, known: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, documents and heads of two levels as one, in a linear pass; a string of both keeps the earlier document."""
+    at, same = scanned(words, one[0], known, other[0], heads)
+    docs = one[1].copy()
+    docs[at[same]] = np.minimum(docs[at[same]], other[1][same])
+    new = np.flatnonzero(~same)
+    to = at[new] + np.arange(len(new))
+    kept = np.ones(len(docs) + len(new), dtype=bool)
+    kept[to] = False
+    out = []
+    for mine, theirs in ((one[0], other[0]), (docs, other[1]), (known, heads)):
+        column = np.empty(len(kept), dtype=mine.dtype)
+        column[kept], column[to] = mine, theirs[new]
+        out.append(column)
+    return tuple(out)
 
 
 def earlier_elsewhere(data: np.ndarray, places: np.ndarray, docs: np.ndarray, batch: int = BATCH) -> np.ndarray:
@@ -348,30 +424,18 @@ def removed_stretches(blobs: DataFrame) -> DataFrame:
     """Step 3: part, blobs of (row number, start, end) to remove."""
     def search(batches):
         opener, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        for shard, rows in gathered(batches).items():
-            sizes = [len(row["ids"]) // 8 for row in rows]
-            part = np.repeat([row["part"] for row in rows], sizes)
-            docs = np.concatenate([np.frombuffer(row["ids"], dtype=np.int64) for row in rows])
+        for rows in gathered(batches).values():
+            part = np.repeat(np.array([row["part"] for row in rows], dtype=np.int32), [len(row["ids"]) // 8 for row in rows])
+            ids = np.concatenate([np.frombuffer(row["ids"], dtype=np.int64) for row in rows])
             number, start, count, open_ = np.concatenate(
                 [np.frombuffer(row["places"], dtype=np.int32).reshape(4, -1) for row in rows], axis=1)
-            data = np.frombuffer(b"".join(opener.decompress(row["bytes"]) for row in rows), dtype=np.uint8)
-            lengths = np.where(open_ > 0, count + MATCH - 1, 0).astype(np.int64)
-            offsets = np.cumsum(lengths) - lengths
-            found = [(part[open_ == 0], number[open_ == 0], start[open_ == 0],
-                      start[open_ == 0] + count[open_ == 0] + MATCH - 1)]
-            waiting = np.flatnonzero(open_ > 0)
-            # Equal strings share their first bytes, so slices by those never separate them; slices bound memory.
-            slices = max(1, -(-int(count[waiting].sum()) // SLICE))
-            for owner, places, ids in slices_of(data, offsets, count, docs, waiting, slices):
-                flags = earlier_elsewhere(data, places, ids)
-                hit, at = owner[flags], (places - offsets[owner])[flags]
-                order = np.lexsort([at, hit])
-                hit, at = hit[order], at[order]
-                if len(hit):
-                    edge = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1]) | (at[1:] != at[:-1] + 1)]))
-                    end = np.concatenate([edge[1:], [len(hit)]]) - 1
-                    found.append((part[hit[edge]], number[hit[edge]], start[hit[edge]] + at[edge],
-                                  start[hit[edge]] + at[end] + MATCH))
+            text = b"".join([opener.decompress(row["bytes"]) for row in rows])
+            rows.clear()
+            whole, some = repeated_in_shard(text, ids, count, open_ > 0)
+            whole |= open_ == 0
+            found = [(part[whole], number[whole], start[whole], start[whole] + count[whole] + MATCH - 1)]
+            for owner, first, last in some:
+                found.append((part[owner], number[owner], start[owner] + first, start[owner] + last + MATCH))
             to, number, start, end = (np.concatenate(x) for x in zip(*found))
             out = [(p, packer.compress(joined(number[k], start[k], end[k]).tobytes())) for p, k in split_by(to)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()),
@@ -380,23 +444,68 @@ def removed_stretches(blobs: DataFrame) -> DataFrame:
     return map_arrow(blobs, search, "part int, removed binary")
 
 
-def slices_of(data, offsets, count, docs, waiting, slices):
-    """(stretch, place, document) of every string, by rising document, in slices by the string's first bytes."""
+def repeated_in_shard(text: bytes, ids: np.ndarray, count: np.ndarray, given: np.ndarray, most: int = SLICE):
+    """What a shard's stretches repeat of smaller documents.
+
+    Returns which stretches are repeats as a whole, and (stretch, first string, last string) of further
+    runs. ``text`` holds the bytes of the ``given`` stretches, ``count`` + MATCH - 1 each.
+    """
+    docs = np.unique(ids, return_inverse=True)[1].astype(np.int32)
+    mine = np.flatnonzero(given)
+    ends = np.cumsum(count[mine] + MATCH - 1, dtype=np.int64)
+    bounds = [0, *ends.tolist()]
+    # Equal stretches: those of later documents are repeats; the earliest document's are looked up.
+    first: dict[bytes, int] = {}
+    group = np.fromiter((first.setdefault(text[a:b], k) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))),
+                        dtype=np.int64, count=len(mine))
+    first.clear()
+    least = np.full(len(mine), np.iinfo(np.int32).max, dtype=np.int32)
+    np.minimum.at(least, group, docs[mine])
+    later = docs[mine] > least[group]
+    whole = np.zeros(len(ids), dtype=bool)
+    whole[mine[later]] = True
+    offsets = np.zeros(len(ids), dtype=np.int64)
+    offsets[mine] = ends - (count[mine] + MATCH - 1)
+    waiting = mine[~later]
     waiting = waiting[np.argsort(docs[waiting], kind="stable")]
-    counts = count[waiting].astype(np.int64)
-    owner = np.repeat(waiting, counts)
-    places = offsets[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    if slices == 1:
-        yield owner, places, docs[owner]
-        return
-    key = np.zeros(len(places), dtype=np.uint64)
-    for k in range(0, MATCH, 7):
-        key = key * np.uint64(_BASE) + BYTE_VALUE[data[places + k]]
-    key = mix(key) % np.uint64(slices)
-    for k in range(slices):
-        mine = np.flatnonzero(key == np.uint64(k))
-        if len(mine):
-            yield owner[mine], places[mine], docs[owner[mine]]
+    data, runs = np.frombuffer(text, dtype=np.uint8), []
+    kind = np.int32 if len(text) < 1 << 31 else np.int64
+    for owner, at in slices_of(data, offsets, count, waiting, most):
+        flags = earlier_elsewhere(data, (offsets[owner] + at).astype(kind), docs[owner])
+        hit, at = owner[flags], at[flags]
+        if not len(hit):
+            continue
+        order = np.lexsort([at, hit])
+        hit, at = hit[order], at[order]
+        edge = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1]) | (at[1:] != at[:-1] + 1)]))
+        end = np.append(edge[1:], len(hit)) - 1
+        runs.append((hit[edge], at[edge], at[end]))
+    return whole, runs
+
+
+def slices_of(data: np.ndarray, offsets: np.ndarray, count: np.ndarray, waiting: np.ndarray, most: int):
+    """(stretch, string) of the waiting stretches' strings (int32), in that order, in slices that never part equal strings.
+
+    A string's slice follows from its bytes and is found piece by piece, so memory follows the slice.
+    """
+    slices = max(1, -(-int(count[waiting].sum(dtype=np.int64)) // most))
+    begins = np.cumsum(count[waiting], dtype=np.int64)
+    pieces = np.split(waiting, np.searchsorted(begins, np.arange(most, int(begins[-1]), most)) + 1) if len(waiting) else []
+    words = words_at(data)
+    for mine in range(slices):
+        found = []
+        for piece in pieces:
+            owner = np.repeat(piece, count[piece]).astype(np.int32)
+            at = np.arange(len(owner), dtype=np.int32)
+            at -= np.repeat(np.cumsum(count[piece]) - count[piece], count[piece]).astype(np.int32)
+            if slices > 1:
+                place = offsets[owner] + at
+                key = mix(words[place] * FACTORS[0] + words[place + MATCH // 2] * FACTORS[1] + words[place + MATCH - 8])
+                keep = key % np.uint64(slices) == mine
+                owner, at = owner[keep], at[keep]
+            found.append((owner, at))
+        if found:
+            yield tuple(np.concatenate(x) for x in zip(*found))
 
 
 KEPT = "doc_id long, n_bytes long, spans array<struct<start: int, end: int>>, kept binary"
@@ -435,7 +544,7 @@ def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
         left = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
         kept.append(whole_characters(left) if carried else left)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    columns = {"doc_id": pa.array([None if doc == NO_ID else doc for doc in ids], pa.int64()),
+    columns = {"doc_id": pa.array([None if doc <= NO_ID else doc for doc in ids], pa.int64()),
                "n_bytes": pa.array([len(text) for text in data], pa.int64()),
                "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())}
     if carried:
@@ -447,18 +556,22 @@ def strike(texts: pa.Table, replies: pa.Table) -> pa.Table:
     return pa.table(columns)
 
 
-def remove_repeats(docs: DataFrame, carry: bool = False, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: bool = False, hot: int = HOT, part_bytes: int = PART_BYTES,
+                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, spans (removed runs, by byte), kept (the bytes that stay).
 
     With ``carry``, also the text as it was and every other column of ``docs`` as _carried_<place>.
+    ``part_bytes`` and ``shard_bytes`` are the bytes of text a part and a shard stand for.
     """
     spark = docs.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards, parts = partitions, prime_from(PARTS_PER_PARTITION * partitions)
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    shards, parts = max(partitions, -(-size // shard_bytes)), prime_from(max(partitions, -(-size // part_bytes)))
     extra = [] if not carry else [F.col("text").isNull().alias("_null"), *[
         F.col(name).alias(f"_carried_{k}") for k, name in enumerate(docs.columns) if name != "text"]]
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+    dealt_id = F.lit(NO_ID) - F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 20))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), dealt_id).alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
     replies = shared_anchors(to_shards(texts, shards).repartitionById(shards, F.col("shard")), parts, hot)
     dealt = texts.withColumn("part", F.pmod("doc_id", F.lit(parts)).cast("int"))
