@@ -20,19 +20,46 @@ def _spread_ok(n: Column, low: Column, high: Column, min_obs: int) -> Column:
     return (n >= min_obs) & (low != high)
 
 
+def counted_in_window(obs: DataFrame, window: int) -> DataFrame:
+    """Adds ``at_most``: how many of each row's trailing ``window`` rows hold no larger value.
+
+    A merge-sort tree by rows instead of a window kept on each row: the places of a series are grouped in
+    blocks of 1, 2, 4 ... rows, and a window is at most two blocks of each size. Inside a block one
+    ordered pass counts the values up to each one asked for. Rows grow by the logarithm of the
+    window, and work is dealt by block, not by series. ``obs`` has one row per (series, day), without NULLs.
+    """
+    levels = range(window.bit_length())
+    placed = obs.withColumn("_place", F.row_number().over(in_order()) - 1)
+    first, end = F.greatest(F.col("_place") - (window - 1), F.lit(0)), F.col("_place") + 1
+
+    def block(level: int, number: Column, asked: bool) -> Column:
+        return F.struct(F.lit(level).alias("_level"), number.cast("long").alias("_block"), F.lit(asked).alias("_asked"))
+
+    blocks = [block(level, F.floor(F.col("_place") / 2 ** level), False) for level in levels]
+    for level in levels:
+        left, right = F.ceil(first / 2 ** level), F.floor(end / 2 ** level)
+        blocks += [F.when((left < right) & (left % 2 == 1), block(level, left, True)),
+                   F.when((left < right) & (right % 2 == 1), block(level, right - 1, True))]
+    kept = [c for c in obs.columns if c not in ("series_id", "as_of", "value")]
+    carried = F.struct("value", *kept).alias("_row")
+    rows = placed.select("series_id", "as_of", F.col("value").alias("_value"), carried, F.inline(F.array_compact(F.array(*blocks))))
+    up_to = Window.partitionBy("series_id", "_level", "_block").orderBy("_value")  # equal values count
+    counted = rows.withColumn("_count", F.count_if(~F.col("_asked")).over(up_to)).filter("_asked")
+    return counted.groupBy("series_id", "as_of").agg(F.max("_row").alias("_row"), F.sum("_count").alias("at_most")).select(
+        "series_id", "as_of", "_row.*", "at_most")
+
+
 def trailing_percentile(obs: DataFrame, window: int, min_obs: int = MIN_OBS) -> DataFrame:
     """Inclusive rank percentile of each row within its trailing ``window`` rows."""
     frame = trailing(window)
-    values = F.collect_list("value").over(frame)
-    scored = obs.filter(F.col("value").isNotNull()).select(
-        "series_id", "as_of", "value", values.alias("seen"),
+    framed = obs.filter(F.col("value").isNotNull()).select(
+        "series_id", "as_of", "value", F.count("value").over(frame).alias("n_obs"),
         F.min("value").over(frame).alias("low"), F.max("value").over(frame).alias("high"))
-    n = F.size("seen")
-    at_most = F.size(F.filter("seen", lambda v: v <= F.col("value")))
+    scored = counted_in_window(framed, window)
     return scored.select(
-        "series_id", "as_of", "value", n.cast("long").alias("n_obs"),
-        F.when(_spread_ok(n, F.col("low"), F.col("high"), min_obs),
-               F.round(100.0 * at_most / n, 2)).alias("percentile"))
+        "series_id", "as_of", "value", "n_obs",
+        F.when(_spread_ok(F.col("n_obs"), F.col("low"), F.col("high"), min_obs),
+               F.round(100.0 * F.col("at_most") / F.col("n_obs"), 2)).alias("percentile"))
 
 
 def trailing_zscore(obs: DataFrame, window: int, min_obs: int = MIN_OBS) -> DataFrame:
