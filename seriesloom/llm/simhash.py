@@ -196,12 +196,14 @@ def signed(bits: int) -> int:
 def dealt(members: DataFrame, masks: list[int], near: int) -> DataFrame:
     """mask, value, print: a row per member and finer mask of its mask (column ``mask``).
 
-    The masks follow from the number of bits alone, whatever the data; they are broadcast.
+    The masks follow from the number of bits alone, whatever the data; beyond the first they are broadcast.
     """
     finer = [(signed(mask), signed(mask | block)) for mask in masks for block in blocks(~mask & (1 << 64) - 1, near) if block]
-    finer = members.sparkSession.createDataFrame(finer, "mask long, finer long")
-    rows = members.join(F.broadcast(finer), "mask").select(F.col("finer").alias("mask"), "print")
-    rows = rows if masks == [0] else rows.distinct()
+    if masks == [0]:
+        rows = members.select(F.explode(F.array(*[F.lit(mask).cast("long") for _, mask in finer])).alias("mask"), "print")
+    else:
+        table_ = members.sparkSession.createDataFrame(finer, "mask long, finer long")
+        rows = members.join(F.broadcast(table_), "mask").select(F.col("finer").alias("mask"), "print").distinct()
     return rows.select("mask", F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print")
 
 
