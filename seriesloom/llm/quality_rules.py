@@ -1,18 +1,21 @@
 """Quality rules whose cutoffs limit false rejection, by DataFrame functions only.
 
 Fixed base rules come first (too few words, too many repeated words). Further rules compare a
-measure of the text with a cutoff that is selected per stratum (language): labelled good documents that
-pass the base rules are the holdout, and for every (stratum, rule, cutoff) of a fixed grid an exact
-binomial test asks whether the rule rejects more than ``RISK`` / (number of rules) of
-them. The error probability ``DELTA`` is divided by the number of tests (Bonferroni), so with
-probability 1 - DELTA no selected cutoff exceeds its share, and no stratum loses more than RISK of its
-good documents to the rules. Each rule takes the strictest cutoff that passes; a stratum with too
-few labels gets none, and its documents meet the base rules alone.
+measure of the text with a cutoff that is selected per stratum (language). The rules' grids form one walk from
+loose to strict, taking a cutoff of each rule in turn; step t stands for all cutoffs up to there, and a
+document's first step is the one that would reject it. Labelled good documents that pass the base rules are
+the holdout. An exact binomial test asks at each step whether the rules together reject more than ``RISK`` of
+them, and the walk ends before the first step that fails. Steps are tested in an order fixed beforehand
+and only until one fails, so they need no correction among themselves (fixed-sequence testing);
+``DELTA`` is divided by the number of strata (Bonferroni). So with probability 1 - DELTA no stratum
+loses more than RISK of its good documents to the rules. A stratum with too few labels takes
+no step, and its documents meet the base rules alone.
 
 All measures come from one pass over whole texts inside the JVM. Words in repeated windows are found
 per text: windows are hashed to 64 bits, and only texts with fewer distinct hashes than windows sort them.
-Labelled rows are reduced to counts per test with a partial aggregate; the selected cutoffs
-(one row per stratum) are joined back, whatever their number.
+Labelled rows are reduced to counts per step with a partial aggregate; the selected steps
+(one row per stratum) are joined back, whatever their number. Windows of words are compared by
+64-bit hashes: two different windows of one text would be taken for equal with a chance below 2^-40 for a million words.
 
 Defined cases: null text has no words and fails the base rules; a null language is a
 stratum of its own; labels without quality are ignored, several labels of one id count as good only if
@@ -34,13 +37,16 @@ DELTA = 0.05
 SPACES = "[\\x20\\x09-\\x0D]+"
 RUN = 5
 
-#: Rules: measure and the grid of cutoffs; a rule rejects what lies above its cutoff.
+#: Rules: measure and its cutoffs from loose to strict; a rule rejects what lies above its cutoff.
 RULES: dict[str, list[float]] = {
-    "symbols": [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.75, 1.0, 1.5],
-    "repeats": [0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.14, 0.16, 0.18],
-    "dup_lines": [0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8],
-    "long_words": [6.0, 7.0, 8.0, 9.0, 10.0, 11.0, 12.0, 14.0, 16.0, 20.0, 30.0],
+    "symbols": [1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02],
+    "repeats": [0.18, 0.16, 0.14, 0.12, 0.1, 0.08, 0.06, 0.04, 0.02],
+    "dup_lines": [0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05, 0.02],
+    "long_words": [30.0, 20.0, 16.0, 14.0, 12.0, 11.0, 10.0, 9.0, 8.0, 7.0, 6.0],
 }
+#: The walk: (rule, cutoff) of every step, a cutoff of each rule in turn.
+WALK = [(rule, cutoffs[level]) for level in range(max(map(len, RULES.values())))
+        for rule, cutoffs in RULES.items() if level < len(cutoffs)]
 
 
 def let(value: Column, body) -> Column:
@@ -128,47 +134,58 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.exp(top) * below)
 
 
-def selected_cutoffs(measures: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """stratum, rule, cutoff, n_good, n_rejected, p_value of the strictest admissible cutoffs."""
+def first_step() -> Column:
+    """Number of the first step of the walk that rejects a document; len(WALK) if none does."""
+    def of(rule: str) -> Column:
+        steps = [(step, cutoff) for step, (name, cutoff) in enumerate(WALK) if name == rule]
+        value = measure(rule)
+        found = F.lit(len(WALK))
+        for step, cutoff in reversed(steps):
+            found = F.when(value > cutoff, F.lit(step)).otherwise(found)
+        return found
+
+    return F.least(*[of(rule) for rule in RULES])
+
+
+def selected_steps(measures: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """stratum, last_step (the strictest admissible one), n_good, n_rejected, p_value."""
     good = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
             .filter(F.col("_id").isNotNull() & F.col("quality").isNotNull())
             .groupBy("_id").agg(F.min("quality").alias("quality")).filter(F.col("quality") == 1).select("_id"))
     holdout = measures.join(good, F.col("doc_id") == F.col("_id"), "left_semi").filter(~base_failed())
-    grid = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(cutoff).alias("cutoff"), (measure(rule) > cutoff).alias("hit"))
-                     for rule, cutoffs in RULES.items() for cutoff in cutoffs])
-    tests = written(holdout.select("stratum", F.explode(grid).alias("t")).groupBy("stratum", "t.rule", "t.cutoff")
-                    .agg(F.count("*").alias("n_good"), F.count_if("t.hit").alias("n_rejected")), "tests")
-    allowed = delta / max(tests.count(), 1)  # a row for each test that is made
-    tested = tests.withColumn("p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk / len(RULES)))
-    return tested.filter(F.col("p_value") <= allowed).groupBy("stratum", "rule").agg(
-        F.min(F.struct("cutoff", "n_good", "n_rejected", "p_value")).alias("best")).select("stratum", "rule", "best.*")
-
-
-def judged(measures: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    counts = written(holdout.groupBy("stratum", "first_step").agg(F.count("*").alias("n")), "holdout")
+    allowed = delta / max(counts.select("stratum").distinct().count(), 1)
+    hits = F.sum(F.when(F.col("first_step") <= F.col("step"), F.col("n")).otherwise(0))
+    tests = (counts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(WALK) - 1))))  # len(WALK) counts a stratum
+             .groupBy("stratum", "step").agg(F.sum("n").alias("n_good"), hits.alias("n_rejected")))
+    tested = tests.withColumn("p_value", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk))
+    # Rejections only grow along the walk, so the steps that pass come before the first that fails.
+    return tested.filter(F.col("p_value") <= allowed).groupBy("stratum").agg(
+        F.max(F.struct("step", "n_good", "n_rejected", "p_value")).alias("best")).select(
+        "stratum", F.col("best.step").alias("last_step"), "best.n_good", "best.n_rejected", "best.p_value")
+
+
+def judged(measures: DataFrame, steps: DataFrame) -> DataFrame:
     """The measures with base_failed and kept."""
-    wide = cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(
-        *[F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"_{rule}") for rule in RULES])
-    both = measures.join(wide, F.col("stratum") == F.col("_stratum"), "left")
-    hit = F.lit(False)
-    for rule in RULES:
-        hit = hit | F.coalesce(measure(rule) > F.col(f"_{rule}"), F.lit(False))
+    both = measures.join(steps.select(F.col("stratum").alias("_stratum"), "last_step"), F.col("stratum") == F.col("_stratum"), "left")
+    hit = F.coalesce(F.col("first_step") <= F.col("last_step"), F.lit(False))
     return both.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & ~hit)
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
-    measures = written(measured(docs), "measures")
-    cutoffs = written(selected_cutoffs(measures, labels, risk, delta), "cutoffs")
-    return judged(measures, cutoffs).select(
+    measures = written(measured(docs).withColumn("first_step", first_step()), "measures")
+    steps = written(selected_steps(measures, labels, risk, delta), "steps")
+    return judged(measures, steps).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def _sql() -> str:
+def _sql(risk: float = RISK) -> str:
     ratio = {"symbols": "n_symbols / greatest(n_words, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)",
              "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "long_words": "word_chars / greatest(n_words, 1)"}
-    cells = ", ".join(f"('{rule}', CAST({cutoff} AS DOUBLE))" for rule, cutoffs in RULES.items() for cutoff in cutoffs)
+    walk = ", ".join(f"({step}, '{rule}', CAST({cutoff} AS DOUBLE))" for step, (rule, cutoff) in enumerate(WALK))
     value = "CASE rule " + " ".join(f"WHEN '{rule}' THEN CAST({expr} AS DOUBLE)" for rule, expr in ratio.items()) + " END"
-    p, tests = RISK / len(RULES), sum(len(cutoffs) for cutoffs in RULES.values())
+    p = risk
     return f"""
 WITH texts AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
@@ -190,18 +207,20 @@ m AS (
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
 holdout AS (SELECT * FROM judged WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
-grid(rule, cutoff) AS (VALUES {cells}),
+walk(step, rule, cutoff) AS (VALUES {walk}),
+rejected AS (SELECT r, min(step) AS first_step FROM judged, walk WHERE {value} > cutoff GROUP BY r),
 tests AS (
-  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE {value} > cutoff) AS k
-  FROM holdout, grid GROUP BY ALL),
+  SELECT stratum, step, count(*) AS n, count(*) FILTER (WHERE first_step <= step) AS k
+  FROM holdout LEFT JOIN rejected USING (r), (SELECT step FROM walk) GROUP BY ALL),
 tested AS (
   SELECT *, CASE WHEN k > n * {p!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p!r}) + (n - i) * ln(1 - {p!r})))) END AS p_value
   FROM tests),
 best AS (
-  SELECT stratum, rule, min(cutoff) AS cutoff FROM tested
-  WHERE p_value <= {DELTA} / ((SELECT count(DISTINCT stratum) FROM holdout) * {tests}) GROUP BY ALL),
-hits AS (SELECT DISTINCT r FROM judged JOIN best USING (stratum) WHERE {value} > cutoff)
+  SELECT stratum, max(step) AS last_step FROM tested t
+  WHERE NOT EXISTS (SELECT 1 FROM tested f WHERE f.stratum = t.stratum AND f.step <= t.step
+    AND f.p_value > {DELTA} / (SELECT count(DISTINCT stratum) FROM holdout)) GROUP BY 1),
+hits AS (SELECT r FROM judged JOIN rejected USING (r) JOIN best USING (stratum) WHERE first_step <= last_step)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND r NOT IN (SELECT r FROM hits) AS kept FROM judged
 """
@@ -210,3 +229,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 @query("op7_quality_rules", _sql())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("quality_rules_tenth_risk", _sql(0.1))
+def tenth_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules where a tenth of the good documents may go: cutoffs are selected on few labels too."""
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.1)
