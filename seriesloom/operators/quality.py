@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seriesloom.functions.frames import first_of_each
 from seriesloom.functions.text import venue_group
 
+# Limits of the gates.
 STALE_WARN_DAYS, STALE_FAIL_DAYS = 4, 10
 SPARSE_WINDOW, SPARSE_WARN, SPARSE_FAIL = 30, 1, 4
 GROUP_QUORUM, GROUP_MIN = 0.60, 5

@@ -65,6 +65,20 @@ def read_series_files(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.col("value").isNotNull()).select("series_id", F.to_date("as_of").alias("as_of"), "value", "source")
 
 
+def write_series_lines(obs: DataFrame, path: str) -> None:
+    """Many series per file, one row a line, in series and day order; a long series spans several files."""
+    rows = obs.select("series_id", F.col("as_of").cast("string").alias("as_of"), "value", F.lit("vendor").alias("source"))
+    (rows.repartitionByRange("series_id", "as_of").sortWithinPartitions("series_id", "as_of")
+     .write.mode("overwrite").json(path, ignoreNullFields=False))
+
+
+def read_series_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the stored lines, missing values dropped; files are split at any line."""
+    schema = StructType([StructField("series_id", StringType()), *schemas.SERIES_FILE.fields])
+    rows = spark.read.schema(schema).json(path)
+    return rows.filter(F.col("value").isNotNull()).select("series_id", F.to_date("as_of").alias("as_of"), "value", "source")
+
+
 def export_slot(obs: DataFrame, path: str) -> None:
     """Stored series as hand-editable rows, sorted by series and day."""
     (obs.select("series_id", F.col("as_of").cast("string").alias("as_of"), F.col("value").cast("string").alias("value"))

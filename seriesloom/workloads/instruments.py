@@ -478,6 +478,15 @@ def i3(spark, sf):
     return identity.chain_roots(epochs(spark, sf))
 
 
+@query("i3_open_tickers", with_(EPOCHS, """roots AS (
+  SELECT internal_id, internal_id AS stable_id FROM epochs e
+  WHERE continuation_of IS NULL OR continuation_of NOT IN (SELECT internal_id FROM epochs)
+  UNION ALL SELECT e.internal_id, r.stable_id FROM epochs e JOIN roots r ON e.continuation_of = r.internal_id)
+SELECT ticker, exch_code, internal_id, stable_id FROM epochs JOIN roots USING (internal_id) WHERE effective_to IS NULL""").replace("WITH ", "WITH RECURSIVE ", 1))
+def i3_open(spark, sf):
+    return identity.stable_ids(epochs(spark, sf))
+
+
 @query("i8_recycle_splice", with_(EPOCHS, """placed AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY first_seen, k) AS place, COUNT(*) OVER (PARTITION BY ticker) AS total FROM epochs),
 judged AS (SELECT p.*, COALESCE(q.place < p.place, false) AS linked FROM placed p LEFT JOIN placed q ON q.internal_id = p.continuation_of AND q.ticker = p.ticker WHERE p.total > 1)
 SELECT ticker, bool_and(place = 1 OR linked) AS linked, MAX(internal_id) FILTER (place = total - 1) AS from_identity, MAX(internal_id) FILTER (place = total) AS to_identity,

@@ -220,6 +220,13 @@ def j2(spark, sf):
     return resample.first_two_legs(adapters.order_value(spark, sf))
 
 
+@query("j2_front_spread", with_(ORDER_VALUE, """
+SELECT a.as_of, round(a.value - b.value, 3) AS value FROM obs a JOIN obs b USING (as_of)
+WHERE a.series_id = (SELECT MIN(series_id) FROM obs) AND b.series_id = (SELECT MIN(series_id) FROM obs WHERE series_id > (SELECT MIN(series_id) FROM obs))"""))
+def j2_spread(spark, sf):
+    return resample.front_spread(adapters.order_value(spark, sf))
+
+
 @query("j3_dual_basis", with_(ORDER_VALUE, WEEKLY, f"""tr AS (
   SELECT series_id, {friday('as_of')} AS as_of, arg_max(value * 0.97, as_of) AS value
   FROM obs WHERE as_of >= DATE '1997-01-01' GROUP BY 1, 2)

@@ -276,6 +276,14 @@ def s1(spark, sf):
     return tables.read_series_files(spark, path)
 
 
+@query("s1_series_lines", with_(ORDER_VALUE, WEEKLY, "SELECT series_id, as_of, value, 'vendor' AS source FROM weekly WHERE day(as_of) <> 13"))
+def s1_lines(spark, sf):
+    path = scratch_path(spark, "series-lines")
+    holed = series.weekly(spark, sf).withColumn("value", F.when(F.dayofmonth("as_of") != 13, F.col("value")))
+    tables.write_series_lines(holed, path)
+    return tables.read_series_lines(spark, path)
+
+
 @query("s2_raw_archive_scan", with_(history.LOG, "SELECT *, CAST(year(as_of) AS INTEGER) AS year FROM log"))
 def s2(spark, sf):
     path = scratch_path(spark, "history")
