@@ -5,7 +5,8 @@ of ``CIRCLE`` places, and coordinate k is the least value of ``pi`` over the set
 shifted by k. Bands of ``rows`` coordinates are the buckets. With 50 bands of 8, a pair at
 similarity 0.85 misses all buckets with probability (1 - 0.85^8)^50 < 2e-7.
 
-Equal shingle sets are one class and take part once, whatever the number of copies. In a
+Equal shingle sets are one class and take part once, whatever the number of copies; a class is told by
+128 bits of its set and numbered by its least id, so an id with several texts stands in several classes. In a
 bucket, members are compared with one hub, not with each other: the member that meets most
 others over all buckets, which in a group of copies is the text they come from. Verified links
 join classes to components, and a bucket whose members are in one component is finished. The
@@ -18,20 +19,21 @@ turn written to the shared folder. Nothing that grows with the data reaches the
 
 Defined cases: null text, empty text and text without words have no shingles, link with
 nothing and are kept; a text of fewer than three words is one shingle; repeated rows give one
-row; an id that repeats with another text is one node with several sets, and each set gives a
-row; an empty table gives none; a row without an id takes part as the least of all ids.
+row; an id that repeats with another text gives a row for each set, and each set has its own
+links; an empty table gives none; a row without an id takes part as the least of all ids.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table, text_bytes, written
+from seriesloom.llm.common import id_and_text, map_arrow, small_batches, table, text_bytes, written, written_at
 from seriesloom.llm.registry import query
 from seriesloom.llm.textops import mix, shingle_set
+from seriesloom.session import discard
 
 WORDS = 3
 PERCENT = 85
@@ -63,6 +65,14 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def class_key(found: np.ndarray) -> bytes | None:
+    """16 bytes that name a shingle set; None for an empty one."""
+    if not len(found):
+        return None
+    return np.array([mix(found).sum(), mix(found * np.uint64(0xD6E8FEB86659FD93)).sum() ^ np.uint64(len(found))],
+                    dtype=np.uint64).tobytes()
+
+
 def described(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, class_key (16 bytes naming the set; null if empty), buckets."""
     def sign(batches):
@@ -71,9 +81,7 @@ def described(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
             for text in text_bytes(batch.column("text")):
                 found = shingle_set(text, words)
                 sizes.append(len(found))
-                keys.append(None if not len(found) else np.array(
-                    [mix(found).sum(), mix(found * np.uint64(0xD6E8FEB86659FD93)).sum() ^ np.uint64(len(found))],
-                    dtype=np.uint64).tobytes())
+                keys.append(class_key(found))
                 buckets.append(None if not len(found) else
                                band_keys(signature(found, bands * rows), bands, rows))
             yield pa.RecordBatch.from_arrays(
@@ -83,16 +91,38 @@ def described(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
     return map_arrow(id_and_text(docs), sign, "doc_id long, n_shingles long, class_key binary, buckets array<bigint>")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """node, n_shingles, shingles of the given documents."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """node, n_shingles, shingles of the texts (node, class_key, text) whose set is that class."""
     def cut(batches):
         for batch in small_batches(batches):
-            sets = [shingle_set(text, words).view(np.int64) for text in text_bytes(batch.column("text"))]
+            sets = [shingle_set(text, words) for text in text_bytes(batch.column("text"))]
+            own = [class_key(x) == key for x, key in zip(sets, batch.column("class_key").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array(sets, pa.list_(pa.int64()))], ["node", "n_shingles", "shingles"])
+                [batch.column("node"), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                ["node", "n_shingles", "shingles"]).filter(pa.array(own, pa.bool_()))
+
+    return map_arrow(texts.select("node", "class_key", "text"), cut, "node long, n_shingles long, shingles array<bigint>")
+
 
-    return map_arrow(docs, cut, "node long, n_shingles long, shingles array<bigint>")
+def named_classes(classes: DataFrame) -> DataFrame:
+    """Adds ``node``, a number for each class (class_key, first): its least id, if no other class has that one.
+
+    Further classes of an id with several texts get a hash that is no other class's number.
+    """
+    place = F.row_number().over(Window.partitionBy("first").orderBy("class_key"))
+    ranked = written(classes.withColumn("place", place), "ranked")
+    plain = ranked.filter("place = 1").select("class_key", "first", F.col("first").alias("node"))
+    more = ranked.filter("place > 1").select("class_key", "first")
+    if more.isEmpty():
+        return plain
+    salt, clash = 0, more
+    while not clash.isEmpty():
+        salt += 1
+        hashed = more.withColumn("node", F.xxhash64("class_key", F.lit(salt)))
+        every = plain.select("node").unionByName(hashed.select("node"))
+        clash = every.groupBy("node").count().filter("count > 1")
+    return plain.unionByName(hashed)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -106,37 +136,43 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label (least node reachable), for every node that has a link."""
+    """node, label (least node reachable), for every node that has a link.
+
+    Tables of a turn are deleted once the next has replaced them.
+    """
+    spark = links.sparkSession
     both = written(links.select(F.col("a").alias("node"), F.col("b").alias("other"))
                    .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct(), "links")
-    labels = written(both.groupBy("node").agg(F.min("other").alias("other"))
-                     .select("node", F.least("node", "other").alias("label")), "labels")
+    labels, old = written_at(both.groupBy("node").agg(F.min("other").alias("other"))
+                             .select("node", F.least("node", "other").alias("label")), "labels")
     while True:
         offered = both.join(labels.toDF("other", "offer"), "other").groupBy("node").agg(F.min("offer").alias("offer"))
-        lower = written(labels.join(offered, "node").select(
+        lower, low = written_at(labels.join(offered, "node").select(
             "node", F.col("label").alias("before"), F.least("label", "offer").alias("next")), "labels")
         # A node's lower label is also offered to the node its old label names; then all labels move one step on.
         hooks = lower.groupBy(F.col("before").alias("node")).agg(F.min("next").alias("hook"))
-        hooked = written(lower.join(hooks, "node", "left").select(
+        hooked, mid = written_at(lower.join(hooks, "node", "left").select(
             "node", "before", F.least("next", F.coalesce("hook", "next")).alias("next")), "labels")
         jump = hooked.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = written(hooked.join(jump, "next", "left").select(
+        moved, new = written_at(hooked.join(jump, "next", "left").select(
             "node", "before", F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
-        labels = moved.select("node", "label")
+        for path in (old, low, mid):
+            discard(spark, path)
+        labels, old = moved.select("node", "label"), new
         if moved.filter(F.col("before") != F.col("label")).isEmpty():
             return labels
 
 
-def linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+def linked(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """node, label for the nodes that have links.
 
-    members: (bucket, node, n_shingles), only buckets of two or more.
+    classes: (class_key, first: an id that holds it, node); members: (bucket, node, n_shingles), only buckets of two or more.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n_members"))
     meets = written(members.join(written(sizes, "sizes"), "bucket").groupBy("node")
                     .agg(F.sum("n_members").alias("meets")), "meets")
-    texts = docs.join(meets, docs["doc_id"] == meets["node"], "left_semi")
-    sets = written(shingle_sets(texts, words), "sets")
+    holders = classes.join(meets, "node", "left_semi").withColumnRenamed("first", "doc_id")
+    sets = written(shingle_sets(docs.join(holders, "doc_id"), words), "sets")
     members = written(members.join(meets, "node"), "members")
     # A bucket's hub is the member that meets most others.
     first = F.struct((-F.col("meets")).alias("meets"), F.xxhash64("node").alias("h"), "node", "n_shingles")
@@ -170,7 +206,7 @@ def rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     no join; they only fill places. So a text with many words of its own meets nobody, however
     large the group it comes from.
     """
-    own = sets.select("node", "n_shingles", "shingles").join(nodes, "node").dropDuplicates(["node"])
+    own = sets.select("node", "n_shingles", "shingles").join(nodes, "node").dropDuplicates(["node"])  # repeated rows
     single = written(own.select("node", "label", "n_shingles", F.explode("shingles").alias("shingle")), "shingles")
     often = written(single.groupBy("shingle").agg(F.count("*").alias("held")).filter(F.col("held") > 1), "often")
     ordered = single.join(often, "shingle").groupBy("node", "label", "n_shingles").agg(
@@ -206,17 +242,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     texts = id_and_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     signed = written(described(texts, words, bands, rows), "signed")
     rows_ = signed.select("doc_id", "n_shingles", "class_key").distinct()
-    classes = written(rows_.filter(F.col("class_key").isNotNull()).groupBy("class_key")
-                      .agg(F.min("doc_id").alias("node")), "classes")
-    first = signed.select("class_key", F.col("doc_id").alias("node"), "n_shingles", "buckets")
-    buckets = written(first.join(classes, ["class_key", "node"], "left_semi")
-                      .select("node", "n_shingles", F.explode("buckets").alias("bucket")), "buckets")
+    classes = written(named_classes(rows_.filter(F.col("class_key").isNotNull()).groupBy("class_key")
+                                    .agg(F.min("doc_id").alias("first"))), "classes")
+    held = signed.join(classes.withColumnRenamed("first", "doc_id"), ["class_key", "doc_id"])
+    buckets = written(held.select("node", "n_shingles", F.explode("buckets").alias("bucket")), "buckets")
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = written(shared.filter(F.col("lo") < F.col("hi")).select("bucket"), "shared")
     members = written(buckets.join(shared, "bucket", "left_semi").dropDuplicates(["bucket", "node"]), "members")
-    labels = linked(texts, members, words, percent)
-    named = written(classes.join(labels, "node", "left")
-                    .select("class_key", F.coalesce("label", "node").alias("component")), "components")
+    labels = linked(texts, classes, members, words, percent)
+    grouped = written(classes.join(labels, "node").select("class_key", "first", "label"), "grouped")
+    least = grouped.groupBy("label").agg(F.min("first").alias("component"))
+    named = written(classes.join(grouped.join(least, "label").select("class_key", "component"), "class_key", "left")
+                    .select("class_key", F.coalesce("component", "first").alias("component")), "components")
     own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     result = rows_.join(named, "class_key", "left").select(
         own.alias("doc_id"), "n_shingles", F.coalesce("component", "doc_id").alias("component"))
@@ -229,11 +266,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the least id of their near-duplicate group, with all columns.
 
+    Of an id with several texts all rows stay if one of the texts does.
     At similarity 0.8, 50 bands of 6 miss a pair with probability below 3e-7.
     """
-    gone = (near_duplicates(docs, words, percent, bands=BANDS, rows=6).filter(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone_id")))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
+    judged = near_duplicates(docs, words, percent, bands=BANDS, rows=6).groupBy("doc_id").agg(F.max("kept").alias("any_kept"))
+    gone = judged.filter(~F.col("any_kept")).select("doc_id").alias("gone")
+    kept = docs.alias("kept")
+    return kept.join(gone, F.col("kept.doc_id").cast("long") == F.col("gone.doc_id"), "left_anti")
 
 
 SQL = """

@@ -181,6 +181,50 @@ def test_near_duplicates_edge_cases(hard, spark):
     assert left.columns == hard.columns and left.filter("doc_id = 3").count() == 2
 
 
+def test_an_id_with_two_texts_keeps_the_links_of_both(spark):
+    """Both texts of id 5 have near copies, in groups that only the rare-shingle rule can tell apart."""
+    base, other = prose(31, 120), prose(32, 130)
+    rows = [(5, base), (5, other), (9, base + " tail"), (7, other + " tail"), (3, prose(33, 120)), (2, "end " + other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(row.doc_id, row.n_shingles): row.component_id for row in near_dedup.near_duplicates(docs).collect()}
+    sizes = {text: len(near_dedup.shingle_set(text.encode(), 3)) for _, text in rows}
+    assert got[5, sizes[base]] == 5 and got[9, sizes[base + " tail"]] == 5
+    assert got[5, sizes[other]] == 2 and got[7, sizes[other + " tail"]] == 2 and got[2, sizes["end " + other]] == 2
+    kept = near_dedup.keep_one_of_each(docs, words=3, percent=85)
+    assert sorted(row.doc_id for row in kept.collect()) == [2, 3, 5, 5]
+
+
+def test_rare_prefix_pairs_of_several_sets_against_brute_force(spark):
+    pick = random.Random(12)
+    texts = {}
+    for group in range(6):
+        words = prose(50 + group, 60).split()
+        for copy in range(5):
+            changed = [w if pick.random() > 0.03 else f"x{pick.randrange(99)}" for w in words]
+            texts[near_dedup.class_key(near_dedup.shingle_set(" ".join(changed).encode(), 3))] = " ".join(changed)
+    held_by = spark.createDataFrame([(bytearray(key), k % 4) for k, key in enumerate(texts)], "class_key binary, first long")
+    classes = near_dedup.named_classes(held_by)  # four ids hold all texts
+    key_of = {row.node: bytes(row.class_key) for row in classes.collect()}
+    assert len(key_of) == len(texts)
+    docs = spark.createDataFrame([(k % 4, text) for k, text in enumerate(texts.values())] * 2, "first long, text string")
+    sets = near_dedup.shingle_sets(docs.join(classes, "first"), 3)
+    nodes = sets.select("node", F.col("node").alias("label")).distinct()
+    found = near_dedup.verified(near_dedup.rare_prefix_pairs(sets, nodes, 85), sets, 85)
+    got = {tuple(sorted((key_of[row.a], key_of[row.b]))) for row in found.collect()}
+    held = {key: set(near_dedup.shingle_set(text.encode(), 3).tolist()) for key, text in texts.items()}
+    want = {tuple(sorted((a, b))) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])}
+    assert got == want and want
+
+
+def test_near_copies_go_whatever_the_other_columns_are_called(spark):
+    text = prose(41, 80)
+    names = ["doc_id", "text", "gone", "kept", "_gone_id", "any_kept", "component_id", "node", "bucket"]
+    docs = spark.createDataFrame([(1, text, *"abcdefg"), (2, text, *"abcdefg"), (3, prose(42, 80), *"abcdefg")],
+                                 "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    kept = near_dedup.keep_one_of_each(docs)
+    assert kept.columns == names and sorted(row.doc_id for row in kept.collect()) == [1, 3]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {row.node: row.label for row in near_dedup.components(links).collect()}
@@ -567,6 +611,34 @@ def test_rules_limit_false_rejection(spark):
     assert sum(not got[k] for k in got if k % 10 != 9) <= 0.02 * 3600
 
 
+def test_the_walk_takes_a_cutoff_of_each_rule_in_turn_and_never_loosens():
+    assert sorted(quality_rules.WALK) == sorted((r, c) for r, cutoffs in quality_rules.RULES.items() for c in cutoffs)
+    for rule, cutoffs in quality_rules.RULES.items():
+        assert cutoffs == sorted(cutoffs, reverse=True) == [c for r, c in quality_rules.WALK if r == rule]
+    assert [rule for rule, _ in quality_rules.WALK[:4]] == list(quality_rules.RULES)
+
+
+def test_selected_steps_against_exact_bounds(spark):
+    """Per stratum the last step before the first whose exact bound fails; too few labels select none."""
+    pick = random.Random(8)
+    rows = [(k, s, pick.choice([3, 9, 20, 43, 43, 43, 43, 43])) for k, s in enumerate("a" * 900 + "b" * 300 + "c" * 20)]
+    measures = spark.createDataFrame(rows, "doc_id long, stratum string, first_step int").selectExpr(
+        "*", "100L AS n_words", "0L AS n_repeat_words")
+    labels = spark.createDataFrame([(k, 1) for k, _, _ in rows], "doc_id long, quality int")
+    got = {row.stratum: (row.last_step, row.n_good, row.n_rejected) for row in
+           quality_rules.selected_steps(measures, labels, risk=0.2).collect()}
+    want = {}
+    for stratum in "abc":
+        steps = [t for _, s, t in rows if s == stratum]
+        for step in range(len(quality_rules.WALK)):
+            k, n = sum(t <= step for t in steps), len(steps)
+            tail = 1.0 if k > 0.2 * n else math.fsum(math.comb(n, i) * 0.2**i * 0.8**(n - i) for i in range(k + 1))
+            if tail > quality_rules.DELTA / 3:
+                break
+            want[stratum] = (step, n, k)
+    assert got == want and len(want) >= 2
+
+
 def test_svm_separates():
     pick = np.random.default_rng(1)
     x = pick.normal(size=(200, 5))
