@@ -72,7 +72,9 @@ def order_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- daily bars -----------------------------------------------------------------
 
-TIE_SPACE = 1 << 20
+#: Room for any price in cents below an order line's own number.
+TIE_SPACE = 10 ** 15
+
 
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bar rows per supplier, several per day, with holes in the price columns."""
@@ -81,8 +83,9 @@ def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         keyed("eq_", "l_suppkey").alias("series_id"),
         day.alias("as_of"),
-        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * TIE_SPACE
-         + F.round(price * 100).cast("long") % TIE_SPACE).alias("arrival"),
+        # One number that tells all rows apart, whatever the keys and prices; a decimal keeps the fold a hash aggregate.
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)") * F.lit(TIE_SPACE).cast("decimal(16,0)")
+         + F.round(price * 100).cast("decimal(15,0)")).cast("decimal(38,0)").alias("arrival"),
         F.when(F.col("l_tax") < 0.08, price * (1 - F.col("l_discount"))).alias("open"),
         (price * (1 + F.col("l_tax"))).alias("high"),
         F.when(F.col("l_linenumber") < 6, price * (1 - F.col("l_tax"))).alias("low"),

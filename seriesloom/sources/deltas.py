@@ -49,7 +49,8 @@ class Layout:
 
 HISTORY = Layout(("series_id", "as_of", "recorded_on", "recorded_to"), ("year", "bucket"), ("recorded_to", "recorded_on"))
 SERIES = Layout(("series_id",), ("bucket",), ("series_id",))
-LAYOUTS = {"history": HISTORY, "series": SERIES}
+READINGS = Layout(("series_id", "as_of"), ("bucket",), ("series_id", "as_of"))
+LAYOUTS = {"history": HISTORY, "series": SERIES, "readings": READINGS}
 
 
 def _quiet(_: str) -> None:
@@ -203,25 +204,35 @@ def _delta(lines: DataFrame, plan: DataFrame, columns: list[str], seq: int) -> D
 
 def replace_series(obs: DataFrame, path: str, buckets: int = BUCKETS, marker: str | None = None, watch: Watch = _quiet) -> None:
     """Replace the whole history of each series in ``obs``: its new rows, and one removal per series."""
-    spark = obs.sparkSession
+    _replace(obs, path, "series", buckets, marker, watch)
+
+
+def upsert_readings(readings: DataFrame, path: str, buckets: int = BUCKETS, marker: str | None = None, watch: Watch = _quiet) -> None:
+    """One row per (series, day): a reading takes the place of the stored row of its day; nothing else is read or rewritten."""
+    _replace(readings, path, "readings", buckets, marker, watch)
+
+
+def _replace(rows: DataFrame, path: str, layout: str, buckets: int, marker: str | None, watch: Watch) -> None:
+    spark, form = rows.sparkSession, LAYOUTS[layout]
     held = commits.snapshot(spark, path)
     if held is None:
-        _created(obs, path, "series", buckets, marker, watch)
+        _created(rows, path, layout, buckets, marker, watch)
         return
-    columns = [c for c in StructType.fromJson(json.loads(held.schema)).names if c not in ("seq", "live", *SERIES.parts)]
+    columns = [c for c in StructType.fromJson(json.loads(held.schema)).names if c not in ("seq", "live", *form.parts)]
     mark = {"seq": F.lit(held.number + 1).cast("long")}
-    rows = obs.select(*columns).withColumns(mark | {"live": F.lit(True)}).unionByName(
-        obs.select("series_id").distinct().withColumns(mark | {"live": F.lit(False)}), allowMissingColumns=True)
-    parts = _write(_placed(rows, held.settings["buckets"], SERIES), path, commits.new_folder(held), SERIES)
+    changes = rows.select(*columns).withColumns(mark | {"live": F.lit(True)}).unionByName(
+        rows.select(*form.identity).distinct().withColumns(mark | {"live": F.lit(False)}), allowMissingColumns=True)
+    parts = _write(_placed(changes, held.settings["buckets"], form), path, commits.new_folder(held), form)
     watch("data")
     commits.commit(spark, path, held, parts, markers={marker: True} if marker else None)
     watch("commit")
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """The live rows of a series or readings table."""
     held = commits.snapshot(spark, path)
-    rows = _live(spark, path, held, SERIES)
-    return rows.drop("seq", "live", *SERIES.parts)
+    form = LAYOUTS[held.settings["layout"]]
+    return _live(spark, path, held, form).drop("seq", "live", *form.parts)
 
 
 # --- compaction --------------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from seriesloom.functions.dates import month_end, week_ending_friday
 from seriesloom.functions.frames import whole
 from seriesloom.operators import bitemporal, revisions
 from seriesloom.session import cut_lineage
-from seriesloom.sources import tables
+from seriesloom.sources import commits, deltas, tables
 
 
 def landing(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -112,6 +112,19 @@ def accumulate_snapshots(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(stream, checkpoint, handle)
 
 
+def accumulate_readings(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """The same as a merge-on-read table: a micro-batch writes its own rows only, and a replayed one writes nothing."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        marker, held = f"{run}-{batch_id}", commits.snapshot(batch.sparkSession, path)
+        if held is None or marker not in held.markers:
+            readings = batch.groupBy("series_id", "as_of").agg(F.max_by("value", "arrival").alias("value"))
+            deltas.upsert_readings(readings, path, marker=marker)
+
+    run_available(stream, checkpoint, handle)
+
+
 def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str, checkpoint: str, run_date: dt.date,
                        cells: str) -> None:
     """Late rows are classified against the stored view and restated, never dropped.

@@ -12,7 +12,7 @@ from seriesloom.workloads import query, with_
 
 LANDED = """lb AS (
   SELECT 'eq_' || l_suppkey AS series_id, CAST(l_shipdate AS DATE) AS as_of,
-    (l_orderkey * 8 + l_linenumber) * 1048576 + CAST(round(l_extendedprice * 100) AS BIGINT) % 1048576 AS arrival,
+    CAST(l_orderkey * 8 + l_linenumber AS HUGEINT) * 1000000000000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS arrival,
     CASE WHEN l_tax < CAST(0.08 AS DOUBLE) THEN l_extendedprice * (1 - l_discount) END AS open,
     l_extendedprice * (1 + l_tax) AS high,
     CASE WHEN l_linenumber < 6 THEN l_extendedprice * (1 - l_tax) END AS low,

@@ -458,6 +458,17 @@ def r4(spark, sf):
     return tables.read_series(spark, path)
 
 
+@query("r4_readings_as_deltas", """
+SELECT 'ev_' || user_id AS series_id, CAST(ts AS DATE) AS as_of, arg_max(value, struct_pack(a := CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER), b := event_id)) AS value
+FROM events GROUP BY 1, 2""")
+def r4_deltas(spark, sf):
+    path, state = scratch_path(spark, "readings"), scratch_path(spark, "state")
+    incremental_runs(spark, sf, lambda stream, _: incremental.accumulate_readings(
+        stream.withColumn("arrival", F.col("recorded_on")), path, state))
+    deltas.compact(spark, path, fan=2)
+    return deltas.read_series(spark, path)
+
+
 def late_sql(after: str, upto: str) -> str:
     return f"""SELECT '{upto}T00-00-00Z' AS run_at, series_id, COUNT(*) FILTER (as_of >= tip - 7) AS settled_n, COUNT(*) FILTER (as_of < tip - 7 AND field = 'value') AS historical_value_n, COUNT(*) AS stored_cells FROM (
   SELECT i.series_id, i.as_of, tip, 'value' AS field, round(s.value, 4) AS old, round(i.value, 4) AS new FROM i{after} i JOIN s{after} s USING (series_id, as_of) JOIN t{after} USING (series_id)

@@ -11,6 +11,7 @@ from seriesloom import session
 from seriesloom.operators import bitemporal, digests
 from seriesloom.plans.backfill import resumable_backfill
 from seriesloom.sources import commits, deltas
+from seriesloom.streaming import incremental
 from seriesloom.workloads.archives import Stopped, stopping_after
 
 LOG = "series_id string, as_of date, recorded_on date, value double, provisional boolean"
@@ -176,3 +177,23 @@ def test_one_changed_bar_opens_one_leaf(spark):
     assert digests.differing_leaves(leaves[0], digests.leaf_digests(one.repartition(3), ["as_of", "value"])).count() == 0
     short = digests.differing_leaves(leaves[0], digests.leaf_digests(one.filter("series_id <> 'c'"), ["as_of", "value"]))
     assert {(r.series_id, r.year, r.n_other) for r in short.collect()} == {("c", 2024, 0), ("c", 2025, 0)}
+
+
+def test_readings_replace_their_own_day_and_replays_write_nothing(spark):
+    path, landing = session.scratch_path(spark, "readings"), session.scratch_path(spark, "landing")
+    schema = "series_id string, as_of date, value double, arrival long"
+    spark.createDataFrame([("a", day(0), 1.0, 1), ("a", day(0), 2.0, 2), ("a", day(1), 3.0, 3), ("b", day(0), 4.0, 4)], schema).write.parquet(landing)
+
+    def run(state):
+        stream = incremental.landing(spark, landing, spark.read.parquet(landing).schema)
+        incremental.accumulate_readings(stream, path, state)
+        return sorted((r.series_id, r.as_of, r.value) for r in deltas.read_series(spark, path).collect())
+
+    state = session.scratch_path(spark, "state")
+    assert run(state) == [("a", day(0), 2.0), ("a", day(1), 3.0), ("b", day(0), 4.0)]
+    before = files(path)
+    spark.createDataFrame([("a", day(0), 9.0, 5)], schema).write.mode("append").parquet(landing)
+    assert run(state) == [("a", day(0), 9.0), ("a", day(1), 3.0), ("b", day(0), 4.0)]
+    assert before.items() <= files(path).items() and commits.snapshot(spark, path).number == 2
+    assert run(state) == run(state) and commits.snapshot(spark, path).number == 2
+    assert run(session.scratch_path(spark, "state"))[0] == ("a", day(0), 9.0)  # from scratch, as after a lost checkpoint
