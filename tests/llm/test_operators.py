@@ -93,6 +93,53 @@ def test_repeats_with_hot_anchors(spark):
     assert sorted(map(str, digest(suffix_dedup.remove_repeats(frame)))) == want
 
 
+def test_hot_anchors_with_carried_columns(spark):
+    line = "This line stands in very many documents and has more than fifty bytes."
+    texts = [prose(k, 8) + line + prose(100 + k % 7, 8) for k in range(30)] + [None, "", line, line + " é" * 30]
+    rows = [(None if k == 33 else k % 31, text, f"t{k}", k, k) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part string, shard int, spans int")
+    plain = suffix_dedup.shortened(docs)
+    left = sorted(map(str, plain.collect()))
+    assert plain.columns == docs.columns and len(left) == len(rows)
+    found = suffix_dedup.remove_repeats(docs, carry=True, hot=3)
+    assert sorted(map(str, digest(found))) == sorted(map(str, brute_repeats(texts_of(docs))))
+    assert sorted(row._carried_2 for row in found.collect()) == sorted(row[2] for row in rows)
+
+
+def test_slices_and_small_parts_give_the_same(hard):
+    want = sorted(map(str, brute_repeats(texts_of(hard))))
+    assert sorted(map(str, digest(suffix_dedup.remove_repeats(hard, part_bytes=500, shard_bytes=700)))) == want
+
+
+@pytest.mark.parametrize("most", [1 << 21, 100, 7])
+def test_a_shard_in_slices_against_brute_force(most):
+    pick = random.Random(11)
+    pieces = [bytes(pick.choice(b"ab ") for _ in range(pick.randrange(50, 90))) for _ in range(9)]
+    texts = [pick.choice(pieces) if k % 3 else pick.choice(pieces)[:40] + bytes(pick.choice(b"ab ") for _ in range(30)) for k in range(60)]
+    ids = np.array([pick.randrange(25) for _ in texts])
+    count = np.array([len(t) - 49 for t in texts], dtype=np.int32)
+    whole, runs = suffix_dedup.repeated_in_shard(b"".join(texts), ids, count, np.ones(len(texts), dtype=bool), most)
+    got = {(k, at) for k in np.flatnonzero(whole).tolist() for at in range(count[k])}
+    for owner, first, last in runs:
+        got |= {(k, at) for k, a, b in zip(owner.tolist(), first.tolist(), last.tolist()) for at in range(a, b + 1)}
+    least = {}
+    for doc, text in zip(ids.tolist(), texts):
+        for at in range(len(text) - 49):
+            least[text[at:at + 50]] = min(least.get(text[at:at + 50], doc), doc)
+    assert got == {(k, at) for k, (doc, text) in enumerate(zip(ids.tolist(), texts)) for at in range(len(text) - 49)
+                   if least[text[at:at + 50]] < doc}
+
+
+def test_suffix_array_is_sorted_by_fifty_bytes():
+    pick = random.Random(3)
+    data = np.frombuffer(bytes(pick.choice(b"ab") for _ in range(900)) + b"a" * 300 + b"\xff" * 80 + b"\x00" * 80, dtype=np.uint8)
+    places = np.array([pick.randrange(len(data) - 50) for _ in range(4000)], dtype=np.int32)
+    order, fresh = suffix_dedup.suffix_array(suffix_dedup.words_at(data), places)
+    strings = [data[p:p + 50].tobytes() for p in places[order].tolist()]
+    assert strings == sorted(strings)
+    assert fresh.tolist() == [True] + [a != b for a, b in zip(strings, strings[1:])]
+
+
 def test_levels_merge_and_find_earlier_holders():
     pick = random.Random(5)
     data = np.frombuffer(bytes(pick.choice(b"ab") for _ in range(6000)), dtype=np.uint8)
@@ -251,6 +298,17 @@ def test_tokens_equal_the_vocabulary_file():
         assert encoding().encode_ordinary(text) == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_strings_of_special_tokens_are_ordinary_text():
+    import public_tokenizers
+    import tokenizers
+
+    whole = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    for text in ("<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n", "<|endof text|>"):
+        ids = encoding().encode_ordinary(text)
+        assert ids == whole.encode(text, add_special_tokens=False).ids and 50256 not in ids
+
+
 def test_packing_loses_and_repeats_no_token(hard, spark):
     rows = packing.packing_report(hard).collect()
     want = sorted(len(encoding().encode_ordinary(text or "")) + 1 for _, text in texts_of(hard))
@@ -508,6 +566,21 @@ def test_decisions_skip_no_norm_that_matters(bias):
         assert decision == pytest.approx(max(raw / norm + bias, toxicity.FLOOR), abs=1e-4)
 
 
+def test_long_words_are_read_whole_up_to_the_span():
+    for word in ("numbskull" * 2, "n-u-m-b-s-k-u-l-l" * 2, "abcdefghijklmnopqrstuvwx"):
+        assert toxicity.stretches(word.encode()) == [toxicity.START + word.encode() + toxicity.END]
+    longer = toxicity.stretches(b"abcdefghijklmnopqrstuvwxyzabcdefghijkl")
+    assert len(longer) > 1 and all(len(piece.strip(b"\xfe\xff")) <= toxicity.SPAN for piece in longer)
+    assert b"".join(sorted(set(longer), key=longer.index)).strip(b"\xfe\xff").startswith(b"abc") and longer[-1].endswith(b"jkl" + toxicity.END)
+    assert toxicity.DECAY ** (toxicity.SPAN + 1) < 3e-6
+
+
+def test_clean_texts_are_told_apart(spark):
+    docs, labels = toxic_tables(spark)
+    got = toxicity.score_texts(docs, toxicity.learn(docs, labels)).filter("hits = 0").collect()
+    assert len({row.decision for row in got}) > 3 and min(row.decision for row in got) > toxicity.FLOOR - 1e-9
+
+
 def test_toxicity_finds_wide_gaps(spark):
     docs, labels = toxic_tables(spark)
     wide = spark.createDataFrame([(2000 + k, f"alpha {gap.join('numbskull')} beta") for k, gap in
