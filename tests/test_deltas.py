@@ -130,8 +130,8 @@ def test_a_run_stopped_at_any_write_leaves_a_whole_state(spark, writes):
     assert resumable_backfill(bars, path, 3) == []
 
 
-def test_the_second_of_two_writers_is_refused(spark):
-    path = session.scratch_path(spark, "deltas")
+def test_the_second_of_two_writers_is_refused(spark, tmp_path):
+    path = str(tmp_path / "plain")  # no scheme
     deltas.append_history(log_of(spark, [("a", 0, 0, 1, False)]), path, buckets=1)
     held = commits.snapshot(spark, path)
     commits.commit(spark, path, held, [], markers={"one": True})
