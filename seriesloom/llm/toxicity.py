@@ -5,9 +5,10 @@ characters, however many, weighs DECAY^l, so gaps and inserted characters only w
 (Lodhi et al. 2002). A character that is no letter takes up one place, whatever its bytes, and
 matches nothing. The kernel is normalised by both self kernels, which a recursion gives.
 
-A text is read as spans: its words between marks for start and end, words of more than fourteen
-letters as overlapping stretches of fourteen letters with all that lies between them, and runs
-of single characters ("i d i o t") joined. A document is judged by its most toxic span and by
+A text is read as spans: its words between marks for start and end, and runs of single characters
+("i d i o t") joined. Words of more than ``SPAN`` letters are read as overlapping stretches of that many
+letters with all that lies between them; what only a wider match would add weighs at most
+DECAY^(SPAN + 1) = 3e-6 a subsequence, the precision of the weights. A document is judged by its most toxic span and by
 how many of its spans are toxic.
 
 Training (at most about ``SAMPLE_DOCS`` labelled documents outside the held-out fold, half of
@@ -31,6 +32,7 @@ give a row; a null id is not held out.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 
@@ -50,10 +52,12 @@ LANDMARKS = 192
 POSITIVES, NEGATIVES = 600, 2400
 LENGTH = 4
 DECAY = 0.6
-SPAN, STEP = 14, 5
+SPAN, STEP = 24, 8
+LONG = 14
 #: Places between the first and the last letter of a subsequence: no limit.
 STRETCH = float("inf")
-FLOOR = -0.8
+#: Decisions are told apart down to here, and a text without a span has this one.
+FLOOR = -3.0
 CACHE = 200_000
 
 #: Marks of a span's start and end; these bytes occur in no UTF-8 text.
@@ -102,10 +106,11 @@ def stretches(span: bytes) -> list[bytes]:
     return [marked[places[at]:places[at + SPAN - 1] + 1] for at in [*range(0, last, STEP), last]]
 
 
-def _by_letters(strings: list[bytes], most: int):
+def _by_letters(strings: list[bytes], most: int, cut: bool = False):
     """(rows, classes of the letters, their places), both as arrays of letters x rows, for each number of letters;
-    at most ``most`` rows each time. Strings of fewer letters than a subsequence has are left out."""
-    strings = [single_gaps(string) for string in strings]
+    at most ``most`` rows each time. Strings of fewer letters than a subsequence has are left out.
+    ``cut`` strings come from ``stretches`` and have one byte for each gap already."""
+    strings = strings if cut else [single_gaps(string) for string in strings]
     lengths = np.array([len(string) for string in strings], dtype=np.int64)
     classes = BYTE_CLASS[np.frombuffer(b"".join(strings), dtype=np.uint8)].astype(np.int32)
     owner = np.repeat(np.arange(len(strings)), lengths)
@@ -140,10 +145,10 @@ def reach(place: np.ndarray, first: int) -> np.ndarray:
     return POWERS.take(place[first + LENGTH - 1:] - (place[first] - 1), mode="clip")
 
 
-def self_kernel(strings: list[bytes]) -> np.ndarray:
+def self_kernel(strings: list[bytes], cut: bool = False) -> np.ndarray:
     """K(x, x) of each string by the gap-weighted recursion over pairs of equal letters."""
     out = np.zeros(len(strings))
-    for rows, classes, place in _by_letters(strings, 2048):
+    for rows, classes, place in _by_letters(strings, 2048, cut):
         letters, at = classes.T, place.T
         same = (letters[:, :, None] == letters[:, None, :]).astype(np.float64)
         apart = at[:, :, None] - at[:, None, :]
@@ -155,10 +160,10 @@ def self_kernel(strings: list[bytes]) -> np.ndarray:
     return out
 
 
-def least_norm(strings: list[bytes]) -> np.ndarray:
+def least_norm(strings: list[bytes], cut: bool = False) -> np.ndarray:
     """Weight of the closest four letters of each string; the norm is at least that."""
     out = np.zeros(len(strings))
-    for rows, _, place in _by_letters(strings, 1 << 16):
+    for rows, _, place in _by_letters(strings, 1 << 16, cut):
         out[rows] = POWERS.take((place[LENGTH - 1:] - place[:1 - LENGTH]).min(axis=0) + 1, mode="clip")
     return out
 
@@ -173,10 +178,24 @@ def profile(string: bytes) -> dict[int, float]:
     return out
 
 
-def dot(strings: list[bytes], weights: np.ndarray) -> np.ndarray:
+@functools.lru_cache(maxsize=64)
+def quadruples(size: int) -> np.ndarray:
+    """The places of all subsequences of so many letters: four rows."""
+    return np.array(list(itertools.combinations(range(size), LENGTH)), dtype=np.int16).T
+
+
+def dot(strings: list[bytes], weights: np.ndarray, cut: bool = False) -> np.ndarray:
     """Product of each string's feature vector with a weight per code."""
     out = np.zeros(len(strings))
-    for rows, classes, place in _by_letters(strings, 2048):
+    for rows, classes, place in _by_letters(strings, 2048, cut):
+        if LONG < len(classes) <= SPAN + 2:  # few strings have so many letters: all subsequences at once
+            a, b, c, d = quadruples(len(classes))
+            some = max(1, (1 << 19) // len(a))
+            for first in range(0, len(rows), some):
+                letters, at = classes[:, first:first + some], place[:, first:first + some]
+                found = ((letters[a] * 32 + letters[b]) * 32 + letters[c]) * 32 + letters[d]
+                out[rows[first:first + some]] = (weights.take(found) * POWERS.take(at[d] - at[a] + 1, mode="clip")).sum(axis=0)
+            continue
         sums = np.zeros((len(classes) - 3, *classes.shape), dtype=np.float32)
         for first, third, found in codes(classes):
             sums[first, third + 1:] += weights.take(found)
@@ -232,18 +251,20 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "_weights": None}
 
-    def decisions(self, strings: list[bytes]) -> np.ndarray:
-        """Decision value of each string, and FLOOR for those that lie below it."""
+    def decisions(self, strings: list[bytes], cut: bool = False, above_bias: bool = False) -> np.ndarray:
+        """Decision value of each string, and FLOOR for those that lie below it.
+
+        ``above_bias`` leaves out (NaN) the strings whose decision does not exceed the bias; they need no norm to be known."""
         if self._weights is None:
             self._weights = np.zeros(32 ** LENGTH, dtype=np.float32)
             self._weights[self.codes] = self.values
-        raw = dot(strings, self._weights)
-        out = np.full(len(strings), FLOOR)
-        rows = np.arange(len(strings))
-        if self.bias <= FLOOR:  # then a negative product lies below FLOOR, and few others need the norm in full
+        raw = dot(strings, self._weights, cut)
+        out = np.full(len(strings), np.nan if above_bias else FLOOR)
+        rows = np.flatnonzero(raw > 0) if above_bias else np.arange(len(strings))
+        if not above_bias and self.bias <= FLOOR:  # then a negative product lies below FLOOR, and few others need the norm in full
             rows = np.flatnonzero(raw > 0)
-            rows = rows[raw[rows] > (FLOOR - self.bias) * least_norm([strings[k] for k in rows])]
-        norms = np.sqrt(np.maximum(self_kernel([strings[k] for k in rows]), 1e-300))
+            rows = rows[raw[rows] > (FLOOR - self.bias) * least_norm([strings[k] for k in rows], cut)]
+        norms = np.sqrt(np.maximum(self_kernel([strings[k] for k in rows], cut), 1e-300))
         out[rows] = np.maximum(raw[rows] / norms + self.bias, FLOOR)
         return out
 
@@ -364,6 +385,11 @@ class TextScorer:
     def __init__(self, model: Model):
         self.model, self.cache = model, {}
 
+    def decide(self, words: list[bytes], pieces: list[list[bytes]], above_bias: bool) -> None:
+        decided = self.model.decisions([x for some in pieces for x in some], True, above_bias)
+        starts = np.cumsum([0, *[len(some) for some in pieces]])[:-1]
+        self.cache.update(zip(words, np.fmax.reduceat(decided, starts).tolist()))
+
     def __call__(self, texts: list[bytes]) -> dict[str, list | np.ndarray]:
         """score, decision, hits, n_spans, worst_span of each text."""
         cache, found = self.cache, [spans(text) for text in texts]
@@ -374,13 +400,16 @@ class TextScorer:
         for first in range(0, len(fresh), 20_000):
             part = fresh[first:first + 20_000]
             pieces = [stretches(x) for x in part]
-            decided = self.model.decisions([x for some in pieces for x in some])
-            starts = np.cumsum([0, *[len(some) for some in pieces]])[:-1]
-            cache.update(zip(part, np.maximum.reduceat(decided, starts).tolist()))
+            self.decide(part, pieces, above_bias=True)
+        # The worst span decides, so the others' exact values matter only where no span lies above the bias.
+        quiet = sorted(set().union(*[some for some in found if some and all(cache[x] != cache[x] for x in some)]))
+        for first in range(0, len(quiet), 20_000):
+            part = quiet[first:first + 20_000]
+            self.decide(part, [stretches(x) for x in part], above_bias=False)
         best, worst, hits = [], [], []
         for some in found:
             values = [cache[x] for x in some]
-            top = max(values, default=FLOOR)
+            top = max([value for value in values if value == value], default=FLOOR)
             best.append(top)
             hits.append(sum([value > 0 for value in values]))
             worst.append(min((x for x, value in zip(some, values) if value == top), default=None))
