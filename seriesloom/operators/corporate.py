@@ -35,11 +35,16 @@ def collapse_days(landed: DataFrame) -> DataFrame:
     return landed.groupBy("series_id", "as_of").agg(*last, *events)
 
 
-def conflicting_days(rows: DataFrame, named: int = 5) -> DataFrame:
-    """Series with a day that carries different values, and their first few such days."""
+def clashing_days(rows: DataFrame) -> DataFrame:
+    """Every day that carries different values: ``series_id, as_of, low, high``."""
     days = rows.filter(F.col("value").isNotNull()).groupBy("series_id", "as_of").agg(
         F.min("value").alias("low"), F.max("value").alias("high"))
-    clashes = days.filter(F.col("low") != F.col("high"))
+    return days.filter(F.col("low") != F.col("high"))
+
+
+def conflicting_days(rows: DataFrame, named: int = 5) -> DataFrame:
+    """Series with a day that carries different values, and their first few such days (all: ``clashing_days``)."""
+    clashes = clashing_days(rows)
     total = clashes.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_conflicts"))
     first = (first_of_each(clashes, ["series_id"], ["as_of"], named)
              .groupBy("series_id").agg(F.array_sort(F.collect_list(F.col("as_of").cast("string"))).alias("days")))

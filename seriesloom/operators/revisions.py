@@ -155,17 +155,23 @@ def truncation_check(stored: DataFrame, incoming: DataFrame, min_retain: float =
         F.when(refused, F.format_string("refused: would truncate %d->%d rows", "stored_rows", "incoming_rows")).alias("reason"))
 
 
-def edge_warnings(stored: DataFrame, incoming: DataFrame, named: int = 3) -> DataFrame:
-    """Head, tail and interior losses of a replace, per series that has stored rows."""
-    def edges(frame: DataFrame, label: str) -> DataFrame:
-        return frame.groupBy("series_id").agg(F.min("as_of").alias(f"{label}_first"), F.max("as_of").alias(f"{label}_last"))
-
-    spans = edges(stored, "old").join(edges(incoming, "new"), "series_id")
-    holes = (
-        stored.select("series_id", "as_of").join(spans, "series_id")
-        .filter(F.col("as_of").between(F.col("new_first"), F.col("new_last")))
+def _edges(frame: DataFrame, label: str) -> DataFrame:
+    return frame.groupBy("series_id").agg(F.min("as_of").alias(f"{label}_first"), F.max("as_of").alias(f"{label}_last"))
+
+
+def interior_gaps(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Every stored day between a series' first and last incoming day that the incoming rows lack."""
+    return (
+        stored.select("series_id", "as_of").join(_edges(incoming, "new"), "series_id")
+        .filter(F.col("as_of").between(F.col("new_first"), F.col("new_last"))).select("series_id", "as_of")
         .join(incoming.select("series_id", "as_of"), ["series_id", "as_of"], "left_anti")
     )
+
+
+def edge_warnings(stored: DataFrame, incoming: DataFrame, named: int = 3) -> DataFrame:
+    """Head, tail and interior losses of a replace, per series that has stored rows; all gaps: ``interior_gaps``."""
+    spans = _edges(stored, "old").join(_edges(incoming, "new"), "series_id")
+    holes = interior_gaps(stored, incoming)
     counted = holes.groupBy("series_id").agg(F.count(F.lit(1)).alias("gaps"))
     first = first_of_each(holes, ["series_id"], ["as_of"], named).groupBy("series_id").agg(
         F.array_sort(F.collect_list(F.col("as_of").cast("string"))).alias("first_gaps"))
