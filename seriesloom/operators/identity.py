@@ -79,40 +79,59 @@ def _jump(links: DataFrame) -> DataFrame:
     return walk.select("node", "target")
 
 
+def _speakers(epochs: DataFrame) -> DataFrame:
+    """One row per id: of several epochs with one id (a broken map) the newest speaks for it, so walks never fork."""
+    order = [c for c in ("first_seen", "ticker", "exch_code", "effective_to", "continuation_of") if c in epochs.columns]
+    return epochs.groupBy("internal_id").agg(F.max_by("continuation_of", F.struct(*order)).alias("continuation_of"))
+
+
 def valid_links(epochs: DataFrame) -> DataFrame:
-    """``node, parent`` for every epoch that continues an existing one."""
-    ids = epochs.select(F.col("internal_id").alias("parent")).distinct()
-    return (epochs.filter(F.col("continuation_of").isNotNull())
+    """``node, parent`` for every id that continues an existing one; each node once."""
+    speakers = _speakers(epochs)
+    return (speakers.filter(F.col("continuation_of").isNotNull())
             .select(F.col("internal_id").alias("node"), F.col("continuation_of").alias("parent"))
-            .join(ids, "parent", "left_semi"))
+            .join(speakers.select(F.col("internal_id").alias("parent")), "parent", "left_semi"))
 
 
 def cycle_members(epochs: DataFrame) -> DataFrame:
     """Ids that lie on a continuation cycle."""
-    links = valid_links(epochs)
+    links = cut_lineage(valid_links(epochs))
     ends = _jump(links).select(F.col("target").alias("node")).distinct()
     return ends.join(links.select("node"), "node", "left_semi")
 
 
-def chain_roots(epochs: DataFrame) -> DataFrame:
-    """``internal_id, stable_id``: the first epoch of each continuation chain.
-
-    On a cycle every member is its own root, and a tail ends where it enters the cycle.
-    """
+def _rooted(epochs: DataFrame) -> DataFrame:
+    """Every epoch with its ``stable_id``; epochs that share an id each follow their own link."""
     links = cut_lineage(valid_links(epochs))
     reached = _jump(links)
     stuck = reached.select(F.col("target").alias("node")).distinct().join(links.select("node"), "node", "left_semi")
+    stuck = cut_lineage(stuck)
     if not stuck.isEmpty():
         reached = _jump(links.join(stuck, "node", "left_anti"))
-    roots = reached.select(F.col("node").alias("internal_id"), F.col("target").alias("stable_id"))
-    return epochs.select("internal_id").join(roots, "internal_id", "left").select(
-        "internal_id", F.coalesce("stable_id", "internal_id").alias("stable_id"))
+    roots = epochs.select(F.col("internal_id").alias("parent")).distinct().join(
+        reached.select(F.col("node").alias("parent"), "target"), "parent", "left").select(
+        F.col("parent").alias("continuation_of"), F.coalesce("target", "parent").alias("root"))
+    looped = stuck.select(F.col("node").alias("internal_id"), F.lit(True).alias("looped"))
+    on_cycle = F.col("looped") & F.col("links_back")
+    speakers = _speakers(epochs).select("internal_id", F.col("continuation_of").alias("spoken")).join(looped, "internal_id")
+    return (
+        epochs.join(roots, "continuation_of", "left").join(speakers, "internal_id", "left")
+        .withColumn("links_back", F.col("spoken").eqNullSafe(F.col("continuation_of")))
+        .withColumn("stable_id", F.when(on_cycle, F.col("internal_id")).otherwise(F.coalesce("root", "internal_id"))))
+
+
+def chain_roots(epochs: DataFrame) -> DataFrame:
+    """``internal_id, stable_id``: the first epoch of each continuation chain, one row per epoch.
+
+    On a cycle every member is its own root, and a tail ends where it enters the cycle. A link leads to the
+    newest epoch of its id, should several share it.
+    """
+    return _rooted(epochs).select("internal_id", "stable_id")
 
 
 def stable_ids(epochs: DataFrame) -> DataFrame:
     """Stable id of every ticker that has an open epoch."""
-    return (open_epochs(epochs).select("ticker", "exch_code", "internal_id")
-            .join(chain_roots(epochs), "internal_id"))
+    return open_epochs(_rooted(epochs)).select("ticker", "exch_code", "internal_id", "stable_id")
 
 
 # --- snapshot comparison -----------------------------------------------------------------------

@@ -81,3 +81,22 @@ def test_long_chain(spark):
     links = {f"n{i:03d}": (f"n{i - 1:03d}" if i else None) for i in range(200)}
     got = {r["stable_id"] for r in identity.chain_roots(epochs(spark, links)).collect()}
     assert got == {"n000"}
+
+
+def test_repeated_ids_never_fork_a_walk(spark):
+    """Ids that several epochs share, one of them linked to itself: a row per epoch, walks of one way."""
+    data = []
+    for i in range(40):
+        link = f"m{i - 1:02d}" if i else None
+        data += [(f"m{i:02d}", link, f"A{i:02d}", "2020-01-01"), (f"m{i:02d}", link if i % 2 else f"m{i:02d}", f"B{i:02d}", "2021-01-01")]
+    data += [("leaf", "m39", "C", "2022-01-01")]
+    frame = spark.createDataFrame(data, "internal_id string, continuation_of string, ticker string, first_seen string").withColumns(
+        {"effective_to": F.lit(None).cast("date"), "exch_code": F.lit("US")})
+    got = {r["ticker"]: r["stable_id"] for r in identity.stable_ids(frame).collect()}
+    want = {"C": "m38"}
+    for i in range(40):
+        loop = f"m{i - i % 2:02d}"  # the newest epoch of an even id continues itself
+        want[f"A{i:02d}"] = loop if i % 2 else f"m{i - 2:02d}" if i else "m00"
+        want[f"B{i:02d}"] = loop
+    assert got == want and identity.chain_roots(frame).count() == 81
+    assert {r["node"] for r in identity.cycle_members(frame).collect()} == {f"m{i:02d}" for i in range(0, 40, 2)}
