@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
+
 from seriesloom import adapters
 from seriesloom.operators import corporate
 from seriesloom.workloads import prices
@@ -28,7 +30,7 @@ def moves(frame) -> int:
     return plan.count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("query, sides", [(prices.a5, 1), (prices.p11, 1), (prices.s3, 1), (prices.p10, 1), (prices.b14, 2)])
+@pytest.mark.parametrize("query, sides", [(prices.a5, 1), (prices.p11, 1), (prices.s3, 1), (prices.p10, 1), (prices.b14, 2), (prices.j6, 2)])
 def test_each_side_moves_once(spark, lines, query, sides):
     # two sides are one exchange read twice, or one each
     assert 1 <= moves(query(spark, lines)) <= sides
@@ -38,3 +40,15 @@ def test_gathered_rows_are_the_landed_rows(spark, lines):
     plain, gathered = adapters.landed_bars(spark, lines), adapters.landed_bars(spark, lines, gathered=True)
     assert plain.count() == gathered.count() and plain.exceptAll(gathered).isEmpty()
     assert corporate.build_bars(plain).exceptAll(corporate.build_bars(gathered)).isEmpty()
+
+
+def test_missing_factors_equal_the_plain_joins(spark, lines):
+    stored, pulled = prices.stored_before_split(spark, lines), prices.repull(spark, lines)
+    stored = stored.filter("as_of >= DATE '2020-02-01' OR series_id <> 'eq_2'")
+    pulled = pulled.filter("series_id <> 'eq_3'").withColumn("split_factor", F.dayofyear("as_of").cast("double"))
+    first = stored.groupBy("series_id").agg(F.min("as_of").alias("first_day"))
+    covered = pulled.join(first, "series_id").filter(F.col("as_of") >= F.col("first_day"))
+    missing = stored.join(covered, ["series_id", "as_of"], "left_anti").join(covered.select("series_id").distinct(), "series_id", "left_semi")
+    want = {tuple(r) for r in corporate.factor_as_of(missing, covered).collect()}
+    got = [tuple(r) for r in corporate.missing_factors(stored, pulled).collect()]
+    assert want and len(got) == len(set(got)) and set(got) == want
