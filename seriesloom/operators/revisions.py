@@ -80,8 +80,12 @@ def named_items(classified: DataFrame, limit: int = NAMED_ITEMS) -> DataFrame:
 
 def all_changed_cells(stored: DataFrame, incoming: DataFrame, recomputed: DataFrame | None = None) -> DataFrame:
     """Every changed cell with its kind, for the ledger; nothing is capped."""
-    return classified_cells(changed_cells(stored, incoming), recomputed).select(
-        "series_id", "as_of", "field", "kind", "old", "new")
+    return ledger_cells(classified_cells(changed_cells(stored, incoming), recomputed))
+
+
+def ledger_cells(cells: DataFrame) -> DataFrame:
+    """The columns of classified cells that the ledger keeps."""
+    return cells.select("series_id", "as_of", "field", "kind", "old", "new")
 
 
 def declarations(stored: DataFrame, incoming: DataFrame, recomputed: DataFrame | None = None,
@@ -90,8 +94,11 @@ def declarations(stored: DataFrame, incoming: DataFrame, recomputed: DataFrame |
 
     Counts are always complete, only the named lists stop at ``limit``.
     """
-    cells = classified_cells(changed_cells(stored, incoming), recomputed)
+    return declared_cells(classified_cells(changed_cells(stored, incoming), recomputed), split_rows, limit)
+
 
+def declared_cells(cells: DataFrame, split_rows: int = SPLIT_SUSPECT_ROWS, limit: int = NAMED_ITEMS) -> DataFrame:
+    """``declarations`` from classified cells already at hand."""
     def n(kind: str) -> Column:
         return F.count_if(F.col("kind") == kind)
 

@@ -139,9 +139,9 @@ def declare_and_append(stream: DataFrame, archive: str, face: str, journal: str,
         if held is not None and first is not None:
             near = held.filter(F.col("year") >= first).join(incoming.select("series_id").distinct(), "series_id", "left_semi")
             stored, fresh = bitemporal.current_view(near.drop("year")), revisions.round_values(incoming)
-            tables.write_ledger(revisions.declarations(stored, fresh), face, journal,
-                                dt.datetime.combine(run_date, dt.time()), batch_id,
-                                revisions.all_changed_cells(stored, fresh), cells)
+            changed = cut_lineage(revisions.classified_cells(revisions.changed_cells(stored, fresh)))
+            tables.write_ledger(revisions.declared_cells(changed), face, journal,
+                                dt.datetime.combine(run_date, dt.time()), batch_id, revisions.ledger_cells(changed), cells)
         tables.append_history(incoming, archive)
 
     run_available(stream, checkpoint, handle)
